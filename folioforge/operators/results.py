@@ -15,7 +15,7 @@ from ..functions.predicates import status_of, unsafe_category
 from .reduce import multiplex
 from .versions import resolve_versions
 
-RESULT_COLUMNS = ["lot_id", "seq", "cat_idx", "folio", "version", "categoria", "cliente",
+RESULT_COLUMNS = ["lot_id", "seq", "cat_idx", "folio", "folio_key", "version", "categoria", "cliente",
                   "archivo_original", "tipo_original", "paginas_original", "paginas_final",
                   "status", "confianza", "ruta", "justificacion"]
 
@@ -38,7 +38,7 @@ def assemble_results(groups: DataFrame, registry: DataFrame | None = None,
     ev = multiplex(groups)
     versioned = resolve_versions(ev.filter(~unsafe_category("cat")), registry)
     ok = versioned.filter(F.col("accion") != C.ACTION_DISCARD).select(
-        "lot_id", "seq", "cat_idx", "folio", "version",
+        "lot_id", "seq", "cat_idx", "folio", "folio_key", "version",
         F.col("cat").alias("categoria"), "cliente",
         F.col("origen").alias("archivo_original"),
         F.col("tipo_origen").alias("tipo_original"),
@@ -58,7 +58,7 @@ def error_rows(bad_events: DataFrame) -> DataFrame:
     """An assembly failure for one category; 'Tipo/Páginas Original' absent."""
     tag = S.short_hex(8, "lot_id", "folio_key", "categoria", "origen", "cat_idx")
     return bad_events.select(
-        "lot_id", "seq", "cat_idx", "folio", F.lit(1).alias("version"),
+        "lot_id", "seq", "cat_idx", "folio", "folio_key", F.lit(1).alias("version"),
         F.col("cat").alias("categoria"), "cliente",
         F.col("origen").alias("archivo_original"),
         F.lit(0).alias("paginas_final"),
@@ -75,7 +75,8 @@ def orphan_rows(orphans: DataFrame) -> DataFrame:
     """
     return orphans.select(
         "lot_id", "seq", F.lit(0).alias("cat_idx"),
-        F.lit(C.ERROR_ILLEGIBLE).alias("folio"), F.lit(1).alias("version"),
+        F.lit(C.ERROR_ILLEGIBLE).alias("folio"), F.lit(C.ERROR_ILLEGIBLE).alias("folio_key"),
+        F.lit(1).alias("version"),
         F.lit(C.ORPHAN_CATEGORY_RESULT).alias("categoria"),
         F.col("origen").alias("archivo_original"),
         F.lit(1).alias("paginas_final"),

@@ -95,7 +95,7 @@ def version_events_sql(with_registry: bool) -> str:
 
 def results_body() -> str:
     ok = f"""
-SELECT lot_id, seq, CAST(cat_idx AS INTEGER) AS cat_idx, folio, version, cat AS categoria, cliente,
+SELECT lot_id, seq, CAST(cat_idx AS INTEGER) AS cat_idx, folio, folio_key, version, cat AS categoria, cliente,
   origen AS archivo_original, tipo_origen AS tipo_original, paginas_original, paginas_final,
   CASE WHEN confianza > 80 THEN 'OK' ELSE 'REVISIÓN MANUAL' END AS status, confianza,
   {folder('cat')} || '/' || CASE WHEN version = 1 THEN folio_key || '.pdf'
@@ -103,7 +103,7 @@ SELECT lot_id, seq, CAST(cat_idx AS INTEGER) AS cat_idx, folio, version, cat AS
   justificacion
 FROM v WHERE accion <> 'DESCARTAR'"""
     err = f"""
-SELECT lot_id, seq, CAST(cat_idx AS INTEGER) AS cat_idx, folio, 1 AS version, cat AS categoria, cliente,
+SELECT lot_id, seq, CAST(cat_idx AS INTEGER) AS cat_idx, folio, folio_key, 1 AS version, cat AS categoria, cliente,
   origen AS archivo_original, CAST(NULL AS VARCHAR) AS tipo_original, CAST(NULL AS INTEGER) AS paginas_original,
   0 AS paginas_final, 'ERROR_ENSAMBLAJE' AS status, 0 AS confianza,
   'ERROR_ENSAMBLAJE/' || folio_key || '_' ||
@@ -118,3 +118,78 @@ def results_sql(with_registry: bool = False) -> str:
     fixtures = ["items", "registry"] if with_registry else ["items"]
     return oracle(fixtures, GROUPS_CTES.strip() + ",\n" + versions_ctes(with_registry).strip()
                   + "\n" + results_body())
+
+
+BATCH_TS = "2026-01-01 00:00:00"
+STORED_TS = "2025-12-31 00:00:00"
+
+STORED_CTE = f"""
+s AS (SELECT sha256(concat_ws('|', folio_key, cat, CAST(version AS VARCHAR), origen)) AS id,
+        folio_key AS folio, folio_key, cat AS categoria, CAST(version AS INTEGER) AS version,
+        'NO_DETECTADA' AS divisa, 'NO DETECTADO' AS cliente, origen AS archivo_original, 1 AS paginas_consolidado,
+        CASE WHEN score > 80 THEN 'OK' ELSE 'REVISIÓN MANUAL' END AS status, CAST(score AS INTEGER) AS confianza_promedio,
+        {folder('cat')} || '/' || CASE WHEN version = 1 THEN folio_key || '.pdf'
+                                     ELSE folio_key || '_v' || CAST(version AS VARCHAR) || '.pdf' END AS ruta_servidor,
+        CAST(NULL AS VARCHAR) AS justificacion, 'PENDIENTE' AS estado_conciliacion,
+        CAST(NULL AS VARCHAR) AS id_docto_firebird, TIMESTAMP '{STORED_TS}' AS fecha_procesamiento
+      FROM registry)
+"""
+
+UPSERT_CTES = f"""
+res AS ({results_body()}),
+b0 AS (SELECT coalesce(folio, 'ERROR_SIN_FOLIO') AS folio, folio_key,
+        coalesce(categoria, 'No identificado') AS categoria, CAST(coalesce(version, 1) AS INTEGER) AS version,
+        coalesce(archivo_original, 'DESCONOCIDO') AS archivo_original, 'NO_DETECTADA' AS divisa,
+        coalesce(cliente, 'NO DETECTADO') AS cliente, CAST(coalesce(paginas_final, 1) AS INTEGER) AS paginas_consolidado,
+        coalesce(status, 'PENDIENTE') AS status, CAST(coalesce(confianza, 0) AS INTEGER) AS confianza_promedio,
+        coalesce(ruta, 'ERROR_RUTA_VACIA') AS ruta_servidor, lot_id, seq, cat_idx FROM res),
+b AS (SELECT * EXCLUDE (rn, lot_id, seq, cat_idx), TRUE AS present FROM (
+        SELECT *, row_number() OVER (PARTITION BY folio, categoria, version, archivo_original
+                                     ORDER BY lot_id DESC, seq DESC, cat_idx DESC) AS rn FROM b0) WHERE rn = 1),
+{STORED_CTE.strip()},
+u AS (SELECT
+    CASE WHEN s.id IS NOT NULL THEN s.id
+         ELSE sha256(concat_ws('|', b.folio, b.categoria, CAST(b.version AS VARCHAR), b.archivo_original)) END AS id,
+    coalesce(s.folio, b.folio) AS folio,
+    CASE WHEN b.present THEN b.folio_key ELSE s.folio_key END AS folio_key,
+    coalesce(s.categoria, b.categoria) AS categoria, coalesce(s.version, b.version) AS version,
+    CASE WHEN b.present THEN b.divisa ELSE s.divisa END AS divisa,
+    CASE WHEN b.present THEN b.cliente ELSE s.cliente END AS cliente,
+    coalesce(s.archivo_original, b.archivo_original) AS archivo_original,
+    CASE WHEN b.present THEN b.paginas_consolidado ELSE s.paginas_consolidado END AS paginas_consolidado,
+    CASE WHEN b.present THEN b.status ELSE s.status END AS status,
+    CASE WHEN b.present THEN b.confianza_promedio ELSE s.confianza_promedio END AS confianza_promedio,
+    CASE WHEN b.present THEN b.ruta_servidor ELSE s.ruta_servidor END AS ruta_servidor,
+    s.justificacion AS justificacion,
+    coalesce(s.estado_conciliacion, 'PENDIENTE') AS estado_conciliacion,
+    s.id_docto_firebird AS id_docto_firebird,
+    coalesce(s.fecha_procesamiento, TIMESTAMP '{BATCH_TS}') AS fecha_procesamiento
+  FROM s FULL OUTER JOIN b ON s.folio = b.folio AND s.categoria = b.categoria AND s.version = b.version
+                          AND s.archivo_original = b.archivo_original)
+"""
+
+
+def upsert_sql() -> str:
+    return oracle(["items", "registry"], GROUPS_CTES.strip() + ",\n" + versions_ctes(True).strip() + ",\n"
+                  + UPSERT_CTES.strip() + "\nSELECT * FROM u")
+
+
+NOT_NULL = ["id", "folio", "categoria", "version", "archivo_original", "paginas_consolidado",
+            "status", "confianza_promedio", "ruta_servidor"]
+LENGTHS = {"folio": 100, "categoria": 100, "divisa": 20, "cliente": 255, "archivo_original": 255,
+           "status": 50, "ruta_servidor": 500, "estado_conciliacion": 50, "id_docto_firebird": 100}
+
+
+def constraints_sql() -> str:
+    parts = [
+        "SELECT 'primary_key' AS rule, id AS key, count(*) AS n FROM u GROUP BY id HAVING count(*) > 1",
+        "SELECT 'natural_key', concat_ws('|', folio, categoria, CAST(version AS VARCHAR), archivo_original), count(*)"
+        " FROM u GROUP BY folio, categoria, version, archivo_original HAVING count(*) > 1",
+        "SELECT 'unique_route', ruta_servidor, count(*) FROM u GROUP BY ruta_servidor HAVING count(*) > 1",
+    ]
+    for c in NOT_NULL:
+        parts.append(f"SELECT 'not_null:{c}', coalesce(id, '∅'), count(*) FROM u WHERE {c} IS NULL GROUP BY 2")
+    for c, n in LENGTHS.items():
+        parts.append(f"SELECT 'length:{c}', coalesce(id, '∅'), count(*) FROM u WHERE length({c}) > {n} GROUP BY 2")
+    return oracle(["items", "registry"], GROUPS_CTES.strip() + ",\n" + versions_ctes(True).strip() + ",\n"
+                  + UPSERT_CTES.strip() + "\n" + "\nUNION ALL\n".join(parts))

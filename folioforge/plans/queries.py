@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import registry as R
 from ..operators.results import assemble_results, version_events
 from . import oracle_sql as O
 from .audit import groups_from_view
@@ -47,3 +48,20 @@ def q_version_with_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("results", O.results_sql(False))
 def q_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assemble_results(groups_from_view(fixture(spark, sf_dir, "items")))
+
+
+def _upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reg_keys = fixture(spark, sf_dir, "registry")
+    stored = R.registry_from_keys(reg_keys, O.STORED_TS)
+    res = assemble_results(groups_from_view(fixture(spark, sf_dir, "items")), R.as_version_source(stored))
+    return R.upsert(stored, res, O.BATCH_TS)
+
+
+@register("upsert", O.upsert_sql())
+def q_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _upserted(spark, sf_dir)
+
+
+@register("constraint_violations", O.constraints_sql())
+def q_constraint_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.constraint_violations(_upserted(spark, sf_dir))
