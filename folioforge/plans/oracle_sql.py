@@ -193,3 +193,20 @@ def constraints_sql() -> str:
         parts.append(f"SELECT 'length:{c}', coalesce(id, '∅'), count(*) FROM u WHERE length({c}) > {n} GROUP BY 2")
     return oracle(["items", "registry"], GROUPS_CTES.strip() + ",\n" + versions_ctes(True).strip() + ",\n"
                   + UPSERT_CTES.strip() + "\n" + "\nUNION ALL\n".join(parts))
+
+
+# --- path and name helpers (DuckDB / RE2) -----------------------------------
+def basename(x: str) -> str:
+    return f"regexp_extract({x}, '(?s)([^/]*)/*$', 1)"
+
+
+def stem(x: str) -> str:
+    return f"regexp_replace({basename(x)}, '(?s)^(.+)\\.[^.]+$', '\\1')"
+
+
+def suffix(x: str) -> str:
+    return f"regexp_extract({basename(x)}, '(?s)^.+(\\.[^.]+)$', 1)"
+
+
+def clean(x: str) -> str:
+    return f"regexp_replace({strip_ws(x)}, '^[''\"]+|[''\"]+$', '', 'g')"

@@ -65,3 +65,77 @@ def q_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("constraint_violations", O.constraints_sql())
 def q_constraint_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.constraint_violations(_upserted(spark, sf_dir))
+
+
+# --- pages ------------------------------------------------------------------
+from ..operators import pages as P  # noqa: E402
+from ..operators.results import category_folder  # noqa: E402
+from ..functions import strings as S  # noqa: E402
+from . import oracle_pages as OP  # noqa: E402
+
+
+@register("page_explode", OP.page_explode_sql())
+def q_page_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = fixture(spark, sf_dir, "files")
+    return P.explode_pages(files).select("file_id", "file_name", "lane", "n_pages", "page_no", "page_name")
+
+
+@register("page_alias", OP.page_alias_sql())
+def q_page_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = P.explode_pages(fixture(spark, sf_dir, "files"))
+    return P.alias_pages(pages, ["file_id"], ["page_no"]).select("file_id", "page_no", "page_name", "pos", "alias")
+
+
+def _aliased_batches(spark, sf_dir):
+    bp = fixture(spark, sf_dir, "batch_pages")
+    return P.alias_pages(bp, ["batch_id"], ["page_no"], name_col="file_name")
+
+
+@register("name_resolution", OP.name_resolution_sql())
+def q_name_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aliased = _aliased_batches(spark, sf_dir)
+    res = P.resolve_names(fixture(spark, sf_dir, "answers"), aliased, ["batch_id"])
+    return res.join(aliased.select("batch_id", "pos", "file_name"), ["batch_id", "pos"]) \
+        .select("batch_id", "ord", "name_given", "pos", "file_name")
+
+
+@register("orientation", OP.orientation_sql())
+def q_orientation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aliased = _aliased_batches(spark, sf_dir)
+    return P.orientation(aliased, fixture(spark, sf_dir, "answers"), ["batch_id"]) \
+        .select("batch_id", "page_no", "file_name", "pos", "alias", "rotation")
+
+
+def _mapped(spark, sf_dir):
+    return P.map_documents(fixture(spark, sf_dir, "batch_pages"), fixture(spark, sf_dir, "doc_pages"),
+                           fixture(spark, sf_dir, "doc_folios"), ["batch_id"])
+
+
+@register("items_from_docs", OP.items_from_docs_sql())
+def q_items_from_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items, _ = _mapped(spark, sf_dir)
+    return items.select("batch_id", "doc_idx", "folio_idx", "folio",
+                        F.array_join(F.transform("paginas", lambda p: p["path"]), ",").alias("paginas"),
+                        F.size("paginas").alias("n_pages"), "paginas_original")
+
+
+@register("orphans", OP.orphans_sql())
+def q_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, orphans = _mapped(spark, sf_dir)
+    return orphans.select("batch_id", "page_no", "file_name", "orphan_name", "folio", "categoria",
+                          "confianza", "paginas_original")
+
+
+@register("page_union", OP.page_union_sql())
+def q_page_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = groups_from_view(fixture(spark, sf_dir, "items"))
+    return g.select("lot_id", "folio_key", "categoria", "origen",
+                    P.pages_text("paginas").alias("paginas"), F.col("paginas_final").alias("n_pages"))
+
+
+@register("assembly_manifest", OP.assembly_manifest_sql())
+def q_assembly_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = version_events(groups_from_view(fixture(spark, sf_dir, "items")))
+    ev = ev.filter(F.col("accion") != "DESCARTAR").withColumn(
+        "ruta", F.concat(category_folder("cat"), F.lit("/"), S.output_name("folio_key", "version")))
+    return P.assembly_manifest(ev)
