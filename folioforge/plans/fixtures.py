@@ -37,10 +37,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, sf_dir, name)
 
 
-def oracle(fixtures: list[str], body: str) -> str:
+def oracle(fixtures: list[str], body: str, recursive: bool = False) -> str:
     """``WITH <fixture views>[, <body ctes>] <select>`` for DuckDB."""
     ctes = [f"{n} AS ({FIXTURE_SQL[n].strip()})" for n in fixtures]
     body = body.strip()
+    w = "WITH RECURSIVE " if recursive else "WITH "
     if body.upper().startswith("SELECT") or not ctes:
-        return ("WITH " + ",\n".join(ctes) + "\n" + body) if ctes else body
-    return "WITH " + ",\n".join(ctes) + ",\n" + body
+        return (w + ",\n".join(ctes) + "\n" + body) if ctes else body
+    return w + ",\n".join(ctes) + ",\n" + body

@@ -139,3 +139,30 @@ def q_assembly_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = ev.filter(F.col("accion") != "DESCARTAR").withColumn(
         "ruta", F.concat(category_folder("cat"), F.lit("/"), S.output_name("folio_key", "version")))
     return P.assembly_manifest(ev)
+
+
+# --- packing ----------------------------------------------------------------
+from ..operators import packing as K  # noqa: E402
+from . import oracle_packing as OK  # noqa: E402
+
+
+@register("pack_next_fit", OK.pack_next_fit_sql())
+def q_pack_next_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = fixture(spark, sf_dir, "files")
+    return K.pack_next_fit(files, OK.NEXT_FIT_MAX, lane_col="lane").select("file_id", "lane", "lot_no")
+
+
+def _bursts(spark, sf_dir):
+    return K.pack_bursts(fixture(spark, sf_dir, "images"), OK.BURST_MAX, OK.BURST_GAP_S, lane_col="lane")
+
+
+@register("pack_bursts", OK.pack_bursts_sql())
+def q_pack_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bursts(spark, sf_dir).select("event_id", "lane", "lot_no")
+
+
+@register("pack_fixed", OK.pack_fixed_sql())
+def q_pack_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lots = _bursts(spark, sf_dir)
+    return K.pack_fixed(lots, ["lane", "lot_no"], ["mtime", "file_name"], OK.BATCH_SIZE) \
+        .select("event_id", "lane", "lot_no", "pos", "batch_no")
