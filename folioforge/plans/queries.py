@@ -166,3 +166,136 @@ def q_pack_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     lots = _bursts(spark, sf_dir)
     return K.pack_fixed(lots, ["lane", "lot_no"], ["mtime", "file_name"], OK.BATCH_SIZE) \
         .select("event_id", "lane", "lot_no", "pos", "batch_no")
+
+
+# --- ingest filters, payloads, rules ----------------------------------------
+from ..operators import payloads as PV  # noqa: E402
+from ..operators import rules as RU  # noqa: E402
+from ..sources import archives as AR  # noqa: E402
+from . import oracle_rules as ORU  # noqa: E402
+
+
+@register("member_filter", ORU.member_filter_sql())
+def q_member_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return AR.member_flags(fixture(spark, sf_dir, "members")) \
+        .select("archive", "ord", "member", "file_name", "keep", "keep_path")
+
+
+@register("flat_names", ORU.flat_names_sql())
+def q_flat_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = AR.member_flags(fixture(spark, sf_dir, "members")).filter("keep")
+    return AR.flat_names(kept).select("archive", "ord", "member", "file_name", "flat_name")
+
+
+@register("payload_validation", ORU.payload_validation_sql())
+def q_payload_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return PV.validate_payloads(fixture(spark, sf_dir, "payloads")).select(
+        "payload_id", "valid", "reason", "file_name", "rotation_degrees", "role", "confidence_score")
+
+
+def _roles(spark, sf_dir):
+    pt = fixture(spark, sf_dir, "page_text").select("origin", "page_no", "text")
+    pt = pt.withColumn("has_header", RU.has_any("text", ["ation"])) \
+        .withColumn("has_footer", RU.has_any("text", ["ment"]))
+    return RU.page_roles(pt, ["origin"], "page_no")
+
+
+@register("page_roles", ORU.page_roles_sql())
+def q_page_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _roles(spark, sf_dir).select("origin", "page_no", "role")
+
+
+@register("segmentation", ORU.segmentation_sql())
+def q_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return RU.segments(_roles(spark, sf_dir), ["origin"], "page_no").select("origin", "page_no", "role", "segment")
+
+
+@register("prefix_type", ORU.prefix_type_sql())
+def q_prefix_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = fixture(spark, sf_dir, "items").select("seq", "folio", "categoria")
+    return RU.prefix_type(items, RU.prefix_rules(spark)).select("seq", "folio", "categoria", "prefix",
+                                                                 "rule_type", "tipo")
+
+
+@register("double_type", ORU.double_type_sql())
+def q_double_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pt = fixture(spark, sf_dir, "page_text")
+    return pt.select("origin", "page_no", RU.double_type("text").alias("document_type")) \
+        .withColumn("n_types", F.when(F.col("document_type") == "", 0)
+                    .otherwise(F.size(F.split("document_type", ", "))).cast("int"))
+
+
+# --- context memory, report, totals ----------------------------------------
+from .. import config as CF  # noqa: E402
+from ..operators import context as CX  # noqa: E402
+from ..operators import report as RP  # noqa: E402
+from ..functions.predicates import unsafe_category  # noqa: E402
+from . import oracle_context as OC  # noqa: E402
+
+
+def _results(spark, sf_dir):
+    return assemble_results(groups_from_view(fixture(spark, sf_dir, "items")))
+
+
+@register("context_stats", OC.stats_sql())
+def q_context_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return CX.stats(_results(spark, sf_dir), CX.seed_stats(spark))
+
+
+@register("context_prefixes", OC.prefixes_sql())
+def q_context_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return CX.prefixes(_results(spark, sf_dir), CX.seed_prefixes(spark)) \
+        .select("prefix", "tipo_asociado", "frecuencia", "ord")
+
+
+@register("context_examples", OC.examples_sql())
+def q_context_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ex = CX.examples(_results(spark, sf_dir), CX.seed_prefixes(spark), CF.DEFAULTS.prefix_examples)
+    return ex.select("prefix", F.array_join("ejemplos", ", ").alias("ejemplos"))
+
+
+@register("context_clients_top", OC.clients_top_sql())
+def q_context_clients_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    top = CX.top_clients(CX.clients(_results(spark, sf_dir)), CF.DEFAULTS.top_clients)
+    return top.select("cliente", "frecuencia", F.col("rank").cast("int").alias("rank"))
+
+
+@register("context_recent", OC.recent_sql())
+def q_context_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rec = CX.recent(_results(spark, sf_dir), OC.BATCH_TS, n=CF.DEFAULTS.recent_documents)
+    return rec.select("tipo", "folio", "cliente", "ts", F.col("rank").cast("int").alias("rank"))
+
+
+@register("context_digest", OC.digest_sql())
+def q_context_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    res = _results(spark, sf_dir)
+    seeds = CX.seed_prefixes(spark)
+    pst = CX.prefixes(res, seeds).drop("ejemplos").join(CX.examples(res, seeds), "prefix", "left")
+    top = CX.top_clients(CX.clients(res), CF.DEFAULTS.top_clients)
+    return CX.digest(pst, top, CX.categories(spark))
+
+
+@register("report", OC.report_sql())
+def q_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return RP.report(_results(spark, sf_dir))
+
+
+@register("run_totals", OC.run_totals_sql())
+def q_run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return RP.run_totals(_results(spark, sf_dir))
+
+
+def _categories(spark, sf_dir):
+    return fixture(spark, sf_dir, "items").select(F.explode(S.category_list("categoria")).alias("cat"))
+
+
+@register("folder_names", OC.folder_names_sql())
+def q_folder_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _categories(spark, sf_dir).distinct().select("cat", S.folder_name("cat").alias("folder")) \
+        .select("cat", F.when(F.col("folder") == "", "_").otherwise(F.col("folder")).alias("folder"))
+
+
+@register("category_guard", OC.category_guard_sql())
+def q_category_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _categories(spark, sf_dir).groupBy("cat").agg(F.count(F.lit(1)).alias("n")) \
+        .select("cat", unsafe_category("cat").alias("unsafe"), "n")
