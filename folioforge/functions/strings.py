@@ -15,8 +15,14 @@ from .. import config as C
 # Python's whitespace (str.isspace) as an explicit class; Java's \s is ASCII only.
 WS = (r"\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
       r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
+# The same set as literal characters, for btrim (no regex on the hot path).
+WS_CHARS = "".join(chr(c) for c in [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680,
+                                     *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
 # Python's isalnum() plus the underscore: letters and numbers of any script.
 WORD = r"\p{L}\p{N}_"
+# Characters that are certainly kept by folio_key / folder_name (fast path, no regex).
+_ASCII_WORD = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_"
+_LATIN1_LETTERS = "".join(chr(c) for c in [*range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100)])
 
 
 def col_(c) -> Column:
@@ -25,7 +31,7 @@ def col_(c) -> Column:
 
 def strip_ws(c) -> Column:
     """``str.strip()``: remove Python whitespace from both ends."""
-    return F.regexp_replace(col_(c), f"^[{WS}]+|[{WS}]+$", "")
+    return F.btrim(col_(c), F.lit(WS_CHARS))
 
 
 def strip_quotes(c) -> Column:
@@ -53,16 +59,26 @@ def suffix(c) -> Column:
     return F.regexp_extract(basename(c), r"(?s)^.+(\.[^.]+)$", 1)
 
 
+def _only(c: Column, chars: str) -> Column:
+    """True when every character of c is in ``chars`` (translate, no regex)."""
+    return F.translate(c, chars, "") == ""
+
+
 def folio_key(c) -> Column:
     """Keep letters, digits, '-' and '_'; nothing left -> ERROR_FORMATO_INVALIDO (G1)."""
-    kept = F.regexp_replace(col_(c), f"[^{WORD}-]", "")
+    c = col_(c)
+    kept = F.when(_only(c, _ASCII_WORD + "-"), c).otherwise(F.regexp_replace(c, f"[^{WORD}-]", ""))
     return F.when(kept == "", F.lit(C.ERROR_BAD_FORMAT)).otherwise(kept)
 
 
 def folder_name(c) -> Column:
     """Category folder (G10): drop chars outside word/space/'-', strip, spaces -> '_'."""
-    kept = strip_ws(F.regexp_replace(col_(c), f"[^{WORD}{WS}-]", ""))
-    return F.regexp_replace(kept, f"[{WS}]+", "_")
+    c = col_(c)
+    kept = strip_ws(F.regexp_replace(c, f"[^{WORD}{WS}-]", ""))
+    slow = F.regexp_replace(kept, f"[{WS}]+", "_")
+    simple = (_only(c, _ASCII_WORD + _LATIN1_LETTERS + "- ") & ~c.contains("  ")
+              & ~c.startswith(" ") & ~c.endswith(" "))
+    return F.when(simple, F.translate(c, " ", "_")).otherwise(slow)
 
 
 def main_category(c) -> Column:

@@ -40,31 +40,25 @@ def reduce_items(items: DataFrame, scope: str = "lot") -> DataFrame:
     (array<struct<path, rotation>>). ``scope="global"`` merges a folio across
     lots (lot_id is then reported as the first lot of the group).
 
-    Plan: explode pages, one window partitioned by the group keys (marks the
-    first occurrence of each page path) and one aggregation on the same keys:
-    both share a single hash exchange. Groups are bounded by one lot.
+    Plan: one hash aggregation on the group keys (no window, no explode).
+    "First" values are struct minima keyed by ``seq``; the ordered distinct
+    page union is built inside the group's array (a group is bounded by one
+    lot, so the in-array dedup stays small).
     """
     df = with_folio_key(items)
     keys = GROUP_KEYS if scope == "lot" else GROUP_KEYS[1:]
     if scope != "lot":
         df = df.withColumn("lot_id", F.min("lot_id").over(Window.partitionBy(*keys)))
         keys = GROUP_KEYS
-    rows = df.select("*", F.posexplode_outer("paginas").alias("pos", "page")).drop("paginas")
-    w = Window.partitionBy(*keys).orderBy(F.col("page.path"), "seq", "pos")
-    rows = rows.withColumn(
-        "first_of_path",
-        F.col("page.path").isNotNull()
-        & F.coalesce(F.lag("page.path").over(w) != F.col("page.path"), F.lit(True)))
-    order = F.struct("seq", "pos")
-    g = rows.groupBy(*keys).agg(
+    g = df.groupBy(*keys).agg(
         F.min("seq").alias("seq"),
         F.min(F.struct("seq", "folio", "tipo_origen", "paginas_original")).alias("first"),
         F.min(F.when(known_client("cliente"), F.struct("seq", "cliente"))).alias("first_client"),
         F.max("confianza").alias("confianza"),
         F.collect_list(F.struct("seq", "justificacion")).alias("reasons"),
-        F.collect_list(F.when(F.col("first_of_path"),
-                              F.struct(order.alias("o"), F.col("page").alias("page")))).alias("pages"),
+        F.collect_list(F.struct("seq", "paginas")).alias("page_lists"),
     )
+    ordered = F.flatten(F.transform(F.array_sort("page_lists"), lambda x: x["paginas"]))
     return g.select(
         *keys, "seq",
         F.col("first.folio").alias("folio"),
@@ -74,8 +68,16 @@ def reduce_items(items: DataFrame, scope: str = "lot") -> DataFrame:
                      " | ").alias("justificacion"),
         F.col("first.tipo_origen").alias("tipo_origen"),
         F.col("first.paginas_original").alias("paginas_original"),
-        F.transform(F.array_sort("pages"), lambda x: x["page"]).alias("paginas"),
-    ).withColumn("paginas_final", F.size("paginas"))
+        ordered.alias("_all_pages"),
+    ).withColumn("paginas", first_by_path("_all_pages")).drop("_all_pages") \
+        .withColumn("paginas_final", F.size("paginas"))
+
+
+def first_by_path(pages) -> F.Column:
+    """Keep the first occurrence of each page path, order kept."""
+    pages = F.col(pages) if isinstance(pages, str) else pages
+    paths = F.transform(pages, lambda p: p["path"])
+    return F.filter(pages, lambda p, i: F.array_position(paths, p["path"]) == i + 1)
 
 
 def multiplex(groups: DataFrame) -> DataFrame:

@@ -34,21 +34,35 @@ def version_events(groups: DataFrame, registry: DataFrame | None = None) -> Data
 
 def assemble_results(groups: DataFrame, registry: DataFrame | None = None,
                      orphans: DataFrame | None = None) -> DataFrame:
-    """All result rows of the batch, in the 15-column form of RESULT_COLUMNS."""
+    """All result rows of the batch, in the form of RESULT_COLUMNS.
+
+    Events with an unsafe category (F7) go through version resolution with
+    the rest -- their (key, category) groups hold only unsafe events, so they
+    cannot affect any other event -- and come out as error rows (X1) in the
+    same projection: one pass, no branch re-reading the events.
+    """
     ev = multiplex(groups)
-    versioned = resolve_versions(ev.filter(~unsafe_category("cat")), registry)
-    ok = versioned.filter(F.col("accion") != C.ACTION_DISCARD).select(
-        "lot_id", "seq", "cat_idx", "folio", "folio_key", "version",
+    v = resolve_versions(ev, registry)
+    bad = unsafe_category("cat")
+    tag = S.short_hex(8, "lot_id", "folio_key", "categoria", "origen", "cat_idx")
+
+    def pick(err, ok):
+        return F.when(bad, err).otherwise(ok)
+
+    out = v.filter(bad | (F.col("accion") != C.ACTION_DISCARD)).select(
+        "lot_id", "seq", "cat_idx", "folio", "folio_key",
+        pick(F.lit(1), F.col("version")).alias("version"),
         F.col("cat").alias("categoria"), "cliente",
         F.col("origen").alias("archivo_original"),
-        F.col("tipo_origen").alias("tipo_original"),
-        F.col("paginas_original").cast("int").alias("paginas_original"),
-        F.col("paginas_final").cast("int").alias("paginas_final"),
-        status_of("confianza").alias("status"), "confianza",
-        F.concat(category_folder("cat"), F.lit("/"), S.output_name("folio_key", "version")).alias("ruta"),
-        "justificacion")
-    err = error_rows(ev.filter(unsafe_category("cat")))
-    out = ok.unionByName(err, allowMissingColumns=True)
+        pick(F.lit(None).cast("string"), F.col("tipo_origen")).alias("tipo_original"),
+        pick(F.lit(None).cast("int"), F.col("paginas_original").cast("int")).alias("paginas_original"),
+        pick(F.lit(0), F.col("paginas_final").cast("int")).alias("paginas_final"),
+        pick(F.lit(C.ERROR_ASSEMBLY), status_of("confianza")).alias("status"),
+        pick(F.lit(0), F.col("confianza")).alias("confianza"),
+        pick(F.concat(F.lit(C.ERROR_ASSEMBLY + "/"), F.col("folio_key"), F.lit("_"), tag, F.lit(".pdf")),
+             F.concat(category_folder("cat"), F.lit("/"), S.output_name("folio_key", "version"))).alias("ruta"),
+        pick(F.concat(F.lit(C.ASSEMBLY_FAILURE_PREFIX + C.PATH_GUARD_MESSAGE), F.col("cat")),
+             F.col("justificacion")).alias("justificacion"))
     if orphans is not None:
         out = out.unionByName(orphan_rows(orphans), allowMissingColumns=True)
     return out.select(*RESULT_COLUMNS)

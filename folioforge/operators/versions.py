@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
+from ..session import materialize
 
 K = ["folio_key", "cat"]
 KO = K + ["origen"]
@@ -58,20 +59,35 @@ def registry_lookup(registry: DataFrame, events: DataFrame) -> DataFrame:
         .select(*KO, F.col("r.version").alias("rv"), F.col("r.rs").alias("rs"))
 
 
-def resolve_versions(events: DataFrame, registry: DataFrame | None = None) -> DataFrame:
+def resolve_versions(events: DataFrame, registry: DataFrame | None = None,
+                     materialize_events: bool = True) -> DataFrame:
     """V1 over all events of the batch at once.
 
     ``events``: folio_key, cat, origen, lot_id, seq, cat_idx, confianza and any
     payload columns (kept). Order inside (key, cat) is (lot_id, seq, cat_idx).
     ``registry``: folio_key, cat, origen, version, score (or None = empty).
     Adds ``version`` (int) and ``accion``.
+
+    Events are read twice (a per-lot aggregate and the final per-lot window),
+    so they are materialized once (reliable checkpoint) unless the caller
+    already did.
     """
-    ordk = F.struct("lot_id", "seq", "cat_idx")
+    if materialize_events:
+        events = materialize(events)
+    # one row per (key, cat, origin, lot): best confidence and first event in the lot
+    lots = events.groupBy(*KOL).agg(F.max("confianza").alias("lot_max"),
+                                    F.min(F.struct("seq", "cat_idx")).alias("first_in_lot"))
+    w_o = Window.partitionBy(*KO).orderBy("lot_id")
+    lots = (lots.withColumn("carry", F.max("lot_max").over(w_o.rowsBetween(Window.unboundedPreceding, -1)))
+            .withColumn("first", F.min(F.struct("lot_id", F.col("first_in_lot.seq").alias("seq"),
+                                                F.col("first_in_lot.cat_idx").alias("cat_idx")))
+                        .over(Window.partitionBy(*KO))))
     # one row per (key, cat, origin): its first event
-    origins = events.groupBy(*KO).agg(F.min(ordk).alias("first"))
+    origins = lots.filter(F.col("lot_id") == F.col("first.lot_id")).select(*KO, "first")
     if registry is not None:
-        reg = registry_lookup(registry, events)
-        max_ver = registry.groupBy(*K).agg(F.max("version").alias("mv"))
+        reg = registry_lookup(registry, origins)
+        max_ver = registry.join(origins.select(*K).distinct(), K, "left_semi") \
+            .groupBy(*K).agg(F.max("version").alias("mv"))
         origins = origins.join(reg, KO, "left").join(max_ver, K, "left")
     else:
         origins = origins.select("*", F.lit(None).cast("int").alias("rv"),
@@ -83,16 +99,13 @@ def resolve_versions(events: DataFrame, registry: DataFrame | None = None) -> Da
                .withColumn("key_first", F.min("first").over(wk))
                .withColumn("birth", F.when(F.col("rv").isNull(), new_rank))
                .withColumn("version", F.coalesce("rv", F.col("mv") + F.col("birth")).cast("int")))
-    # carry: best confidence of the origin in earlier lots
-    lots = events.groupBy(*KOL).agg(F.max("confianza").alias("lot_max"))
-    lots = lots.withColumn(
-        "carry", F.max("lot_max").over(Window.partitionBy(*KO).orderBy("lot_id")
-                                       .rowsBetween(Window.unboundedPreceding, -1)))
-    lots = lots.join(origins.select(*KO, "first", "key_first", "rv", "rs", "mv", "version"), KO)
-    ev = events.join(lots.drop("lot_max"), KOL)
+    lots = lots.select(*KOL, "carry").join(
+        origins.select(*KO, "first", "key_first", "rv", "rs", "mv", "version"), KO)
+    ev = events.join(lots, KOL)
     local_prev = F.max("confianza").over(
         Window.partitionBy(*KOL).orderBy("seq", "cat_idx").rowsBetween(Window.unboundedPreceding, -1))
     ev = ev.withColumn("prev", F.greatest("carry", local_prev))
+    ordk = F.struct("lot_id", "seq", "cat_idx")
     born = F.col("rv").isNull() & (ordk == F.col("first"))
     best = F.greatest(F.coalesce("rs", F.lit(-1)), F.coalesce("prev", F.lit(-1)))
     accion = (F.when(born & (F.col("mv") == 0) & (F.col("first") == F.col("key_first")), F.lit(C.ACTION_NEW))

@@ -60,3 +60,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def materialize(df):
+    """Cut lineage at a fan-out point: a reliable checkpoint in the shared
+    ``spark.checkpoint.dir`` (never a local checkpoint). Consumers then read
+    the written rows instead of recomputing (and re-pruning) the upstream plan,
+    and a lost executor recomputes from here, not from the raw inputs."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
