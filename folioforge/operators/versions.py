@@ -73,7 +73,7 @@ def resolve_versions(events: DataFrame, registry: DataFrame | None = None,
     already did.
     """
     if materialize_events:
-        events = materialize(events)
+        events = materialize(events, "events")
     # one row per (key, cat, origin, lot): best confidence and first event in the lot
     lots = events.groupBy(*KOL).agg(F.max("confianza").alias("lot_max"),
                                     F.min(F.struct("seq", "cat_idx")).alias("first_in_lot"))

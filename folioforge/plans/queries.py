@@ -15,6 +15,7 @@ from ..operators import registry as R
 from ..operators.results import assemble_results, version_events
 from . import oracle_sql as O
 from .audit import groups_from_view
+from ..session import materialize
 from .fixtures import fixture
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,7 +55,7 @@ def _upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
     reg_keys = fixture(spark, sf_dir, "registry")
     stored = R.registry_from_keys(reg_keys, O.STORED_TS)
     res = assemble_results(groups_from_view(fixture(spark, sf_dir, "items")), R.as_version_source(stored))
-    return R.upsert(stored, res, O.BATCH_TS)
+    return R.upsert(stored, materialize(res, "results"), O.BATCH_TS)
 
 
 @register("upsert", O.upsert_sql())
@@ -268,7 +269,7 @@ def q_context_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("context_digest", OC.digest_sql())
 def q_context_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    res = _results(spark, sf_dir)
+    res = materialize(_results(spark, sf_dir), "results")
     seeds = CX.seed_prefixes(spark)
     pst = CX.prefixes(res, seeds).drop("ejemplos").join(CX.examples(res, seeds), "prefix", "left")
     top = CX.top_clients(CX.clients(res), CF.DEFAULTS.top_clients)
@@ -277,7 +278,7 @@ def q_context_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("report", OC.report_sql())
 def q_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return RP.report(_results(spark, sf_dir))
+    return RP.report(materialize(_results(spark, sf_dir), "results"))
 
 
 @register("run_totals", OC.run_totals_sql())

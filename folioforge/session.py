@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -62,10 +63,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def materialize(df):
-    """Cut lineage at a fan-out point: a reliable checkpoint in the shared
-    ``spark.checkpoint.dir`` (never a local checkpoint). Consumers then read
-    the written rows instead of recomputing (and re-pruning) the upstream plan,
-    and a lost executor recomputes from here, not from the raw inputs."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df, name: str = "stage"):
+    """Cut lineage at a fan-out point: write the rows once as a parquet table
+    under the shared ``spark.checkpoint.dir`` and read them back (never a
+    local checkpoint, never a machine-local folder on a cluster).
+
+    Consumers then read the written rows instead of recomputing (and
+    re-pruning) the upstream plan, and a lost executor recomputes from this
+    table, not from the raw inputs. (``Dataset.checkpoint`` would run the plan
+    twice: once to count, once to write.)
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/folioforge/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
