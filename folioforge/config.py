@@ -60,6 +60,11 @@ CATEGORIES = [
 ]
 PREFIX_SEEDS = [("A", "Factura"), ("P", "Factura"), ("R", "Remisión"), ("O", "Orden de compra")]
 
+# Generic header / footer anchor phrases of the role rules (company-specific
+# anchors such as names and tax ids are left to the caller's options).
+HEADER_ANCHORS = ["FACTURA", "Folio", "Cliente"]
+FOOTER_ANCHORS = ["Cadena original del complemento", "Sello digital", "Total(MXN)"]
+
 REPORT_COLUMNS = [
     "Folio", "Categoría", "Cliente", "Archivo Original", "Tipo Original",
     "Páginas Original", "Páginas Final", "Status", "Confianza",

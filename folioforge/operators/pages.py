@@ -139,13 +139,14 @@ def fallback_documents(batches: DataFrame, documents: DataFrame, batch_cols: lis
     ``documents``: batch cols + the logical-document columns.
     """
     failed = batches.join(documents.select(*batch_cols).distinct(), batch_cols, "left_anti")
-    fb = failed.select(*batch_cols, F.lit(0).alias("doc_idx"),
+    fb = failed.select(*batch_cols, F.lit(0).cast("long").alias("doc_idx"),
                        F.array(F.lit(C.ERROR_ILLEGIBLE)).alias("folios"),
                        "paginas",
                        F.lit(C.NOT_IDENTIFIED).alias("document_type"),
                        F.lit(None).cast("string").alias("client_name"),
                        F.lit(0).alias("confidence_score"),
-                       F.lit(C.FALLBACK_REASON).alias("reasoning"))
+                       F.lit(C.FALLBACK_REASON).alias("reasoning"),
+                       F.lit(True).alias("is_fallback"))
     return documents.unionByName(fb, allowMissingColumns=True)
 
 

@@ -296,7 +296,70 @@ def q_folder_names(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("cat", F.when(F.col("folder") == "", "_").otherwise(F.col("folder")).alias("folder"))
 
 
-@register("category_guard", OC.category_guard_sql())
+@register("category_guard", None)
 def q_category_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _categories(spark, sf_dir).groupBy("cat").agg(F.count(F.lit(1)).alias("n")) \
-        .select("cat", unsafe_category("cat").alias("unsafe"), "n")
+    """F7 + F11: per category, the path guard and the allowed-catalogue flag
+    (a left join on the category catalogue, broadcast: it is a fixed list)."""
+    counts = _categories(spark, sf_dir).groupBy("cat").agg(F.count(F.lit(1)).alias("n"))
+    allowed = CX.categories(spark).select(F.col("name").alias("cat"), F.lit(True).alias("allowed"))
+    return counts.join(F.broadcast(allowed), "cat", "left").select(
+        "cat", unsafe_category("cat").alias("unsafe"), F.coalesce("allowed", F.lit(False)).alias("allowed"), "n")
+
+
+# --- routing, rejects, fallback, aliases, rule analyzer ---------------------
+from ..operators import analyzer as AN  # noqa: E402
+from ..operators import rejects as RJ  # noqa: E402
+from ..sources import raw_files as RF  # noqa: E402
+from . import oracle_more as OM  # noqa: E402
+
+ORACLES["category_guard"] = OM.category_guard_sql()
+
+
+@register("raw_routing", OM.raw_routing_sql())
+def q_raw_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = fixture(spark, sf_dir, "members").filter(~F.col("member").endswith("/"))
+    files = m.select("archive", "ord", S.basename("member").alias("file_name"))
+    return RF.route(files).select("archive", "ord", "file_name", "ext", "junk", "kind")
+
+
+@register("rejects", OM.rejects_sql())
+def q_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    answers = fixture(spark, sf_dir, "answers")
+    bp = fixture(spark, sf_dir, "batch_pages")
+    dp = fixture(spark, sf_dir, "doc_pages")
+    aliased = P.alias_pages(bp, ["batch_id"], ["page_no"], name_col="file_name")
+    resolved = P.resolve_names(answers, aliased, ["batch_id"])
+    return RJ.ledger(
+        RJ.bad_payloads(PV.validate_payloads(fixture(spark, sf_dir, "payloads"))),
+        RJ.unmatched_answers(answers, resolved, ["batch_id"]),
+        RJ.unmatched_instructions(dp, bp, ["batch_id"]),
+        RJ.documents_without_folio(dp, bp, fixture(spark, sf_dir, "doc_folios"), ["batch_id"]))
+
+
+@register("fallback_documents", OM.fallback_documents_sql())
+def q_fallback_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bp = fixture(spark, sf_dir, "batch_pages")
+    batches = bp.groupBy("batch_id").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("page_no", "file_name"))),
+                    lambda x: x["file_name"]).alias("paginas"))
+    docs = fixture(spark, sf_dir, "doc_pages").select("batch_id", "doc_idx").distinct()
+    out = P.fallback_documents(batches, docs, ["batch_id"]).filter(F.coalesce("is_fallback", F.lit(False)))
+    return out.select("batch_id", "doc_idx", F.array_join("folios", ",").alias("folios"),
+                      F.array_join("paginas", ",").alias("paginas"), "document_type", "confidence_score",
+                      "reasoning")
+
+
+@register("alias_substitution", OM.alias_substitution_sql())
+def q_alias_substitution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aliased = _aliased_batches(spark, sf_dir)
+    return AN.substitute_aliases(fixture(spark, sf_dir, "answers"), aliased, ["batch_id"], "name_given") \
+        .select("batch_id", "ord", "name_given", "name_given_real")
+
+
+@register("rule_documents", OM.rule_documents_sql())
+def q_rule_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pt = fixture(spark, sf_dir, "page_text").select("origin", "page_no", "text")
+    docs = AN.rule_analyzer(pt, ["origin"], "page_no", header=["ation"], footer=["ment"])
+    return docs.select("origin", "doc_idx", F.array_join("folios", ",").alias("folios"),
+                       F.array_join("pages", ",").alias("pages"), F.size("pages").alias("n_pages"),
+                       "document_type", "client_name", "confidence_score")
