@@ -74,15 +74,15 @@ def resolve_versions(events: DataFrame, registry: DataFrame | None = None,
     """
     if materialize_events:
         events = materialize(events, "events")
-    # one row per (key, cat, origin, lot): best confidence and first event in the lot
-    lots = events.groupBy(*KOL).agg(F.max("confianza").alias("lot_max"),
-                                    F.min(F.struct("seq", "cat_idx")).alias("first_in_lot"))
-    w_o = Window.partitionBy(*KO).orderBy("lot_id")
-    lots = (lots.withColumn("carry", F.max("lot_max").over(w_o.rowsBetween(Window.unboundedPreceding, -1)))
-            .withColumn("first", F.min(F.struct("lot_id", F.col("first_in_lot.seq").alias("seq"),
-                                                F.col("first_in_lot.cat_idx").alias("cat_idx")))
-                        .over(Window.partitionBy(*KO))))
-    # one row per (key, cat, origin): its first event
+    # one row per (key, cat, origin, lot): best confidence and first item seq in the lot.
+    # Distinct origins never share a seq (a seq belongs to one reduce group), so
+    # (lot, seq) orders origins totally; plain min/max keep this a hash aggregate.
+    lots = events.groupBy(*KOL).agg(F.max("confianza").alias("lot_max"), F.min("seq").alias("lot_seq"))
+    w_o = Window.partitionBy(*KO)
+    lots = (lots.withColumn("carry", F.max("lot_max").over(
+                w_o.orderBy("lot_id").rowsBetween(Window.unboundedPreceding, -1)))
+            .withColumn("first", F.min(F.struct("lot_id", F.col("lot_seq").alias("seq"))).over(w_o)))
+    # one row per (key, cat, origin): its first (lot, seq)
     origins = lots.filter(F.col("lot_id") == F.col("first.lot_id")).select(*KO, "first")
     if registry is not None:
         reg = registry_lookup(registry, origins)
@@ -102,17 +102,19 @@ def resolve_versions(events: DataFrame, registry: DataFrame | None = None,
     lots = lots.select(*KOL, "carry").join(
         origins.select(*KO, "first", "key_first", "rv", "rs", "mv", "version"), KO)
     ev = events.join(lots, KOL)
-    local_prev = F.max("confianza").over(
-        Window.partitionBy(*KOL).orderBy("seq", "cat_idx").rowsBetween(Window.unboundedPreceding, -1))
-    ev = ev.withColumn("prev", F.greatest("carry", local_prev))
-    ordk = F.struct("lot_id", "seq", "cat_idx")
-    born = F.col("rv").isNull() & (ordk == F.col("first"))
+    w_l = Window.partitionBy(*KOL).orderBy("seq", "cat_idx")
+    ev = (ev.withColumn("prev", F.greatest("carry", F.max("confianza").over(
+              w_l.rowsBetween(Window.unboundedPreceding, -1))))
+          .withColumn("_first_in_lot", F.row_number().over(w_l) == 1))
+    at_first = (F.col("lot_id") == F.col("first.lot_id")) & F.col("_first_in_lot")
+    born = F.col("rv").isNull() & at_first
     best = F.greatest(F.coalesce("rs", F.lit(-1)), F.coalesce("prev", F.lit(-1)))
     accion = (F.when(born & (F.col("mv") == 0) & (F.col("first") == F.col("key_first")), F.lit(C.ACTION_NEW))
               .when(born, F.lit(C.ACTION_VERSION))
               .when(F.col("confianza") >= best, F.lit(C.ACTION_OVERWRITE))
               .otherwise(F.lit(C.ACTION_DISCARD)))
-    return ev.withColumn("accion", accion).drop("first", "key_first", "rv", "rs", "mv", "carry", "prev")
+    return ev.withColumn("accion", accion).drop("first", "key_first", "rv", "rs", "mv", "carry", "prev",
+                                                "_first_in_lot")
 
 
 def surviving(versioned: DataFrame) -> DataFrame:
