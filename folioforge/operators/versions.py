@@ -92,15 +92,11 @@ def resolve_versions(events: DataFrame, registry: DataFrame | None = None,
     else:
         origins = origins.select("*", F.lit(None).cast("int").alias("rv"),
                                  F.lit(None).cast("int").alias("rs"), F.lit(None).cast("int").alias("mv"))
-    wk = Window.partitionBy(*K)
-    new_rank = F.row_number().over(wk.orderBy(F.col("rv").isNotNull(), "first"))
-    origins = (origins
-               .withColumn("mv", F.coalesce("mv", F.lit(0)))
-               .withColumn("key_first", F.min("first").over(wk))
-               .withColumn("birth", F.when(F.col("rv").isNull(), new_rank))
-               .withColumn("version", F.coalesce("rv", F.col("mv") + F.col("birth")).cast("int")))
+    origins = origins.withColumn("mv", F.coalesce("mv", F.lit(0)))
+    origins = origins.join(birth_ranks(origins), KO, "left").withColumn(
+        "version", F.coalesce("rv", F.col("mv") + F.col("birth")).cast("int"))
     lots = lots.select(*KOL, "carry").join(
-        origins.select(*KO, "first", "key_first", "rv", "rs", "mv", "version"), KO)
+        origins.select(*KO, "first", "birth", "rv", "rs", "mv", "version"), KO)
     ev = events.join(lots, KOL)
     w_l = Window.partitionBy(*KOL).orderBy("seq", "cat_idx")
     ev = (ev.withColumn("prev", F.greatest("carry", F.max("confianza").over(
@@ -109,14 +105,34 @@ def resolve_versions(events: DataFrame, registry: DataFrame | None = None,
     at_first = (F.col("lot_id") == F.col("first.lot_id")) & F.col("_first_in_lot")
     born = F.col("rv").isNull() & at_first
     best = F.greatest(F.coalesce("rs", F.lit(-1)), F.coalesce("prev", F.lit(-1)))
-    accion = (F.when(born & (F.col("mv") == 0) & (F.col("first") == F.col("key_first")), F.lit(C.ACTION_NEW))
+    # nothing stored for the key (mv = 0): its first-born origin is the key's first event
+    accion = (F.when(born & (F.col("mv") == 0) & (F.col("birth") == 1), F.lit(C.ACTION_NEW))
               .when(born, F.lit(C.ACTION_VERSION))
               .when(F.col("confianza") >= best, F.lit(C.ACTION_OVERWRITE))
               .otherwise(F.lit(C.ACTION_DISCARD)))
-    return ev.withColumn("accion", accion).drop("first", "key_first", "rv", "rs", "mv", "carry", "prev",
+    return ev.withColumn("accion", accion).drop("first", "birth", "rv", "rs", "mv", "carry", "prev",
                                                 "_first_in_lot")
 
 
+def birth_ranks(origins: DataFrame) -> DataFrame:
+    """Rank of each new origin's birth among the new origins of its key.
+
+    Two levels, so a key with very many new origins (every failed PDF) is
+    never one window: a rank inside (key, cat, birth lot) -- bounded by the
+    lot -- plus the number of births in earlier lots, carried over a table of
+    one row per (key, cat, lot).
+    """
+    new = origins.filter(F.col("rv").isNull()).select(*KO, F.col("first.lot_id").alias("_bl"),
+                                                      F.col("first.seq").alias("_bs"))
+    local = F.row_number().over(Window.partitionBy(*K, "_bl").orderBy("_bs"))
+    new = new.withColumn("_local", local)
+    per_lot = new.groupBy(*K, "_bl").agg(F.count(F.lit(1)).alias("_n"))
+    per_lot = per_lot.withColumn("_before", F.coalesce(F.sum("_n").over(
+        Window.partitionBy(*K).orderBy("_bl").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return new.join(per_lot.select(*K, "_bl", "_before"), [*K, "_bl"]).select(
+        *KO, (F.col("_before") + F.col("_local")).cast("int").alias("birth"))
+
+
 def surviving(versioned: DataFrame) -> DataFrame:
     """V2: per (key, cat, version, origin) the last non-discarded event wins the file."""
     w = Window.partitionBy("folio_key", "cat", "version", "origen").orderBy(

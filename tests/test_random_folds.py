@@ -10,8 +10,12 @@ from folioforge.operators.versions import resolve_versions
 from tests.folds import bursts, last_examples, next_fit, versions_fold
 
 
-def test_versions_match_sequential_fold(spark):
-    rng = random.Random(7)
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("seed", [7, 8, 9])
+def test_versions_match_sequential_fold(spark, seed):
+    rng = random.Random(seed)
     ev_rows, reg_rows, seq_events = [], [], []
     registry = {}
     for key in ["A1", "A2", "ERR"]:
@@ -22,11 +26,11 @@ def test_versions_match_sequential_fold(spark):
                     registry.setdefault((key, cat), []).append((o, v, s))
                     reg_rows.append((key, cat, o, v, s))
     seq = 0
-    for lot in range(6):
+    for lot in range(10):
         for _ in range(rng.randint(5, 25)):
             seq += 1
             key, cat = rng.choice(["A1", "A2", "ERR", "ERR", "ERR"]), rng.choice(["Factura", "Remisión"])
-            origin, conf = rng.choice(["o1", "o2", "o3", "o4", "o5"]), rng.randint(0, 100)
+            origin, conf = rng.choice([f"o{i}" for i in range(1, 13)]), rng.randint(0, 100)
             for cat_idx in range(rng.choice([1, 1, 2])):
                 ev_rows.append((key, cat, origin, lot, seq, cat_idx, conf))
                 seq_events.append((key, cat, origin, conf))
