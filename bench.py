@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from folioforge.plans.queries import QUERIES  # noqa: E402
 from folioforge.session import build_session  # noqa: E402
 
-HEADLINE = ["version_events", "results", "upsert", "pack_next_fit", "context_examples",
+HEADLINE = ["version_events", "results", "upsert", "pack_next_fit", "pack_next_fit_global", "context_examples",
             "version_with_registry", "page_union", "orientation", "pack_bursts", "report"]
 
 

@@ -112,30 +112,47 @@ def _fold(auto, feats, gap_ok, start_state: int, first_gap_ok: bool) -> tuple[in
 
 
 def _transfer(auto, feats, gap_ok) -> dict[tuple[int, bool], tuple[int, int]]:
-    """entry (state, first gap flag) -> (exit state, lots closed), with path merging."""
-    out = {}
+    """entry (state, first gap flag) -> (exit state, lots closed).
+
+    Only *distinct* current states are stepped: entries whose paths met share
+    one group (state, lots closed so far) and keep a fixed offset against it,
+    so the cost per row is the number of distinct states, which falls to one
+    after a few lots.
+    """
     entries = [(s, g) for s in range(auto.n_states) for g in (True, False)]
-    cur = {e: (e[0], 0) for e in entries}
-    i = 0
-    while i < len(feats):
-        states = {v[0] for v in cur.values()}
-        if len(states) == 1:
+    if len(feats) == 0:
+        return {e: (e[0], 0) for e in entries}
+    # first row: the gap flag of the entry applies
+    groups: dict[int, list] = {}   # state -> [closed, [(entry, offset), ...]]
+    for e in entries:
+        s2, c = auto.step(e[0], int(feats[0]), e[1])
+        _join(groups, s2, int(c), [(e, 0)])
+    for i in range(1, len(feats)):
+        if len(groups) == 1:
             break
-        g_row = bool(gap_ok[i])
-        nxt = {}
-        for e, (s, c) in cur.items():
-            g = e[1] if i == 0 else g_row
-            s2, cl = auto.step(s, int(feats[i]), g)
-            nxt[e] = (s2, c + cl)
-        cur = nxt
-        i += 1
-    if i < len(feats):  # all paths merged: follow one
-        s0 = next(iter(cur.values()))[0]
+        n, g = int(feats[i]), bool(gap_ok[i])
+        nxt: dict[int, list] = {}
+        for s, (closed, members) in groups.items():
+            s2, c = auto.step(s, n, g)
+            _join(nxt, s2, closed + int(c), members)
+        groups = nxt
+    else:
+        i = len(feats)
+    if i < len(feats):   # one path left: follow it
+        (s0, (closed, members)), = groups.items()
         s_end, extra, _ = _fold(auto, feats[i:], gap_ok[i:], s0, bool(gap_ok[i]))
-        cur = {e: (s_end, c + extra) for e, (s, c) in cur.items()}
-    for e, v in cur.items():
-        out[e] = v
-    return out
+        groups = {s_end: [closed + extra, members]}
+    return {e: (s, closed + off) for s, (closed, members) in groups.items() for e, off in members}
+
+
+def _join(groups: dict, state: int, closed: int, members: list) -> None:
+    """Add members (with offsets relative to ``closed``) to the group of ``state``."""
+    if state not in groups:
+        groups[state] = [closed, list(members)]
+        return
+    base = groups[state]
+    shift = closed - base[0]
+    base[1].extend((e, off + shift) for e, off in members)
 
 
 def _pass1(auto, thr):

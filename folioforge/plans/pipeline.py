@@ -24,6 +24,7 @@ from ..operators import report as RP
 from ..operators.reduce import reduce_items
 from ..operators.results import assemble_results
 from ..session import materialize
+from ..sources.raw_files import mark_processed
 from ..sources.state import ContextStore, update_context
 
 
@@ -75,5 +76,8 @@ def process_batch(spark: SparkSession, items: DataFrame, paths: AuditPaths, batc
     store = ContextStore(spark, paths.context)
     store.save(update_context(store.load(), results, batch_ts), batch_id)
     all_results = spark.read.parquet(paths.results)
-    RP.write_report(RP.report(all_results), paths.report)
+    name = spark.range(1).select(RP.report_name(batch_ts)).first()[0]   # A3: one literal
+    RP.write_report(RP.report(all_results), f"{paths.report}/{name}")
+    # Sources are marked processed only after the registry was published
+    mark_processed(spark, results.select(F.col("archivo_original").alias("file_name")), paths.processed, batch_id)
     return results

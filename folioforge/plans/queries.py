@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import config as CF
 from ..operators import registry as R
 from ..operators.results import assemble_results, version_events
 from . import oracle_sql as O
@@ -162,6 +163,19 @@ def q_pack_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bursts(spark, sf_dir).select("event_id", "lane", "lot_no")
 
 
+@register("pack_next_fit_global", OK.pack_next_fit_global_sql(CF.DEFAULTS.pdf_chunk_max_pages))
+def q_pack_next_fit_global(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 over all files as one sequence (the original's single listing)."""
+    files = fixture(spark, sf_dir, "files")
+    return K.pack_next_fit(files, CF.DEFAULTS.pdf_chunk_max_pages).select("file_id", "lot_no")
+
+
+@register("pack_bursts_global", OK.pack_bursts_global_sql())
+def q_pack_bursts_global(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2 over all images as one sequence."""
+    return K.pack_bursts(fixture(spark, sf_dir, "images"), OK.BURST_MAX, OK.BURST_GAP_S).select("event_id", "lot_no")
+
+
 @register("pack_fixed", OK.pack_fixed_sql())
 def q_pack_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     lots = _bursts(spark, sf_dir)
@@ -227,7 +241,6 @@ def q_double_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- context memory, report, totals ----------------------------------------
-from .. import config as CF  # noqa: E402
 from ..operators import context as CX  # noqa: E402
 from ..operators import report as RP  # noqa: E402
 from ..functions.predicates import unsafe_category  # noqa: E402

@@ -36,7 +36,10 @@ def test_stream_versions_carry_across_batches(spark, tmpdir_):
     assert res.count() == 2                                      # NUEVO + VERSIONAR, DESCARTAR dropped
     store = ContextStore(spark, paths.context).load()
     assert store["stats"].first().total_documentos_procesados == 2
-    assert spark.read.option("header", True).csv(paths.report).count() == 2
+    reports = sorted(os.listdir(paths.report))
+    assert reports and reports[-1].startswith("Auditoria_Integridad_2025123")   # 2026-01-01 UTC in Monterrey
+    assert spark.read.option("header", True).csv(f"{paths.report}/{reports[-1]}").count() == 2
+    assert sorted(r.file_name for r in spark.read.parquet(paths.processed).distinct().collect()) == ["a.pdf", "b.pdf"]
 
 
 def test_batch_retry_is_idempotent(spark, tmpdir_):
@@ -66,3 +69,21 @@ def test_audit_log_source(spark, tmpdir_):
     got = {(r.level, r.module): r.n for r in log_summary(read_audit_log(spark, p)).collect()}
     assert got == {("INFO", "proc"): 1, ("ERROR", "proc"): 1}
     assert read_audit_log(spark, p).filter(F.col("exception").isNotNull()).count() == 1
+
+
+def test_pandas_analyzer_per_batch(spark):
+    import pandas as pd
+
+    from folioforge.operators.analyzer import pandas_analyzer
+
+    pages = spark.createDataFrame([(1, 1, "a_P001.pdf"), (1, 2, "a_P002.pdf"), (2, 1, "b_P001.pdf")],
+                                  "batch_id int, page_no int, file_name string")
+
+    def one_doc(pdf: pd.DataFrame) -> pd.DataFrame:   # stands for a model call on one batch
+        names = list(pdf.sort_values("page_no")["file_name"])
+        return pd.DataFrame([{"batch_id": int(pdf["batch_id"].iloc[0]), "doc_idx": 0, "folios": ["A1"],
+                              "pages": names, "document_type": "Factura", "client_name": None,
+                              "confidence_score": 90, "reasoning": "r", "status": "ok"}])
+
+    out = {r.batch_id: r for r in pandas_analyzer(pages, ["batch_id"], one_doc).collect()}
+    assert out[1].pages == ["a_P001.pdf", "a_P002.pdf"] and out[2].pages == ["b_P001.pdf"]
