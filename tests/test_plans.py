@@ -45,3 +45,13 @@ def test_page_role_windows_are_partitioned(spark):
     plan = _plan(RU.page_roles(pt, ["origin"], "page_no"))
     # every window is keyed: no "Window [...], [], [...]" (an unpartitioned window)
     assert "], [], [" not in plan
+
+
+def test_version_resolution_windows_are_partitioned(spark):
+    from folioforge.operators.versions import resolve_versions
+    ev = spark.createDataFrame([("A1", "Factura", "a.pdf", 0, 1, 0, 90), ("A1", "Factura", "b.pdf", 1, 2, 0, 80)],
+                               "folio_key string, cat string, origen string, lot_id int, seq long, cat_idx int, "
+                               "confianza int")
+    plan = _plan(resolve_versions(ev))
+    assert "Window" in plan and "], [], [" not in plan
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan

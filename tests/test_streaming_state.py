@@ -87,3 +87,12 @@ def test_pandas_analyzer_per_batch(spark):
 
     out = {r.batch_id: r for r in pandas_analyzer(pages, ["batch_id"], one_doc).collect()}
     assert out[1].pages == ["a_P001.pdf", "a_P002.pdf"] and out[2].pages == ["b_P001.pdf"]
+
+
+def test_burst_window_splits_at_exact_threshold(spark):
+    from folioforge.streaming.stream import burst_window
+    secs = [0.0, 2.999999, 5.999998, 8.999998, 20.0]   # gaps: <3, <3, =3 (split), >3 (split)
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(secs)], "id int, s double") \
+        .withColumn("mtime", F.timestamp_micros(F.round(F.col("s") * 1_000_000).cast("long")))
+    sizes = sorted(r.n_files for r in burst_window(df, "mtime", 3.0).collect())
+    assert sizes == [1, 1, 3]
