@@ -96,3 +96,32 @@ def test_burst_window_splits_at_exact_threshold(spark):
         .withColumn("mtime", F.timestamp_micros(F.round(F.col("s") * 1_000_000).cast("long")))
     sizes = sorted(r.n_files for r in burst_window(df, "mtime", 3.0).collect())
     assert sizes == [1, 1, 3]
+
+
+def test_stateful_stream_versions_match_batch(spark, tmpdir_):
+    import random
+
+    from folioforge.operators.versions import resolve_versions
+    from folioforge.streaming.versions_state import OUT_SCHEMA, stream_versions
+
+    rng = random.Random(4)
+    rows, seq = [], 0
+    for lot in range(6):
+        for _ in range(15):
+            seq += 1
+            rows.append((rng.choice(["A1", "ERR"]), "Factura", rng.choice(["o1", "o2", "o3", "o4"]), lot, seq, 0,
+                         rng.randint(0, 100)))
+    schema = "folio_key string, cat string, origen string, lot_id int, seq long, cat_idx int, confianza int"
+    reg = spark.createDataFrame([("A1", "Factura", "o2", 1, 60), ("A1", "Factura", "o4", 2, None)],
+                                "folio_key string, cat string, origen string, version int, score int")
+    for lot in range(6):   # one file per lot, streamed in lot order
+        spark.createDataFrame([r for r in rows if r[3] == lot], schema).coalesce(1) \
+            .write.parquet(f"{tmpdir_}/ev/lot={lot}")
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmpdir_}/ev/lot=*")
+    q = (stream_versions(src, reg).writeStream.format("memory").queryName("t3_versions")
+         .option("checkpointLocation", f"{tmpdir_}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    got = {(r.seq, r.cat_idx): (r.version, r.accion) for r in spark.table("t3_versions").collect()}
+    exp_df = resolve_versions(spark.createDataFrame(rows, schema), reg, materialize_events=False)
+    exp = {(r.seq, r.cat_idx): (r.version, r.accion) for r in exp_df.collect()}
+    assert len(OUT_SCHEMA) == 9 and got == exp
