@@ -82,6 +82,9 @@ def resolve_versions(events: DataFrame, registry: DataFrame | None = None,
     lots = (lots.withColumn("carry", F.max("lot_max").over(
                 w_o.orderBy("lot_id").rowsBetween(Window.unboundedPreceding, -1)))
             .withColumn("first", F.min(F.struct("lot_id", F.col("lot_seq").alias("seq"))).over(w_o)))
+    if materialize_events:
+        # read by three branches below; each would re-prune and recompute the aggregate
+        lots = materialize(lots, "lots")
     # one row per (key, cat, origin): its first (lot, seq)
     origins = lots.filter(F.col("lot_id") == F.col("first.lot_id")).select(*KO, "first")
     if registry is not None:

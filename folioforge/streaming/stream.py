@@ -27,9 +27,18 @@ from pyspark.sql import types as T
 from ..plans.pipeline import AuditPaths, process_batch
 
 
-def items_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int = 1) -> DataFrame:
-    """Map-stage items arriving as parquet files under ``path``."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
+def items_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int = 1,
+                 archive_dir: str | None = None) -> DataFrame:
+    """Map-stage items arriving as parquet files under ``path``.
+
+    S10 in streaming form: with ``archive_dir`` the source moves each file
+    there after its micro-batch committed (``cleanSource=archive``), so a
+    failed store leaves the file in place.
+    """
+    r = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    if archive_dir:
+        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    return r.parquet(path)
 
 
 def run_stream(spark: SparkSession, items: DataFrame, paths: AuditPaths, checkpoint: str,
