@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
+from ..session import ship_package
 from . import rules as RU
 
 DOCUMENT_SCHEMA = T.StructType([
@@ -91,6 +92,7 @@ def pandas_analyzer(pages: DataFrame, batch_cols: list[str], fn: Callable, schem
     group fits a task; the output schema is the logical-document schema plus
     the batch columns.
     """
+    ship_package(pages.sparkSession)
     out = T.StructType([pages.schema[c] for c in batch_cols] + list(schema.fields))
     return pages.groupBy(*batch_cols).applyInPandas(fn, out)
 

@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
+
 LANE = "_lane"
 GAP = "_gap_us"
 FEAT = "_feat"
@@ -237,6 +239,7 @@ def ordered_fold(df: DataFrame, auto, lane_col: str | None, order_cols: list[str
     count); ``gap_col`` is an integer time in microseconds (K2).
     """
     spark = df.sparkSession
+    ship_package(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     lane = F.col(lane_col).cast("string") if lane_col else F.lit("")
     prepared = df.select("*", lane.alias(LANE),

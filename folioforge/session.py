@@ -78,3 +78,30 @@ def materialize(df, name: str = "stage"):
     path = f"{base}/folioforge/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``folioforge`` importable in Python workers (the ``--py-files``
+    mechanism): zip the package once per application and ``addPyFile`` it.
+    Needed by the operators that run Python on executors (packing folds,
+    archive listing, pandas analyzers, keyed streaming state)."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import zipfile
+
+    import folioforge
+    root = os.path.dirname(os.path.abspath(folioforge.__file__))
+    fd, path = tempfile.mkstemp(prefix="folioforge-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w") as z:
+        for dirpath, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions import strings as S
+from ..session import ship_package
 
 MEMBER_SCHEMA = T.StructType([
     T.StructField("archive", T.StringType()),
@@ -51,6 +52,7 @@ def _explode_zip(batches):
 def archive_members(archives: DataFrame) -> DataFrame:
     """One row per member of each archive (directories included, bytes NULL);
     a corrupt archive yields one row with ``error`` set (goes to rejects)."""
+    ship_package(archives.sparkSession)
     return archives.select("path", "content").mapInPandas(_explode_zip, MEMBER_SCHEMA)
 
 

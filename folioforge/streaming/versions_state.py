@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from .. import config as C
+from ..session import ship_package
 
 STATE_SCHEMA = T.StructType([
     T.StructField("origins", T.ArrayType(T.StringType())),
@@ -82,6 +83,7 @@ def _fold(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
 
 def stream_versions(events: DataFrame, registry: DataFrame | None = None) -> DataFrame:
     """Streaming V1 over an events stream (folio_key, cat, origen, lot_id, seq, cat_idx, confianza)."""
+    ship_package(events.sparkSession)
     if registry is not None:
         reg = registry.groupBy("folio_key", "cat").agg(
             F.collect_list(F.struct("origen", F.col("version").cast("int").alias("version"),
