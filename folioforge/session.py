@@ -70,8 +70,8 @@ def materialize(df, name: str = "stage"):
 
     Consumers then read the written rows instead of recomputing (and
     re-pruning) the upstream plan, and a lost executor recomputes from this
-    table, not from the raw inputs. (``Dataset.checkpoint`` would run the plan
-    twice: once to count, once to write.)
+    table, not from the raw inputs. Parquet is read back column by column, so
+    each consumer scans only the columns it uses.
     """
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
