@@ -68,20 +68,6 @@ def assemble_results(groups: DataFrame, registry: DataFrame | None = None,
     return out.select(*RESULT_COLUMNS)
 
 
-def error_rows(bad_events: DataFrame) -> DataFrame:
-    """An assembly failure for one category; 'Tipo/Páginas Original' absent."""
-    tag = S.short_hex(8, "lot_id", "folio_key", "categoria", "origen", "cat_idx")
-    return bad_events.select(
-        "lot_id", "seq", "cat_idx", "folio", "folio_key", F.lit(1).alias("version"),
-        F.col("cat").alias("categoria"), "cliente",
-        F.col("origen").alias("archivo_original"),
-        F.lit(0).alias("paginas_final"),
-        F.lit(C.ERROR_ASSEMBLY).alias("status"),
-        F.lit(0).alias("confianza"),
-        F.concat(F.lit(C.ERROR_ASSEMBLY + "/"), F.col("folio_key"), F.lit("_"), tag, F.lit(".pdf")).alias("ruta"),
-        F.concat(F.lit(C.ASSEMBLY_FAILURE_PREFIX + C.PATH_GUARD_MESSAGE), F.col("cat")).alias("justificacion"))
-
-
 def orphan_rows(orphans: DataFrame) -> DataFrame:
     """One review row per orphan page; no versioning, no client, no confidence.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .. import config as C
 from .fixtures import oracle
-from .oracle_pages import ALIASED, MAPPED, _resolved
+from .oracle_pages import ALIASED, _resolved
 from .oracle_rules import ROLE_CTES, payload_validation_sql
 from .oracle_sql import basename, cat_list, clean, strip_ws, suffix, unsafe
 

@@ -197,3 +197,14 @@ def test_archive_flatten(spark, tmpdir_):
     flat = sorted(r.flat_name for r in AR.flat_names(kept).collect())
     assert len(flat) == 3 and "IMG.JPEG" in flat and "doc.pdf" in flat
     assert any(n.startswith("doc_") and n.endswith(".pdf") and len(n) == len("doc_123456.pdf") for n in flat)
+
+
+def test_surviving_document_is_last_writer(spark):
+    from folioforge.operators.versions import surviving
+    ev = spark.createDataFrame(
+        [("A1", "Factura", "a.pdf", 1, 0, 1, 0, "SOBRESCRIBIR", "p1"), ("A1", "Factura", "a.pdf", 1, 1, 5, 0, "SOBRESCRIBIR", "p2"),
+         ("A1", "Factura", "a.pdf", 1, 2, 9, 0, "DESCARTAR", "p3"), ("A1", "Factura", "b.pdf", 2, 0, 3, 0, "VERSIONAR", "p4")],
+        "folio_key string, cat string, origen string, version int, lot_id int, seq long, cat_idx int, accion string, "
+        "payload string")
+    got = {(r.origen, r.version): r.payload for r in surviving(ev).collect()}
+    assert got == {("a.pdf", 1): "p2", ("b.pdf", 2): "p4"}
