@@ -55,3 +55,11 @@ def test_version_resolution_windows_are_partitioned(spark):
     plan = _plan(resolve_versions(ev))
     assert "Window" in plan and "], [], [" not in plan
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_recent_documents_take_ordered(spark):
+    res = spark.createDataFrame([(0, 1, 0, "A1", "Factura", "X"), (0, 2, 0, "P2", "Remisión", "Y")],
+                                "lot_id int, seq long, cat_idx int, folio string, categoria string, cliente string")
+    rec = CX.recent(res, "2026-01-01 00:00:00", n=20)
+    assert "TakeOrderedAndProject" in _plan(rec)
+    assert [r.folio for r in rec.orderBy("rank").collect()] == ["P2", "A1"]
