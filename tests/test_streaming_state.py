@@ -43,10 +43,14 @@ def test_stream_versions_carry_across_batches(spark, tmpdir_):
 
 
 def test_batch_retry_is_idempotent(spark, tmpdir_):
+    from folioforge.plans.pipeline import write_cumulative_report
     b = _batch(spark, [(0, 1, "P9", "Remisión", "X", 95, "r", "c.pdf", "PDF", 1, [("c_P001.pdf", 0)])])
     paths = AuditPaths(f"{tmpdir_}/out")
-    process_batch(spark, b, paths, "00000001", "2026-01-01 00:00:00")
-    process_batch(spark, b, paths, "00000001", "2026-01-01 00:00:00")  # retried batch
+    process_batch(spark, b, paths, "00000001", "2026-01-01 00:00:00", report_every_batch=False)
+    process_batch(spark, b, paths, "00000001", "2026-01-01 00:00:00", report_every_batch=False)  # retried
+    assert not os.path.exists(paths.report)
+    target = write_cumulative_report(spark, paths, "2026-01-01 00:00:00")
+    assert spark.read.option("header", True).csv(target).count() == 1
     assert R.current(spark, paths.registry).count() == 1
     assert ContextStore(spark, paths.context).load()["stats"].first().total_documentos_procesados == 1
 
