@@ -129,3 +129,18 @@ def test_stateful_stream_versions_match_batch(spark, tmpdir_):
     exp_df = resolve_versions(spark.createDataFrame(rows, schema), reg, materialize_events=False)
     exp = {(r.seq, r.cat_idx): (r.version, r.accion) for r in exp_df.collect()}
     assert len(OUT_SCHEMA) == 9 and got == exp
+
+
+def test_stream_archives_committed_sources(spark, tmpdir_):
+    src, arch = f"{tmpdir_}/in", f"{tmpdir_}/archive"
+    b1 = _batch(spark, [(0, 1, "A7", "Factura", "X", 90, "r", "a.pdf", "PDF", 1, [("a_P001.pdf", 0)])])
+    b2 = _batch(spark, [(1, 2, "R8", "Remisión", "Y", 85, "r", "b.pdf", "PDF", 1, [("b_P001.pdf", 0)])])
+    b1.coalesce(1).write.parquet(f"{src}/p1")
+    b2.coalesce(1).write.parquet(f"{src}/p2")
+    paths = AuditPaths(f"{tmpdir_}/out")
+    stream = items_stream(spark, f"{src}/*", b1.schema, max_files=1, archive_dir=arch)
+    q = run_stream(spark, stream, paths, f"{tmpdir_}/ckpt", batch_ts_fn=lambda b: "2026-01-01 00:00:00")
+    q.awaitTermination(300)
+    assert spark.read.parquet(paths.results).count() == 2
+    archived = [f for _, _, fs in os.walk(arch) for f in fs if f.endswith(".parquet")]
+    assert len(archived) >= 1       # files of committed micro-batches were moved out of the input
