@@ -6,7 +6,10 @@ third row onto the hot key (ERROR_DOCUMENTO_ILEGIBLE, No identificado), runs
 a stage's shuffle-read records handled by a single task. A one-task window over
 the hot key would show a share of at least a third.
 
-Usage: python tools/skew_check.py [sf_dir] [partitions]
+Mode ``roles`` does the same for page roles and segmentation (blocked
+scans): one origin holds a third of all pages.
+
+Usage: python tools/skew_check.py [sf_dir] [partitions] [versions|roles]
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
+from folioforge.operators import rules as RU  # noqa: E402
 from folioforge.operators.versions import resolve_versions  # noqa: E402
 from folioforge.session import build_session  # noqa: E402
 
@@ -28,6 +32,7 @@ from folioforge.session import build_session  # noqa: E402
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     parts = int(sys.argv[2]) if len(sys.argv) > 2 else 32
+    mode = sys.argv[3] if len(sys.argv) > 3 else "versions"
     log_dir = tempfile.mkdtemp(prefix="skew-evlog-")
     spark = build_session(shuffle_partitions=parts, extra={
         "spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir, "spark.eventLog.compress": "false",
@@ -43,10 +48,20 @@ def main() -> None:
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"),
         F.lit(0).alias("cat_idx"),
         ((F.col("l_partkey") * 7 + F.col("l_suppkey")) % 101).cast("int").alias("confianza"))
-    out = resolve_versions(ev)
+    if mode == "roles":
+        ev = li.select(
+            F.when(hot, F.lit("hot")).otherwise(F.concat(F.lit("o"), (F.col("l_orderkey") % 97).cast("string")))
+            .alias("origin"),
+            (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("page_no"),
+            ((F.col("l_partkey") % 5) == 0).alias("has_header"), ((F.col("l_suppkey") % 7) == 0).alias("has_footer"))
+        out = RU.segments(RU.page_roles(ev, ["origin"], "page_no"), ["origin"], "page_no")
+        hot_col, hot_val = "origin", "hot"
+    else:
+        out = resolve_versions(ev)
+        hot_col, hot_val = "folio_key", "ERROR_DOCUMENTO_ILEGIBLE"
     out.write.format("noop").mode("overwrite").save()
     n = ev.count()
-    n_hot = ev.filter(F.col("folio_key") == "ERROR_DOCUMENTO_ILEGIBLE").count()
+    n_hot = ev.filter(F.col(hot_col) == hot_val).count()
     spark.stop()
     f = sorted(glob.glob(f"{log_dir}/*/events*") + glob.glob(f"{log_dir}/app*"))[0]
     reads: dict[int, list[int]] = {}
@@ -64,7 +79,7 @@ def main() -> None:
             share = max(rs) / tot
             worst = max(worst, share)
             print(f"stage {sid}: {len(rs)} tasks, {tot} records read, largest task {share:.1%}")
-    print(json.dumps({"events": n, "hot_key_events": n_hot, "hot_share": round(n_hot / n, 3),
+    print(json.dumps({"mode": mode, "rows": n, "hot_rows": n_hot, "hot_share": round(n_hot / n, 3),
                       "partitions": parts, "max_task_share": round(worst, 3)}))
 
 
