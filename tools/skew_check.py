@@ -9,7 +9,10 @@ the hot key would show a share of at least a third.
 Mode ``roles`` does the same for page roles and segmentation (blocked
 scans): one origin holds a third of all pages.
 
-Usage: python tools/skew_check.py [sf_dir] [partitions] [versions|roles]
+Mode ``examples`` does it for the last-three-examples fold: one folio prefix
+holds a third of all results.
+
+Usage: python tools/skew_check.py [sf_dir] [partitions] [versions|roles|examples]
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
+from folioforge.operators import context as CX  # noqa: E402
 from folioforge.operators import rules as RU  # noqa: E402
 from folioforge.operators.versions import resolve_versions  # noqa: E402
 from folioforge.session import build_session  # noqa: E402
@@ -56,6 +60,17 @@ def main() -> None:
             ((F.col("l_partkey") % 5) == 0).alias("has_header"), ((F.col("l_suppkey") % 7) == 0).alias("has_footer"))
         out = RU.segments(RU.page_roles(ev, ["origin"], "page_no"), ["origin"], "page_no")
         hot_col, hot_val = "origin", "hot"
+    elif mode == "examples":
+        letter = F.element_at(F.array(*[F.lit(c) for c in "BCDEFGHIJKLMNOPQ"]),
+                              (F.col("l_orderkey") % 16 + 1).cast("int"))
+        ev = li.select(
+            F.floor(F.col("l_orderkey") / 500).cast("int").alias("lot_id"),
+            (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"), F.lit(0).alias("cat_idx"),
+            F.concat(F.when(hot, F.lit("A")).otherwise(letter), F.col("l_partkey").cast("string")).alias("folio"),
+            F.lit("Factura").alias("categoria"), F.lit("X").alias("cliente"))
+        out = CX.examples(ev, CX.seed_prefixes(spark))
+        ev = ev.withColumn("prefix", F.substring("folio", 1, 1))
+        hot_col, hot_val = "prefix", "A"
     else:
         out = resolve_versions(ev)
         hot_col, hot_val = "folio_key", "ERROR_DOCUMENTO_ILEGIBLE"
