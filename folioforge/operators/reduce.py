@@ -10,7 +10,7 @@ index, folio index folded into one total order by the caller.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -48,7 +48,10 @@ def reduce_items(items: DataFrame, scope: str = "lot") -> DataFrame:
     df = with_folio_key(items)
     keys = GROUP_KEYS if scope == "lot" else GROUP_KEYS[1:]
     if scope != "lot":
-        df = df.withColumn("lot_id", F.min("lot_id").over(Window.partitionBy(*keys)))
+        # first lot of each cross-lot group: a map-side-combined aggregate joined
+        # back (not a window, which would put a hot group into one task)
+        first_lot = df.groupBy(*keys).agg(F.min("lot_id").alias("_first_lot"))
+        df = df.join(first_lot, keys).withColumn("lot_id", F.col("_first_lot")).drop("_first_lot")
         keys = GROUP_KEYS
     g = df.groupBy(*keys).agg(
         F.min("seq").alias("seq"),

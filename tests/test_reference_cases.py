@@ -208,3 +208,12 @@ def test_surviving_document_is_last_writer(spark):
         "payload string")
     got = {(r.origen, r.version): r.payload for r in surviving(ev).collect()}
     assert got == {("a.pdf", 1): "p2", ("b.pdf", 2): "p4"}
+
+
+def test_lots_are_semantic_unless_global_scope(spark):
+    o = C.IMAGE_ORIGIN
+    items = _items(spark, [(0, 1, "F1", "Ticket", "N", 90, "a", o, C.ORIGIN_TYPE_IMAGES, 2, [("i0.pdf", 0)]),
+                           (3, 9, "F1", "Ticket", "N", 95, "b", o, C.ORIGIN_TYPE_IMAGES, 1, [("i1.pdf", 0)])])
+    assert sorted((r.lot_id, r.paginas_final) for r in reduce_items(items).collect()) == [(0, 1), (3, 1)]
+    merged = reduce_items(items, scope="global").collect()
+    assert [(r.lot_id, r.paginas_final, r.justificacion) for r in merged] == [(0, 2, "a | b")]
