@@ -160,10 +160,11 @@ def assembly_manifest(versioned_with_pages: DataFrame) -> DataFrame:
     """P6 + V2: one manifest per output route; the last writer of a route wins.
 
     Input: non-discarded events with ``ruta``, ``paginas``, ordered by
-    (lot_id, seq, cat_idx). A route is written by one (key, cat, version), so
-    the window is bounded by the events of one document.
+    (lot_id, seq, cat_idx); the last writer per route is an aggregate, so a
+    route written from many lots (one image origin) is not one window.
     """
-    w = Window.partitionBy("ruta").orderBy(F.col("lot_id").desc(), F.col("seq").desc(), F.col("cat_idx").desc())
-    return (versioned_with_pages.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-            .select("ruta", "origen", "lot_id", "seq", "cat_idx",
-                    F.size("paginas").alias("n_pages"), pages_text("paginas").alias("paginas")))
+    from .scans import last_per_key
+    last = last_per_key(versioned_with_pages.select("ruta", "origen", "lot_id", "seq", "cat_idx", "paginas"),
+                        ["ruta"], ["lot_id", "seq", "cat_idx"])
+    return last.select("ruta", "origen", "lot_id", "seq", "cat_idx",
+                       F.size("paginas").alias("n_pages"), pages_text("paginas").alias("paginas"))

@@ -11,12 +11,13 @@ state. On a table format with MERGE support the same logic is one
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import strings as S
 from .results import category_folder
+from .scans import last_per_key
 
 NATURAL_KEY = ["folio", "categoria", "version", "archivo_original"]
 UPDATED = ["divisa", "cliente", "paginas_consolidado", "status", "confianza_promedio", "ruta_servidor"]
@@ -52,9 +53,8 @@ def batch_rows(results: DataFrame) -> DataFrame:
         F.coalesce("status", F.lit(C.STATUS_PENDING)).alias("status"),
         F.coalesce("confianza", F.lit(0)).cast("int").alias("confianza_promedio"),
         F.coalesce("ruta", F.lit(C.ERROR_EMPTY_ROUTE)).alias("ruta_servidor"))
-    w = Window.partitionBy(*NATURAL_KEY).orderBy(F.col("lot_id").desc(), F.col("seq").desc(),
-                                                 F.col("cat_idx").desc())
-    return vals.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "lot_id", "seq", "cat_idx")
+    # orphans of one origin share the key, so the key can be hot: last-wins by aggregate
+    return last_per_key(vals, NATURAL_KEY, ["lot_id", "seq", "cat_idx"]).drop("lot_id", "seq", "cat_idx")
 
 
 def upsert(stored: DataFrame, results: DataFrame, batch_ts: str) -> DataFrame:

@@ -74,3 +74,16 @@ def running_sum(df: DataFrame, part_cols: list[str], order_col: str, value_col:
     return (d.join(summ.select(*kb, "_carry"), kb, "left")
             .withColumn(out_col, F.coalesce("_carry", F.lit(0)) + F.col("_local"))
             .drop("_local", "_carry", BLK))
+
+
+def last_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
+    """The row with the greatest ``order_cols`` per key ("last writer wins").
+
+    A max-of-struct aggregate instead of ``row_number() = 1``: it combines
+    map-side, so a hot key's final step sees one row per map task rather than
+    all of the key's rows in one window. Column order is preserved.
+    """
+    rest = [c for c in df.columns if c not in keys and c not in order_cols]
+    packed = F.max(F.struct(*[F.col(c) for c in order_cols + rest])).alias("_last")
+    out = df.groupBy(*keys).agg(packed)
+    return out.select(*[F.col(c) if c in keys else F.col(f"_last.{c}").alias(c) for c in df.columns])

@@ -138,7 +138,6 @@ def birth_ranks(origins: DataFrame) -> DataFrame:
 
 def surviving(versioned: DataFrame) -> DataFrame:
     """V2: per (key, cat, version, origin) the last non-discarded event wins the file."""
-    w = Window.partitionBy("folio_key", "cat", "version", "origen").orderBy(
-        F.col("lot_id").desc(), F.col("seq").desc(), F.col("cat_idx").desc())
-    return (versioned.filter(F.col("accion") != C.ACTION_DISCARD)
-            .withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn"))
+    from .scans import last_per_key
+    return last_per_key(versioned.filter(F.col("accion") != C.ACTION_DISCARD),
+                        ["folio_key", "cat", "version", "origen"], ["lot_id", "seq", "cat_idx"])
