@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.pipeline import AuditPaths, process_batch
+from ..plans.batch_run import AuditPaths, process_batch
 
 
 def items_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int = 1,

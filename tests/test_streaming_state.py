@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from folioforge.operators import registry as R
-from folioforge.plans.pipeline import AuditPaths, process_batch
+from folioforge.plans.batch_run import AuditPaths, process_batch
 from folioforge.sources.state import ContextStore, read_audit_log, log_summary
 from folioforge.streaming.stream import items_stream, run_stream
 
@@ -43,7 +43,7 @@ def test_stream_versions_carry_across_batches(spark, tmpdir_):
 
 
 def test_batch_retry_is_idempotent(spark, tmpdir_):
-    from folioforge.plans.pipeline import write_cumulative_report
+    from folioforge.plans.batch_run import write_cumulative_report
     b = _batch(spark, [(0, 1, "P9", "Remisión", "X", 95, "r", "c.pdf", "PDF", 1, [("c_P001.pdf", 0)])])
     paths = AuditPaths(f"{tmpdir_}/out")
     process_batch(spark, b, paths, "00000001", "2026-01-01 00:00:00", report_every_batch=False)
