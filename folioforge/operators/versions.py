@@ -19,7 +19,8 @@ Here the fold is restated as aggregates and windows:
   put all its events into one task.
 * an origin is born at its first event unless the registry holds it; its
   version is the registry's max version + the rank of its birth among the
-  new origins of the key (a window over one row per origin).
+  new origins of the key, ranked in two levels (inside the birth lot, plus
+  the births of earlier lots carried over one row per (key, cat, lot)).
 """
 
 from __future__ import annotations
@@ -68,9 +69,10 @@ def resolve_versions(events: DataFrame, registry: DataFrame | None = None,
     ``registry``: folio_key, cat, origen, version, score (or None = empty).
     Adds ``version`` (int) and ``accion``.
 
-    Events are read twice (a per-lot aggregate and the final per-lot window),
-    so they are materialized once (reliable checkpoint) unless the caller
-    already did.
+    Events are read twice (a per-lot aggregate and the final per-lot window)
+    and the per-lot summary three times, so both are materialized once
+    (parquet under ``spark.checkpoint.dir``) unless ``materialize_events`` is
+    False.
     """
     if materialize_events:
         events = materialize(events, "events")
