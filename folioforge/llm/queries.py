@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import line_dedup, quality
+from folioforge.llm import line_dedup, mixing, quality, toxicity
 from folioforge.llm.common import read_table, ready
 
 
@@ -20,9 +20,21 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read_table(spark, sf_dir, "documents"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return mixing.mix(read_table(spark, sf_dir, "documents"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op4_line_dedup": op4_line_dedup,
+    "op6_mixing": op6_mixing,
     "op7_quality_rules": op7_quality_rules,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLES = {
