@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import line_dedup, mixing, quality, toxicity
+from folioforge.llm import bpe, line_dedup, mixing, quality, toxicity
 from folioforge.llm.common import read_table, ready
 
 
@@ -25,6 +25,13 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    done = bpe.decode(bpe.encode(read_table(spark, sf_dir, "documents")))
+    return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
@@ -34,6 +41,7 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op6_mixing": op6_mixing,
     "op7_quality_rules": op7_quality_rules,
+    "op8_bpe": op8_bpe,
     "op9_toxicity": op9_toxicity,
 }
 
