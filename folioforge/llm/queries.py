@@ -5,10 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import bpe, line_dedup, mixing, quality, toxicity
+from folioforge.llm import bpe, fingerprints, line_dedup, mixing, quality, toxicity
 from folioforge.llm.common import read_table, ready
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    done = fingerprints.fingerprint_chain(read_table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
+                       "edited_fingerprint", "near_edited", "near_next")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     done = line_dedup.line_dedup(read_table(spark, sf_dir, "documents"), min_chars=10)
@@ -38,6 +45,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_fingerprints": op2_fingerprints,
     "op4_line_dedup": op4_line_dedup,
     "op6_mixing": op6_mixing,
     "op7_quality_rules": op7_quality_rules,
