@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import bpe, fingerprints, line_dedup, mixing, quality, toxicity
+from folioforge.llm import bpe, fingerprints, line_dedup, minhash, mixing, quality, toxicity
 from folioforge.llm.common import read_table, ready
 
 
@@ -16,6 +16,11 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "edited_fingerprint", "near_edited", "near_next")
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     done = line_dedup.line_dedup(read_table(spark, sf_dir, "documents"), min_chars=10)
@@ -46,6 +51,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_fingerprints": op2_fingerprints,
+    "op3_minhash": op3_minhash,
     "op4_line_dedup": op4_line_dedup,
     "op6_mixing": op6_mixing,
     "op7_quality_rules": op7_quality_rules,
