@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import bpe, fingerprints, line_dedup, minhash, mixing, quality, toxicity
+from folioforge.llm import bpe, fingerprints, html_extract, line_dedup, minhash, mixing, quality, toxicity
 from folioforge.llm.common import read_table, ready
 
 
@@ -49,6 +49,11 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op2_fingerprints": op2_fingerprints,
     "op3_minhash": op3_minhash,
@@ -57,6 +62,7 @@ QUERIES = {
     "op7_quality_rules": op7_quality_rules,
     "op8_bpe": op8_bpe,
     "op9_toxicity": op9_toxicity,
+    "op10_html_extract": op10_html_extract,
 }
 
 ORACLES = {
