@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import bpe, fingerprints, html_extract, line_dedup, minhash, mixing, quality, toxicity
+from folioforge.llm import bpe, fingerprints, html_extract, line_dedup, minhash, mixing, quality, suffix_dedup, toxicity
 from folioforge.llm.common import read_table, ready
 
 
@@ -32,6 +32,12 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read_table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    done = suffix_dedup.suffix_dedup(read_table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     return mixing.mix(read_table(spark, sf_dir, "documents"))
@@ -58,6 +64,7 @@ QUERIES = {
     "op2_fingerprints": op2_fingerprints,
     "op3_minhash": op3_minhash,
     "op4_line_dedup": op4_line_dedup,
+    "op5_suffix_array": op5_suffix_array,
     "op6_mixing": op6_mixing,
     "op7_quality_rules": op7_quality_rules,
     "op8_bpe": op8_bpe,
