@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import bpe, fingerprints, html_extract, line_dedup, minhash, mixing, quality, suffix_dedup, toxicity
+from folioforge.llm import bpe, fingerprints, html_extract, line_dedup, minhash, mixing, quality, substring_dedup, suffix_dedup, toxicity
 from folioforge.llm.common import read_table, ready
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return substring_dedup.removed_units(read_table(spark, sf_dir, "documents"))
+
+
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     done = fingerprints.fingerprint_chain(read_table(spark, sf_dir, "documents"))
@@ -61,6 +66,7 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_fingerprints": op2_fingerprints,
     "op3_minhash": op3_minhash,
     "op4_line_dedup": op4_line_dedup,
@@ -73,6 +79,19 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_substring_dedup": r"""
+WITH p AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\n]*?[.!?][ \t]|[^\n]*\n|[^\n]+') AS parts FROM documents),
+u AS (SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) - 1 AS unit FROM p),
+w AS (SELECT doc_id, unit, part, regexp_extract_all(part, '[^ \t\n\x0B\f\r]+') AS words,
+    sum(length(part)) OVER (PARTITION BY doc_id ORDER BY unit) AS stop FROM u),
+k AS (SELECT doc_id, unit, (stop - length(part))::BIGINT AS start, stop::BIGINT AS stop,
+    translate(array_to_string(words, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM w WHERE len(words) >= 8),
+f AS (SELECT *, first_value(doc_id) OVER o AS first_doc_id, first_value(unit) OVER o AS first_unit
+  FROM k WINDOW o AS (PARTITION BY key ORDER BY doc_id, unit))
+SELECT doc_id, unit, start, stop AS "end", first_doc_id, first_unit FROM f
+WHERE doc_id <> first_doc_id OR unit <> first_unit
+""",
     "op4_line_dedup": r"""
 WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
     generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
