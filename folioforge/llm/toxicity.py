@@ -25,6 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioforge.llm.words import PUNCT_BYTES, U64, chunks, mix, text_bytes, word_hashes
 
@@ -121,8 +122,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> np.ndar
     return out
 
 
-def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
-    """Every column of ``docs`` and ``score``, from 0 to 1, from ``text`` alone."""
+def score(docs: DataFrame, weights: np.ndarray, column: str = "score") -> DataFrame:
+    """Every column of ``docs`` and ``column``, the score from 0 to 1, from ``text`` alone."""
     at = np.flatnonzero(weights[:-1]).astype(np.int32)
     sent = docs.sparkSession.sparkContext.broadcast((at, weights[at], float(weights[-1])))
 
@@ -140,12 +141,9 @@ def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
                 seen = np.unique(texts[some].astype(np.int64) << BITS | hit[some])
                 total[i:j] += np.bincount(seen >> BITS, w[seen & ((1 << BITS) - 1)], j - i)
             found = pa.array(1.0 / (1.0 + np.exp(-np.clip(total, -35, 35))))
-            keep = [k for k, name in enumerate(b.schema.names) if name != "score"]
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), found],
-                                             names=[*(b.schema.names[k] for k in keep), "score"])
-    fields = [f for f in docs.schema.fields if f.name != "score"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", score double"
-    return docs.mapInArrow(run, schema)
+            yield pa.RecordBatch.from_arrays([*b.columns, found], names=[*b.schema.names, column])
+    docs = docs.drop(column)
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
