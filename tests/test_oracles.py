@@ -12,6 +12,7 @@ import pytest
 
 import __spark_entry__ as E
 from folioforge.plans.fixtures import BASE_TABLES
+from folioforge.plans.queries import ORACLES, QUERIES
 
 SF = os.environ.get("FOLIOFORGE_ORACLE_SF", "/root/testdata/sf0.01")
 SKIP = os.environ.get("FOLIOFORGE_SKIP_ORACLES") == "1"
@@ -57,7 +58,7 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry_smoke(spark):
