@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import strings as S
+from ..sources.pointer import path_exists, read_pointer, write_pointer
 from .results import category_folder
 from .scans import last_per_key
 
+NO_SNAPSHOT = "-"
 NATURAL_KEY = ["folio", "categoria", "version", "archivo_original"]
 UPDATED = ["divisa", "cliente", "paginas_consolidado", "status", "confianza_promedio", "ruta_servidor"]
 REGISTRY_COLUMNS = ["id", "folio", "folio_key", "categoria", "version", "divisa", "cliente",
@@ -128,31 +130,52 @@ def constraint_violations(registry: DataFrame) -> DataFrame:
     return out
 
 
-def publish(spark: SparkSession, snapshot: DataFrame, base_path: str, batch_id: str,
-            check: bool = True) -> str:
-    """Write the snapshot aside, then point the registry at it.
+def write_snapshot(spark: SparkSession, snapshot: DataFrame, base_path: str, batch_id: str, check: bool = True) -> str:
+    """Write the snapshot of a batch aside and check it; returns its folder.
 
-    Idempotent by batch id: a snapshot already completed for this id is kept
-    (a retried batch does not write twice). Constraint violations abort before
-    the pointer moves, leaving the previous snapshot current.
+    Idempotent by batch id: a snapshot already completed for this id is kept (a
+    retried batch does not write twice). Constraint violations raise.
     """
     target = f"{base_path.rstrip('/')}/snapshots/batch={batch_id}"
-    jvm = spark._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path
-    fs = hpath(target).getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(hpath(target + "/_SUCCESS")):
+    if not path_exists(spark, target + "/_SUCCESS"):
         snapshot.write.mode("overwrite").parquet(target)
-    if check and constraint_violations(spark.read.parquet(target)).limit(1).count():
-        raise ValueError(f"registry batch {batch_id} violates constraints; not published")
-    spark.createDataFrame([(target,)], "path string").coalesce(1) \
-        .write.mode("overwrite").text(f"{base_path.rstrip('/')}/_current")
+    if check:
+        found = constraint_violations(spark.read.parquet(target)).limit(3).collect()
+        if found:
+            raise ValueError(f"registry batch {batch_id} violates constraints; not published: "
+                             + "; ".join(f"{r['rule']} {r['key']} ({r['n']})" for r in found))
+    return target
+
+
+def point_at(spark: SparkSession, target: str, base_path: str) -> None:
+    """Make a written snapshot the current one (an atomic rename)."""
+    write_pointer(spark, f"{base_path.rstrip('/')}/_current", target)
+
+
+def publish(spark: SparkSession, snapshot: DataFrame, base_path: str, batch_id: str,
+            check: bool = True) -> str:
+    """Write the snapshot aside, check it, then point the registry at it. A
+    violation leaves the previous snapshot current."""
+    target = write_snapshot(spark, snapshot, base_path, batch_id, check)
+    point_at(spark, target, base_path)
     return target
 
 
 def current(spark: SparkSession, base_path: str) -> DataFrame | None:
-    """The published snapshot, or None when nothing was published yet."""
-    try:
-        row = spark.read.text(f"{base_path.rstrip('/')}/_current").first()
-    except Exception:  # noqa: BLE001 - no pointer yet
-        return None
-    return spark.read.parquet(row[0]) if row else None
+    """The published snapshot, or None when nothing was published yet; a pointer
+    that cannot be read raises."""
+    target = read_pointer(spark, f"{base_path.rstrip('/')}/_current")
+    return None if target is None else spark.read.parquet(target)
+
+
+def base_of_batch(spark: SparkSession, base_path: str, batch_id: str) -> DataFrame | None:
+    """The snapshot a batch starts from, pinned under its id before it writes
+    anything: a retry resolves against the same snapshot as the first try, also
+    when that try had published its own."""
+    base = base_path.rstrip("/")
+    pin = f"{base}/bases/batch={batch_id}"
+    target = read_pointer(spark, pin)
+    if target is None:
+        target = read_pointer(spark, f"{base}/_current") or NO_SNAPSHOT
+        write_pointer(spark, pin, target)
+    return None if target == NO_SNAPSHOT else spark.read.parquet(target)

@@ -4,8 +4,8 @@
 ``foreachBatch`` execute: map-stage items in, then
 
     reduce -> multiplex -> versions (vs the published registry) -> results
-    -> materialize results -> upsert -> publish registry snapshot
-    -> context update -> cumulative report
+    -> materialize results -> upsert -> registry snapshot, checked
+    -> results -> pointer to the snapshot -> context update -> report -> ledger
 
 Ordering follows the original's "store, then move": the registry snapshot
 is published before the processed manifest is written, and every write is
@@ -19,12 +19,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import config as C
+from ..functions import strings as S
 from ..operators import registry as R
 from ..operators import report as RP
 from ..operators.reduce import reduce_items
 from ..operators.results import assemble_results
 from ..session import materialize
-from ..sources.raw_files import mark_processed
+from ..sources.pointer import path_exists
+from ..sources.raw_files import list_raw_files, mark_processed, route, unprocessed
 from ..sources.state import ContextStore, update_context
 
 
@@ -61,32 +64,70 @@ def empty_registry_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def split_orphans(items: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Regular items, and the orphan items in the form of ``orphan_rows``."""
+    if "is_orphan" not in items.columns:
+        return items, None
+    orphan = F.coalesce(F.col("is_orphan"), F.lit(False))
+    name = F.concat(F.lit(C.ORPHAN_PREFIX), S.stem(F.col("paginas")[0]["path"]))
+    if "orphan_name" in items.columns:
+        name = F.coalesce("orphan_name", name)
+    return items.filter(~orphan), items.filter(orphan).select(
+        "lot_id", "seq", "origen", name.alias("orphan_name"), "justificacion")
+
+
+def input_files(items: DataFrame, files: DataFrame | None) -> DataFrame:
+    """(file_name) of the batch's input files. ``files`` lists them; without
+    it, the items' ``source_file`` or else their origin stands for them, whatever
+    became of the items (discarded, orphan, no result)."""
+    if files is not None:
+        return files.select("file_name")
+    column = "source_file" if "source_file" in items.columns else "origen"
+    return items.select(F.col(column).alias("file_name")).filter(F.col("file_name").isNotNull())
+
+
+def pending_files(spark: SparkSession, raw_path: str, paths: AuditPaths) -> DataFrame:
+    """Routed raw files that no stored batch has processed yet."""
+    files = route(list_raw_files(spark, raw_path)).filter(~F.col("junk"))
+    done = spark.read.parquet(paths.processed) if path_exists(spark, paths.processed) else None
+    return unprocessed(files, done)
+
+
 def process_batch(spark: SparkSession, items: DataFrame, paths: AuditPaths, batch_id: str, batch_ts: str,
-                  orphans: DataFrame | None = None, check_constraints: bool = False,
-                  report_every_batch: bool = True) -> DataFrame:
+                  orphans: DataFrame | None = None, check_constraints: bool = True,
+                  report_every_batch: bool = True, files: DataFrame | None = None) -> DataFrame:
     """Run one batch of map-stage items through the audit; returns its results.
 
+    Items with ``is_orphan`` become orphan rows, beside those of ``orphans``.
+    The batch resolves against the snapshot that was current when it first
+    began, so a retry writes what the first try wrote. The new snapshot is
+    checked (U4) before any result is stored; a violation raises and leaves
+    registry, results and ledger as they were. ``files`` are the batch's input
+    files for the processed ledger (see ``input_files``).
+
     ``report_every_batch`` rewrites the cumulative report after each batch, as
     the original does (A2). Over a long run that rewrite is quadratic in the
     results; with ``False`` the report is written once at the end with
     :func:`write_cumulative_report` (same rows: the report is a projection of
     all result partitions).
     """
-    stored = R.current(spark, paths.registry)
+    stored = R.base_of_batch(spark, paths.registry, batch_id)
     if stored is None:
         stored = empty_registry_table(spark)
-    groups = reduce_items(items.filter(~F.coalesce(F.col("is_orphan"), F.lit(False)))
-                          if "is_orphan" in items.columns else items)
-    results = assemble_results(groups, R.as_version_source(stored), orphans)
+    regular, own_orphans = split_orphans(items)
+    if own_orphans is not None:
+        orphans = own_orphans if orphans is None else orphans.unionByName(own_orphans, allowMissingColumns=True)
+    results = assemble_results(reduce_items(regular), R.as_version_source(stored), orphans)
     results = materialize(results, f"results-{batch_id}")
+    snapshot = R.write_snapshot(spark, R.upsert(stored, results, batch_ts), paths.registry, batch_id, check_constraints)
     results.write.mode("overwrite").parquet(f"{paths.results}/batch={batch_id}")
-    R.publish(spark, R.upsert(stored, results, batch_ts), paths.registry, batch_id, check=check_constraints)
+    R.point_at(spark, snapshot, paths.registry)
     store = ContextStore(spark, paths.context)
     store.save(update_context(store.load(), results, batch_ts), batch_id)
     if report_every_batch:
         write_cumulative_report(spark, paths, batch_ts)
     # Sources are marked processed only after the registry was published
-    mark_processed(spark, results.select(F.col("archivo_original").alias("file_name")), paths.processed, batch_id)
+    mark_processed(spark, input_files(items, files), paths.processed, batch_id)
     return results
 
 

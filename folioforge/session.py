@@ -44,8 +44,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/object store)
-    folder and is used as is. Only when it is unset -- local tests -- a fresh
-    scratch folder is created and registered.
+    folder and is used as is. Only when it is unset and the master is local
+    (tests) a fresh scratch folder is created and registered; elsewhere a
+    machine-local folder would lose data, so that raises.
     """
     sc = spark.sparkContext
     current = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
@@ -53,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not sc.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
     scratch = tempfile.mkdtemp(prefix="folioforge-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set(CHECKPOINT_CONF, scratch)
     sc.setCheckpointDir(scratch)

@@ -8,11 +8,13 @@ never half of one. A missing or unreadable state falls back to the seeds.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import context as CX
+from .pointer import path_exists, read_pointer, write_pointer
 
 TABLES = ["stats", "prefixes", "clients", "recent", "categories"]
 
@@ -31,43 +33,41 @@ class ContextStore:
             "clients": s.createDataFrame([], "cliente string, frecuencia long, "
                                              "first_ord struct<lot_id:int,seq:bigint,cat_idx:int>"),
             "recent": s.createDataFrame([], "tipo string, folio string, cliente string, ts timestamp, "
-                                            "_ord struct<lot_id:int,seq:bigint,cat_idx:int>"),
+                                            "_ord struct<batch:bigint,lot_id:int,seq:bigint,cat_idx:int>"),
             "categories": CX.categories(s),
         }
 
     def load(self) -> dict[str, DataFrame]:
-        """Current state; missing or corrupt -> base structure (seeds)."""
-        try:
-            row = self.spark.read.text(f"{self.path}/_current").first()
-            if row is None:
-                return self.seeds()
-            version = row[0]
-            out = {}
-            for t in TABLES:
-                df = self.spark.read.format(self.fmt).load(f"{version}/{t}")
-                df.schema  # noqa: B018 - forces the footer read: corrupt -> except
-                out[t] = df
-            return out
-        except Exception:  # noqa: BLE001 - absent or unreadable state
+        """Current state; missing or corrupt -> base structure (seeds). Corrupt means
+        that a table's folder is gone or Spark cannot read a schema from it; any
+        other failure of a read is raised."""
+        version = self.current_version()
+        if version is None or not all(path_exists(self.spark, f"{version}/{t}") for t in TABLES):
             return self.seeds()
+        out = {}
+        for t in TABLES:
+            try:
+                out[t] = self.spark.read.format(self.fmt).load(f"{version}/{t}")
+            except AnalysisException as e:
+                if e.getCondition() in ("UNABLE_TO_INFER_SCHEMA", "CANNOT_READ_FILE_FOOTER"):
+                    return self.seeds()
+                raise
+        return out
 
     def current_version(self) -> str | None:
-        try:
-            row = self.spark.read.text(f"{self.path}/_current").first()
-            return row[0] if row else None
-        except Exception:  # noqa: BLE001
-            return None
+        return read_pointer(self.spark, f"{self.path}/_current")
 
     def save(self, tables: dict[str, DataFrame], batch_id: str) -> str:
         """Write a new version, then move the pointer; a retried batch whose
-        version is already current is a no-op."""
+        version is already current is a no-op. Only the clients grow with the
+        data; the other tables are a few rows, one file each."""
         version = f"{self.path}/versions/batch={batch_id}"
         if self.current_version() == version:
             return version
         for t in TABLES:
-            tables[t].coalesce(1).write.mode("overwrite").format(self.fmt).save(f"{version}/{t}")
-        self.spark.createDataFrame([(version,)], "v string").coalesce(1) \
-            .write.mode("overwrite").text(f"{self.path}/_current")
+            df = tables[t] if t == "clients" else tables[t].coalesce(1)
+            df.write.mode("overwrite").format(self.fmt).save(f"{version}/{t}")
+        write_pointer(self.spark, f"{self.path}/_current", version)
         return version
 
 
@@ -88,16 +88,16 @@ def update_context(state: dict[str, DataFrame], results: DataFrame, batch_ts: st
 
 
 def _recent_with_ord(results: DataFrame, batch_ts: str, stored: DataFrame, n: int) -> DataFrame:
-    """C6 keeping the order key so the next batch can merge (last n overall)."""
+    """C6 keeping the order key so the next batch can merge (last n overall). The
+    key leads with the number of the batch, since lot ids restart in each run."""
     from ..functions import strings as S
     from ..functions.predicates import valid_folio
-    rows = results.filter(valid_folio("folio")).select(
+    last = stored.agg(F.coalesce(F.max("_ord.batch"), F.lit(0)).alias("_last"))   # one row
+    rows = results.filter(valid_folio("folio")).crossJoin(F.broadcast(last)).select(
         S.main_category("categoria").alias("tipo"), "folio", "cliente",
-        F.to_timestamp(F.lit(batch_ts)).alias("ts"), F.struct("lot_id", "seq", "cat_idx").alias("_ord"),
-        F.lit(1).alias("_gen"))
-    old = stored.select("tipo", "folio", "cliente", "ts", "_ord", F.lit(0).alias("_gen"))
-    return (old.unionByName(rows).orderBy(F.col("_gen").desc(), F.col("_ord").desc()).limit(n)
-            .drop("_gen"))
+        F.to_timestamp(F.lit(batch_ts)).alias("ts"),
+        F.struct((F.col("_last") + 1).alias("batch"), "lot_id", "seq", "cat_idx").alias("_ord"))
+    return stored.select("tipo", "folio", "cliente", "ts", "_ord").unionByName(rows).orderBy(F.col("_ord").desc()).limit(n)
 
 
 AUDIT_LOG_SCHEMA = T.StructType([

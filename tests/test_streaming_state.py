@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from folioforge.operators import registry as R
@@ -39,7 +40,8 @@ def test_stream_versions_carry_across_batches(spark, tmpdir_):
     reports = sorted(os.listdir(paths.report))
     assert reports and reports[-1].startswith("Auditoria_Integridad_2025123")   # 2026-01-01 UTC in Monterrey
     assert spark.read.option("header", True).csv(f"{paths.report}/{reports[-1]}").count() == 2
-    assert sorted(r.file_name for r in spark.read.parquet(paths.processed).distinct().collect()) == ["a.pdf", "b.pdf"]
+    done = {(r.batch, r.file_name) for r in spark.read.parquet(paths.processed).collect()}
+    assert done == {(0, "a.pdf"), (1, "a.pdf"), (1, "b.pdf")}    # also the input whose event was discarded
 
 
 def test_batch_retry_is_idempotent(spark, tmpdir_):
@@ -58,12 +60,108 @@ def test_batch_retry_is_idempotent(spark, tmpdir_):
 def test_context_store_missing_and_corrupt(spark, tmpdir_):
     store = ContextStore(spark, f"{tmpdir_}/ctx")
     assert store.load()["prefixes"].count() == 4                 # missing -> seeds
-    os.makedirs(f"{tmpdir_}/ctx2/_current")
-    with open(f"{tmpdir_}/ctx2/_current/part-0", "w") as f:
+    os.makedirs(f"{tmpdir_}/ctx2")
+    with open(f"{tmpdir_}/ctx2/_current", "w") as f:
         f.write("/nonexistent/version\n")
     assert ContextStore(spark, f"{tmpdir_}/ctx2").load()["stats"].first().total_documentos_procesados == 0
 
 
+OITEM = ITEM + ", is_orphan boolean, orphan_name string"
+
+
+def _tables(spark, paths):
+    """All that a batch stores, as comparable rows."""
+    state = ContextStore(spark, paths.context).load()
+    out = {"registry": R.current(spark, paths.registry), "results": spark.read.parquet(paths.results),
+           "processed": spark.read.parquet(paths.processed), **state}
+    return {k: sorted(map(str, df.select(*sorted(df.columns)).collect())) for k, df in out.items()}
+
+
+def test_retry_after_each_write_equals_a_clean_run(spark, tmpdir_, monkeypatch):
+    """A batch that fails after any of its writes and runs again leaves what one run leaves."""
+    from folioforge.plans import batch_run as BR
+    first = _batch(spark, [(0, 1, "A1", "Factura", "X", 40, "r", "a.pdf", "PDF", 1, [("a_P001.pdf", 0)])])
+    second = spark.createDataFrame(
+        [(0, 1, "A1", "Factura", "X", 50, "r1", "b.pdf", "PDF", 1, [("b_P001.pdf", 0)], False, None),
+         (0, 2, "A 1", "Factura", "Y", 90, "r2", "b.pdf", "PDF", 1, [("b_P002.pdf", 0)], None, None),
+         (1, 3, "A1", "Factura", "Z", 45, "r3", "a.pdf", "PDF", 1, [("a_P001.pdf", 0)], False, None),
+         (1, 4, "ERROR_DOCUMENTO_ILEGIBLE", "Página Huérfana", "NO DETECTADO", 0, "h", "a.pdf", "PDF", 1,
+          [("a_P002.pdf", 0)], True, "HUERFANO_a_P002")], OITEM)
+
+    def run(paths):
+        BR.process_batch(spark, second, paths, "b2", "2026-01-02 00:00:00", report_every_batch=False)
+
+    clean = AuditPaths(f"{tmpdir_}/clean")
+    BR.process_batch(spark, first, clean, "b1", "2026-01-01 00:00:00", report_every_batch=False)
+    run(clean)
+    want = _tables(spark, clean)
+    strip = lambda t, base: {k: [r.replace(base, "") for r in v] for k, v in t.items()}
+    assert sum("Revisión Manual Requerida" in r for r in want["results"]) == 1
+    steps = [(BR.R, "write_snapshot"), (BR.R, "point_at"), (BR.ContextStore, "save"), (BR, "mark_processed")]
+    for k, (owner, name) in enumerate(steps):
+        paths = AuditPaths(f"{tmpdir_}/retry{k}")
+        BR.process_batch(spark, first, paths, "b1", "2026-01-01 00:00:00", report_every_batch=False)
+        real = getattr(owner, name)
+
+        def fail(*a, _real=real, **b):
+            _real(*a, **b)
+            raise OSError("lost")
+        with monkeypatch.context() as m:
+            m.setattr(owner, name, fail)
+            with pytest.raises(OSError):
+                run(paths)
+        run(paths)
+        assert strip(_tables(spark, paths), paths.base) == strip(want, clean.base), name
+
+
+def test_constraint_violation_stores_nothing(spark, tmpdir_):
+    paths = AuditPaths(f"{tmpdir_}/out")
+    long = "A" + "9" * 120          # folio longer than its column
+    bad = _batch(spark, [(0, 1, long, "Factura", "X", 40, "r", "a.pdf", "PDF", 1, [("a_P001.pdf", 0)])])
+    with pytest.raises(ValueError, match="length:folio"):
+        process_batch(spark, bad, paths, "b1", "2026-01-01 00:00:00")
+    assert R.current(spark, paths.registry) is None
+    assert not os.path.exists(paths.results) and not os.path.exists(paths.processed)
+
+
+def test_unreadable_pointer_is_not_an_empty_registry(spark, tmpdir_):
+    paths = AuditPaths(f"{tmpdir_}/out")
+    item = [(0, 1, "A1", "Factura", "X", 40, "r", "a.pdf", "PDF", 1, [("a_P001.pdf", 0)])]
+    process_batch(spark, _batch(spark, item), paths, "b1", "2026-01-01 00:00:00", report_every_batch=False)
+    with open(f"{paths.registry}/_current", "w"):
+        pass
+    for crc in (f"{paths.registry}/._current.crc",):
+        if os.path.exists(crc):
+            os.remove(crc)
+    with pytest.raises(ValueError, match="empty pointer"):
+        process_batch(spark, _batch(spark, item), paths, "b2", "2026-01-01 00:00:00", report_every_batch=False)
+
+
+def test_ledger_lists_input_files(spark, tmpdir_):
+    from folioforge.plans.batch_run import pending_files
+    paths = AuditPaths(f"{tmpdir_}/out")
+    os.makedirs(f"{tmpdir_}/raw")
+    for name in ("a.pdf", "b.pdf", "c.jpg", "d.jpg", "late.pdf", "Thumbs.db"):
+        with open(f"{tmpdir_}/raw/{name}", "w") as f:
+            f.write("x")
+    items = _batch(spark, [(0, 1, "A1", "Factura", "X", 40, "r", "a.pdf", "PDF", 1, [("a_P001.pdf", 0)]),
+                           (0, 2, "A1", "Factura", "X", 10, "r", "a.pdf", "PDF", 1, [("a_P002.pdf", 0)])])
+    files = spark.createDataFrame([("a.pdf",), ("b.pdf",), ("c.jpg",), ("d.jpg",)], "file_name string")
+    assert pending_files(spark, f"{tmpdir_}/raw", paths).count() == 5
+    process_batch(spark, items, paths, "b1", "2026-01-01 00:00:00", report_every_batch=False, files=files)
+    assert [r.file_name for r in pending_files(spark, f"{tmpdir_}/raw", paths).collect()] == ["late.pdf"]
+
+
+def test_recent_documents_keep_arrival_order_across_batches(spark):
+    from folioforge.sources.state import _recent_with_ord
+    stored = ContextStore(spark, "/nonexistent").seeds()["recent"]
+    for lot, folio in ((9, "A1"), (0, "A2"), (0, "A3"), (0, "A4")):
+        rows = spark.createDataFrame([(lot, 1, 0, folio, "Factura", "X")],
+                                     "lot_id int, seq long, cat_idx int, folio string, categoria string, cliente string")
+        stored = _recent_with_ord(rows, "2026-01-01 00:00:00", stored, 2)
+    assert [r.folio for r in stored.orderBy(F.col("_ord").desc()).collect()] == ["A4", "A3"]
+
+
 def test_audit_log_source(spark, tmpdir_):
     p = f"{tmpdir_}/log.jsonl"
     with open(p, "w") as f:
