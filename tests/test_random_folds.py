@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from folioforge.operators import context as CX
 from folioforge.operators import packing as K
 from folioforge.operators.versions import resolve_versions
-from tests.folds import bursts, last_examples, next_fit, versions_fold
+from tests.folds import examples_expected, lots_of_bursts, lots_of_pages, versions_expected
 
 
 import pytest  # noqa: E402
@@ -34,7 +34,7 @@ def test_versions_match_sequential_fold(spark, seed):
             for cat_idx in range(rng.choice([1, 1, 2])):
                 ev_rows.append((key, cat, origin, lot, seq, cat_idx, conf))
                 seq_events.append((key, cat, origin, conf))
-    expected = versions_fold(seq_events, registry)
+    expected = versions_expected(seq_events, registry)
     events = spark.createDataFrame(ev_rows, "folio_key string, cat string, origen string, lot_id int, "
                                             "seq long, cat_idx int, confianza int")
     reg = spark.createDataFrame(reg_rows, "folio_key string, cat string, origen string, version int, score int")
@@ -55,7 +55,7 @@ def test_next_fit_matches_fold_across_partitions(spark):
     got = {r.file_id: r.lot_no for r in out.collect()}
     for lane, files in by_lane.items():
         files.sort()
-        exp = next_fit([n for _, n, _ in files], 20)
+        exp = lots_of_pages([n for _, n, _ in files], 20)
         assert [got[i] for _, _, i in files] == exp, lane
 
 
@@ -74,7 +74,7 @@ def test_bursts_match_fold_across_partitions(spark):
     got = {r.event_id: r.lot_no for r in out.collect()}
     for lane, ims in by_lane.items():
         ims.sort()
-        exp = bursts([round(tt * 1e6) for tt, _, _ in ims], 7, 3_000_000)  # exact microseconds
+        exp = lots_of_bursts([round(tt * 1e6) for tt, _, _ in ims], 7, 3_000_000)  # exact microseconds
         assert [got[i] for _, _, i in ims] == exp, lane
 
 
@@ -92,5 +92,5 @@ def test_examples_match_fold(spark):
     res = spark.createDataFrame(rows, "lot_id int, seq long, cat_idx int, folio string, categoria string, cliente string")
     got = {r.prefix: r.ejemplos for r in CX.examples(res, CX.seed_prefixes(spark)).collect()}
     for p, fs in seqs.items():
-        assert got[p] == last_examples(fs), p
+        assert got[p] == examples_expected(fs), p
     assert got["R"] == [] and got["O"] == []
