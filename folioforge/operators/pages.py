@@ -131,14 +131,46 @@ def map_documents(batch_pages: DataFrame, doc_pages: DataFrame, doc_folios: Data
     return items, orphans
 
 
-def fallback_documents(batches: DataFrame, documents: DataFrame, batch_cols: list[str]) -> DataFrame:
-    """J8 + G8: a batch whose analysis failed (no row in ``documents``) still
-    yields one document with all its pages, folio ERROR_DOCUMENTO_ILEGIBLE.
+def full_items(batches: DataFrame, batch_pages: DataFrame, documents: DataFrame, doc_pages: DataFrame,
+               doc_folios: DataFrame, batch_cols: list[str]) -> DataFrame:
+    """M1 + M2 with every field of the document and the batch: the items that
+    ``reduce_items`` and the orphan rows take unchanged.
+
+    ``batches``: batch cols, lot_id, origen, tipo_origen. ``documents``: batch
+    cols, doc_idx, categoria, cliente, confianza, justificacion. The others as
+    in ``map_documents``. ``seq`` numbers the items of a lot by origin, batch,
+    document and folio, orphans behind their batch's documents; a lot is bounded.
+    """
+    items, orphans = map_documents(batch_pages, doc_pages, doc_folios, batch_cols)
+    none = F.lit(None).cast("string")
+    regular = items.join(documents, [*batch_cols, "doc_idx"]).select(
+        *batch_cols, F.col("doc_idx").cast("bigint").alias("doc_idx"), F.col("folio_idx").cast("bigint").alias("folio_idx"),
+        "folio", "categoria", "cliente", "confianza", "justificacion", "paginas", "paginas_original",
+        "is_orphan", none.alias("orphan_name"))
+    loose = orphans.select(
+        *batch_cols, F.lit(2 ** 62).alias("doc_idx"), F.col("page_no").cast("bigint").alias("folio_idx"),
+        "folio", "categoria", "cliente", "confianza", "justificacion", "paginas", "paginas_original",
+        "is_orphan", "orphan_name")
+    lot = Window.partitionBy("lot_id").orderBy("origen", *batch_cols, "doc_idx", "folio_idx")
+    return (regular.unionByName(loose).join(batches.select(*batch_cols, "lot_id", "origen", "tipo_origen"), batch_cols)
+            .withColumn("seq", F.row_number().over(lot).cast("bigint")).drop("doc_idx", "folio_idx"))
 
-    ``batches``: batch cols + ``paginas`` (all real page names, in order).
-    ``documents``: batch cols + the logical-document columns.
+
+def fallback_documents(batches: DataFrame, documents: DataFrame, batch_cols: list[str]) -> DataFrame:
+    """J8 + G8: a batch whose analysis failed still yields one document with all
+    its pages, folio ERROR_DOCUMENTO_ILEGIBLE.
+
+    ``batches``: batch cols + ``paginas`` (all real page names, in order) and,
+    when the analyzer tells it, ``status``: then exactly the batches of status
+    ``failed`` get the fallback, and an ``ok`` batch without documents leaves its
+    pages to become orphans. Without ``status`` a batch without documents counts
+    as failed. ``documents``: batch cols + the logical-document columns.
     """
-    failed = batches.join(documents.select(*batch_cols).distinct(), batch_cols, "left_anti")
+    if "status" in batches.columns:
+        failed = batches.filter(F.col("status") == "failed")
+        documents = documents.join(failed.select(*batch_cols), batch_cols, "left_anti")
+    else:
+        failed = batches.join(documents.select(*batch_cols).distinct(), batch_cols, "left_anti")
     fb = failed.select(*batch_cols, F.lit(0).cast("long").alias("doc_idx"),
                        F.array(F.lit(C.ERROR_ILLEGIBLE)).alias("folios"),
                        "paginas",

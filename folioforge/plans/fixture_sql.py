@@ -61,6 +61,21 @@ FROM orders WHERE o_orderpriority <> '5-LOW'
 SELECT o_custkey AS batch_id, o_orderkey AS doc_idx, 0 AS folio_idx, concat('A', CAST(o_orderkey AS STRING)) AS folio
 FROM orders WHERE o_orderpriority <> '5-LOW' AND o_orderkey % 41 <> 0
 UNION ALL SELECT o_custkey, o_orderkey, 1, concat('R-', CAST(o_orderkey AS STRING)) FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderkey % 41 <> 0
+""",
+    "batches": """
+SELECT c_custkey AS batch_id, CASE WHEN c_custkey % 4 = 0 THEN 'image' ELSE 'pdf' END AS kind,
+  CAST(CASE WHEN c_custkey % 4 = 0 THEN floor(c_custkey / 32) ELSE floor(c_custkey / 8) END AS BIGINT) AS lot_no,
+  CASE WHEN c_custkey % 4 = 0 THEN 'LOTE_FOTOGRAFICO_CONSOLIDADO'
+       ELSE concat('scan ', lpad(CAST(CAST(floor(c_custkey / 2) AS BIGINT) AS STRING), 8, '0'), '.pdf') END AS origen
+FROM customer
+""",
+    "doc_fields": """
+SELECT o_custkey AS batch_id, o_orderkey AS doc_idx,
+  CASE CAST(o_orderkey % 5 AS INT) WHEN 0 THEN 'Factura, Remisión' WHEN 1 THEN 'Factura' WHEN 2 THEN ' , '
+       WHEN 3 THEN '../Pedido' ELSE 'Remisión' END AS categoria,
+  CASE WHEN c_acctbal < 0 THEN 'NO DETECTADO' ELSE c_name END AS cliente,
+  CAST((o_orderkey * 7) % 101 AS INT) AS confianza, concat('motivo ', CAST(o_orderkey % 9 AS STRING)) AS justificacion
+FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderpriority <> '5-LOW'
 """,
     "answers": """
 SELECT o_custkey AS batch_id, CAST(rn AS INT) AS ord,

@@ -96,3 +96,50 @@ r AS (SELECT v.*, {folder('cat')} || '/' || CASE WHEN version = 1 THEN folio_key
 w AS (SELECT *, row_number() OVER (PARTITION BY ruta ORDER BY lot_id DESC, seq DESC, cat_idx DESC) AS route_rn FROM r)
 SELECT w.ruta, w.origen, w.lot_id, w.seq, CAST(w.cat_idx AS INTEGER) AS cat_idx, pu.n_pages, pu.paginas
 FROM w JOIN pu USING (lot_id, folio_key, categoria, origen) WHERE route_rn = 1""")
+
+
+FULL_ITEMS = """
+lots AS (SELECT *, lot_no + CASE WHEN kind = 'image' THEN (SELECT coalesce(max(lot_no), -1) + 1 FROM batches WHERE kind = 'pdf')
+                                 ELSE 0 END AS lot_id FROM batches),
+page_of AS (SELECT batch_id, doc_idx, min(file_name) AS pagina FROM mt GROUP BY batch_id, doc_idx),
+al AS (SELECT f.batch_id, p.doc_idx, f.folio_idx, f.folio, d.categoria, d.cliente, d.confianza, d.justificacion, p.pagina,
+         CAST(NULL AS VARCHAR) AS orphan_name
+       FROM page_of p JOIN doc_folios f USING (batch_id, doc_idx) JOIN doc_fields d USING (batch_id, doc_idx)
+       UNION ALL
+       SELECT b.batch_id, 4611686018427387904, b.page_no, 'ERROR_DOCUMENTO_ILEGIBLE', 'Página Huérfana', 'NO DETECTADO', 0,
+         'Fragmento excluido por la inferencia.', b.file_name, 'HUERFANO_' || %s
+       FROM batch_pages b WHERE NOT EXISTS (SELECT 1 FROM mt WHERE mt.batch_id = b.batch_id AND mt.file_name = b.file_name)),
+every AS (SELECT al.*, lots.lot_id, lots.origen, cnt.paginas_original AS orig_pages,
+          CASE WHEN kind = 'pdf' THEN 'PDF' ELSE 'IMÁGENES MIXTAS' END AS tipo_origen,
+          row_number() OVER (PARTITION BY lots.lot_id ORDER BY lots.origen, al.batch_id, al.doc_idx, al.folio_idx) AS seq
+        FROM al JOIN lots USING (batch_id) JOIN cnt USING (batch_id))""" % stem("b.file_name")
+FULL_FIXTURES = ["batch_pages", "doc_pages", "doc_folios", "batches", "doc_fields"]
+
+
+def items_full_sql() -> str:
+    return oracle(FULL_FIXTURES, MAPPED.strip() + "," + FULL_ITEMS + """
+SELECT batch_id, lot_id, seq, origen, tipo_origen, folio, categoria, cliente, confianza, justificacion, pagina,
+  orig_pages AS paginas_original, orphan_name IS NOT NULL AS is_orphan, orphan_name FROM every""")
+
+
+def _results_with_orphans() -> str:
+    from .oracle_sql import GROUPS_CTES, results_body, versions_ctes
+    groups = GROUPS_CTES.strip().replace(
+        "CAST(count(*) OVER (PARTITION BY lot_id, origen) AS INTEGER) AS paginas_original", "orig_pages AS paginas_original")
+    return (MAPPED.strip() + "," + FULL_ITEMS + ",\nitems AS (SELECT * FROM every WHERE orphan_name IS NULL),\n" + groups
+            + ",\n" + versions_ctes(False).strip() + ",\nres AS (" + results_body() + """
+UNION ALL
+SELECT lot_id, seq, 0, 'ERROR_DOCUMENTO_ILEGIBLE', 'ERROR_DOCUMENTO_ILEGIBLE', 1, 'Revisión Manual Requerida', NULL, origen,
+  NULL, NULL, 1, 'REVISIÓN MANUAL', NULL, 'Revision_Manual_Requerida/' || orphan_name || '.pdf', justificacion
+FROM every WHERE orphan_name IS NOT NULL)""")
+
+
+def results_with_orphans_sql() -> str:
+    return oracle(FULL_FIXTURES, _results_with_orphans() + "\nSELECT * FROM res")
+
+
+def report_with_orphans_sql() -> str:
+    from .. import config as C
+    from ..operators.report import REPORT_SOURCE
+    cols = ", ".join(f'CAST({REPORT_SOURCE[d]} AS VARCHAR) AS "{d}"' for d in C.REPORT_COLUMNS)
+    return oracle(FULL_FIXTURES, _results_with_orphans() + f"\nSELECT {cols} FROM res")

@@ -13,10 +13,13 @@ from pyspark.sql import functions as F
 
 from .. import config as CF
 from ..operators import registry as R
+from ..operators.reduce import reduce_items
 from ..operators.results import assemble_results, version_events
+from ..sources.raw_files import number_lots
 from . import oracle_sql as O
 from .audit import groups_from_view
 from ..session import materialize
+from .batch_run import split_orphans
 from .fixtures import fixture
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,6 +124,36 @@ def q_items_from_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size("paginas").alias("n_pages"), "paginas_original")
 
 
+def _full_items(spark, sf_dir):
+    lots = number_lots(fixture(spark, sf_dir, "batches")).withColumn(
+        "tipo_origen", F.when(F.col("kind") == "pdf", F.lit(CF.ORIGIN_TYPE_PDF)).otherwise(F.lit(CF.ORIGIN_TYPE_IMAGES)))
+    return P.full_items(lots, *[fixture(spark, sf_dir, t) for t in ("batch_pages", "doc_fields", "doc_pages", "doc_folios")],
+                        ["batch_id"])
+
+
+def _results_with_orphans(spark, sf_dir):
+    regular, orphans = split_orphans(_full_items(spark, sf_dir))
+    return assemble_results(reduce_items(regular), None, orphans)
+
+
+@register("items_full", OP.items_full_sql())
+def q_items_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _full_items(spark, sf_dir).select(
+        "batch_id", "lot_id", "seq", "origen", "tipo_origen", "folio", "categoria", "cliente", "confianza", "justificacion",
+        F.col("paginas")[0]["path"].alias("pagina"), "paginas_original", "is_orphan", "orphan_name")
+
+
+@register("results_with_orphans", OP.results_with_orphans_sql())
+def q_results_with_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _results_with_orphans(spark, sf_dir)
+
+
+@register("report_with_orphans", OP.report_with_orphans_sql())
+def q_report_with_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import report as RP
+    return RP.report(materialize(_results_with_orphans(spark, sf_dir), "results"))
+
+
 @register("orphans", OP.orphans_sql())
 def q_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, orphans = _mapped(spark, sf_dir)

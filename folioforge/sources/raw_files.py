@@ -31,7 +31,7 @@ def route(files: DataFrame, name_col: str = "file_name") -> DataFrame:
     """S4 + S5: flag junk, add ``ext`` and ``kind`` (pdf, image, other).
 
     Junk is filtered, never deleted from the source; ``other`` files go to
-    rejects. Downstream, PDF lots are numbered before image lots.
+    rejects. ``number_lots`` numbers PDF lots before image lots.
     """
     ext = F.lower(S.suffix(name_col))
     kind = (F.when(ext == ".pdf", F.lit("pdf"))
@@ -40,6 +40,15 @@ def route(files: DataFrame, name_col: str = "file_name") -> DataFrame:
     return files.withColumn("ext", ext).withColumn("junk", is_junk(name_col)).withColumn("kind", kind)
 
 
+def number_lots(lots: DataFrame, lot_col: str = "lot_no", kind_col: str = "kind") -> DataFrame:
+    """``lot_id`` over both kinds: PDF lots keep their number, image lots are
+    numbered behind the last of them (P14 and V1 take lots in that order)."""
+    behind = lots.filter(F.col(kind_col) == "pdf").agg(   # one row
+        (F.coalesce(F.max(lot_col), F.lit(-1)) + 1).alias("_behind"))
+    return lots.crossJoin(F.broadcast(behind)).withColumn(
+        "lot_id", F.col(lot_col) + F.when(F.col(kind_col) == "image", F.col("_behind")).otherwise(F.lit(0))).drop("_behind")
+
+
 def unprocessed(files: DataFrame, processed: DataFrame | None, key: str = "file_name") -> DataFrame:
     """Files not yet in the processed manifest (written after the registry)."""
     if processed is None:
