@@ -99,6 +99,27 @@ SELECT o_orderkey AS payload_id,
     ',"role":"', CASE CAST(o_orderkey % 6 AS INT) WHEN 0 THEN 'INICIO' WHEN 1 THEN 'INTERMEDIA' WHEN 2 THEN 'CIERRE' WHEN 3 THEN 'UNICA' WHEN 4 THEN 'HUERFANA' ELSE 'PORTADA' END,
     '","confidence_score":', CAST(o_orderkey % 110 AS STRING), '}') END AS body
 FROM orders
+""",
+    "extractions": """
+SELECT o_orderkey AS payload_id,
+  CASE WHEN o_orderkey % 23 = 0 THEN '{mal' WHEN o_orderkey % 29 = 0 THEN '{"documents":{}}' WHEN o_orderkey % 31 = 0 THEN '{"documents":[]}'
+       WHEN o_orderkey % 37 = 0 THEN '[1]' WHEN o_orderkey % 41 = 0 THEN '{"documents":[3,{"folios":[]}]}'
+  ELSE concat('{"documents":[{"folios":', CASE CAST(o_orderkey % 11 AS INT) WHEN 0 THEN '["A",1]' WHEN 1 THEN '"A1"' ELSE concat('["A', CAST(o_orderkey AS STRING), '"]') END,
+    ',"page_roles":[{"file_name":"p1.pdf","role":"', CASE CAST(o_orderkey % 6 AS INT) WHEN 0 THEN 'INICIO' WHEN 1 THEN 'INTERMEDIA' WHEN 2 THEN 'CIERRE' WHEN 3 THEN 'UNICA' WHEN 4 THEN 'HUERFANA' ELSE 'PORTADA' END,
+    '","evidence":', CASE WHEN o_orderkey % 13 = 0 THEN 'null' ELSE '"e"' END, '},{"file_name":"p2.pdf","role":"CIERRE","evidence":"f"}],"ordered_file_names":["p1.pdf","p2.pdf"],"document_type":"Factura"',
+    CASE CAST(o_orderkey % 4 AS INT) WHEN 0 THEN ',"client_name":null' WHEN 1 THEN ',"client_name":"C"' WHEN 2 THEN ',"client_name":7' ELSE '' END,
+    ',"confidence_score":', CASE CAST(o_orderkey % 7 AS INT) WHEN 0 THEN '105' WHEN 1 THEN '"90"' WHEN 2 THEN '90.5' ELSE CAST(o_orderkey % 101 AS STRING) END,
+    CASE WHEN o_orderkey % 17 = 0 THEN '' ELSE ',"reasoning":"r"' END, '}',
+    CASE WHEN o_orderkey % 3 = 0 THEN concat(',{"folios":[],"page_roles":[],"ordered_file_names":[],"document_type":"Pedido","confidence_score":', CAST(o_orderkey % 120 AS STRING), ',"reasoning":"s"}') ELSE '' END, ']}') END AS body
+FROM orders
+""",
+    "orientation_answers": """
+SELECT o_orderkey AS payload_id, CASE WHEN o_orderkey % 27 = 0 THEN '{"orientations":null}' ELSE
+  concat('{"orientations":[{"file_name":"p', CAST(o_orderkey AS STRING), '.pdf","rotation_degrees":',
+    CASE CAST(o_orderkey % 9 AS INT) WHEN 7 THEN '"90"' WHEN 8 THEN '45' ELSE CAST((o_orderkey % 4) * 90 AS STRING) END,
+    CASE WHEN o_orderkey % 19 = 0 THEN '' ELSE ',"reasoning":"t"' END, '},{"file_name":', CASE WHEN o_orderkey % 5 = 0 THEN 'null' ELSE '"q.pdf"' END,
+    ',"rotation_degrees":270,"reasoning":"u"}]}') END AS body
+FROM orders
 """,
     "page_text": """
 SELECT source AS origin, doc_id AS page_no, text, contains(lower(text), 'ation') AS has_header, contains(lower(text), 'ment') AS has_footer FROM documents

@@ -16,6 +16,8 @@ from ..operators import registry as R
 from ..operators.reduce import reduce_items
 from ..operators.results import assemble_results, version_events
 from ..sources.raw_files import number_lots
+from ..operators import payloads as PL
+from . import oracle_payloads as OPL
 from . import oracle_sql as O
 from .audit import groups_from_view
 from ..session import materialize
@@ -217,7 +219,6 @@ def q_pack_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- ingest filters, payloads, rules ----------------------------------------
-from ..operators import payloads as PV  # noqa: E402
 from ..operators import rules as RU  # noqa: E402
 from ..sources import archives as AR  # noqa: E402
 from . import oracle_rules as ORU  # noqa: E402
@@ -235,9 +236,23 @@ def q_flat_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return AR.flat_names(kept).select("archive", "ord", "member", "file_name", "flat_name")
 
 
+def _told(df):
+    return df.select("payload_id", "valid", F.array_join("problems", ",").alias("problems"))
+
+
+@register("extraction_validation", OPL.extraction_validation_sql())
+def q_extraction_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _told(PL.validate_response(fixture(spark, sf_dir, "extractions")))
+
+
+@register("orientation_validation", OPL.orientation_validation_sql())
+def q_orientation_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _told(PL.validate_response(fixture(spark, sf_dir, "orientation_answers"), PL.ORIENTATION, PL.ORIENTATION_TYPE))
+
+
 @register("payload_validation", ORU.payload_validation_sql())
 def q_payload_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return PV.validate_payloads(fixture(spark, sf_dir, "payloads")).select(
+    return PL.validate_payloads(fixture(spark, sf_dir, "payloads")).select(
         "payload_id", "valid", "reason", "file_name", "rotation_degrees", "role", "confidence_score")
 
 
@@ -376,7 +391,7 @@ def q_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     aliased = P.alias_pages(bp, ["batch_id"], ["page_no"], name_col="file_name")
     resolved = P.resolve_names(answers, aliased, ["batch_id"])
     return RJ.ledger(
-        RJ.bad_payloads(PV.validate_payloads(fixture(spark, sf_dir, "payloads"))),
+        RJ.bad_payloads(PL.validate_payloads(fixture(spark, sf_dir, "payloads"))),
         RJ.unmatched_answers(answers, resolved, ["batch_id"]),
         RJ.unmatched_instructions(dp, bp, ["batch_id"]),
         RJ.documents_without_folio(dp, bp, fixture(spark, sf_dir, "doc_folios"), ["batch_id"]))

@@ -217,3 +217,50 @@ def test_lots_are_semantic_unless_global_scope(spark):
     assert sorted((r.lot_id, r.paginas_final) for r in reduce_items(items).collect()) == [(0, 1), (3, 1)]
     merged = reduce_items(items, scope="global").collect()
     assert [(r.lot_id, r.paginas_final, r.justificacion) for r in merged] == [(0, 2, "a | b")]
+
+
+def test_nested_payload_cases(spark):
+    import json
+
+    from folioforge.operators import payloads as PL
+    doc = {"folios": ["A-100"], "page_roles": [{"file_name": "page_001.pdf", "role": "INICIO", "evidence": "e"}],
+           "ordered_file_names": ["page_001.pdf"], "document_type": "Factura", "client_name": "Empresa X",
+           "confidence_score": 95, "reasoning": "r"}
+    role = doc["page_roles"][0]
+    cases = [({"documents": [doc]}, []), ({"documents": [{k: v for k, v in doc.items() if k != "client_name"}]}, []),
+             ({"documents": []}, []), ({"documents": [doc, doc | {"confidence_score": 105}]}, ["documents[1].confidence_score:value"]),
+             ({"documents": [doc | {"page_roles": [role, role | {"role": "PORTADA"}]}]}, ["documents[0].page_roles[1].role:value"]),
+             ({"documents": [doc | {"folios": "A1", "confidence_score": "95"}]}, ["documents[0].confidence_score:type", "documents[0].folios:type"]),
+             ({}, ["documents:missing"]), (None, ["payload:type"])]
+    rows = [(i, json.dumps(b)) for i, (b, _) in enumerate(cases)] + [(98, "{bad"), (99, None)]
+    got = {r.payload_id: r for r in PL.validate_response(spark.createDataFrame(rows, "payload_id int, body string")).collect()}
+    for i, (_, want) in enumerate(cases):
+        assert got[i].problems == want and got[i].valid == (not want)
+    assert got[0].parsed.documents[0].page_roles[0].role == "INICIO" and got[3].parsed is None
+    assert got[98].problems == got[99].problems == ["payload:malformed"]
+    turn = PL.validate_response(spark.createDataFrame(
+        [(1, '{"orientations":[{"file_name":"a","rotation_degrees":90,"reasoning":"r"}]}'),
+         (2, '{"orientations":[{"file_name":"a","rotation_degrees":45,"reasoning":"r"},{"file_name":"b","rotation_degrees":"90","reasoning":"r"}]}')],
+        "payload_id int, body string"), PL.ORIENTATION, PL.ORIENTATION_TYPE)
+    assert {r.payload_id: r.problems for r in turn.collect()} == {
+        1: [], 2: ["orientations[0].rotation_degrees:value", "orientations[1].rotation_degrees:type"]}
+    assert PL.response_rejects(turn, "payload_id", "orientation").count() == 2
+
+
+def test_fallback_follows_the_status(spark):
+    from folioforge.operators.pages import fallback_documents
+    batches = spark.createDataFrame([(1, ["a"], "ok"), (2, ["b"], "failed"), (3, ["c"], "ok"), (4, ["d"], "exhausted")],
+                                    "batch_id int, paginas array<string>, status string")
+    docs = spark.createDataFrame([(1, 0, ["A1"], ["a"], "Factura", "X", 90, "r"), (2, 0, ["Z"], ["b"], "Otro", None, 1, "partial")],
+                                 "batch_id int, doc_idx long, folios array<string>, paginas array<string>, document_type string, "
+                                 "client_name string, confidence_score int, reasoning string")
+    out = {r.batch_id: (r.folios, r.is_fallback) for r in fallback_documents(batches, docs, ["batch_id"]).collect()}
+    assert out == {1: (["A1"], None), 2: (["ERROR_DOCUMENTO_ILEGIBLE"], True)}
+
+
+def test_image_lots_follow_pdf_lots(spark):
+    from folioforge.sources.raw_files import number_lots
+    rows = [("pdf", 0), ("pdf", 1), ("image", 0), ("image", 1)]
+    assert {(r.kind, r.lot_no): r.lot_id for r in number_lots(spark.createDataFrame(rows, "kind string, lot_no long")).collect()} == {
+        ("pdf", 0): 0, ("pdf", 1): 1, ("image", 0): 2, ("image", 1): 3}
+    assert [r.lot_id for r in number_lots(spark.createDataFrame(rows[2:], "kind string, lot_no long")).orderBy("lot_no").collect()] == [0, 1]
