@@ -38,6 +38,7 @@ LANE = "_lane"
 GAP = "_gap_us"
 FEAT = "_feat"
 LOT = "lot_no"
+NO_TIME = -(1 << 62)
 
 
 @dataclass(frozen=True)
@@ -97,9 +98,14 @@ def _runs(pdf: pd.DataFrame):
     return list(zip(starts.tolist(), ends.tolist()))
 
 
+def _wide(before, after, thr: int):
+    """Whether the time from one file to the next is a gap; a missing time counts as one."""
+    return (before == NO_TIME) | (after == NO_TIME) | (after - before >= thr)
+
+
 def _gap_flags(gaps: np.ndarray, thr: int) -> np.ndarray:
     ok = np.zeros(len(gaps), dtype=bool)
-    ok[1:] = (gaps[1:] - gaps[:-1]) >= thr
+    ok[1:] = _wide(gaps[:-1], gaps[1:], thr)
     return ok
 
 
@@ -162,7 +168,7 @@ def _pass1(auto, thr):
 
     def run(batches):
         pid = TaskContext.get().partitionId()
-        pdf = pd.concat(list(batches), ignore_index=True)
+        pdf = pd.concat(list(batches), ignore_index=True)   # lane, feature and time of the partition's files
         rows = []
         runs = _runs(pdf)
         for k, (a, b) in enumerate(runs):
@@ -189,13 +195,12 @@ def _compose(table: pd.DataFrame, thr: int) -> dict[tuple[int, str], tuple[int,
     partition's first lane run. Interior runs and lanes starting in a partition use (0, -, 0)."""
     plan: dict[tuple[int, str], tuple[int, bool, int]] = {}
     carry_lane, carry_state, carry_lots, carry_last = None, 0, 0, None
-    for pid in sorted(table["pid"].unique()):
-        t = table[table["pid"] == pid]
+    for pid, t in table.groupby("pid", sort=True):
         first = t[t["run"] == "first"]
         last = t[t["run"] == "last"]
         lane = first["lane"].iloc[0]
         if lane == carry_lane:
-            g0 = bool(int(first["first_gap"].iloc[0]) - int(carry_last) >= thr)
+            g0 = bool(_wide(int(carry_last), int(first["first_gap"].iloc[0]), thr))
             entry, offset = int(carry_state), int(carry_lots)
         else:
             g0, entry, offset = False, 0, 0
@@ -215,18 +220,24 @@ def _pass2(auto, thr, plan):
     from pyspark import TaskContext
 
     def run(batches):
+        """Batch by batch; lane, state, lots closed and last time carry over."""
         pid = TaskContext.get().partitionId()
-        pdf = pd.concat(list(batches), ignore_index=True)
-        lots = np.zeros(len(pdf), dtype=np.int64)
-        for k, (a, b) in enumerate(_runs(pdf)):
-            part = pdf.iloc[a:b]
-            lane = part[LANE].iloc[0]
-            entry, g0, offset = plan.get((pid, lane), (0, False, 0)) if k == 0 else (0, False, 0)
-            gap_ok = _gap_flags(part[GAP].to_numpy(), thr)
-            _, _, closed = _fold(auto, part[FEAT].to_numpy(), gap_ok, entry, g0)
-            lots[a:b] = offset + np.asarray(closed, dtype=np.int64)
-        pdf[LOT] = lots
-        yield pdf
+        lane, state, closed, last, first_run = None, 0, 0, 0, True
+        for pdf in batches:
+            lots = np.zeros(len(pdf), dtype=np.int64)
+            for a, b in _runs(pdf):
+                part = pdf.iloc[a:b]
+                gaps = part[GAP].to_numpy()
+                if part[LANE].iloc[0] == lane:
+                    open_gap = bool(_wide(last, gaps[0], thr))
+                else:
+                    entry = plan.get((pid, part[LANE].iloc[0])) if first_run else None
+                    state, open_gap, closed = entry or (0, False, 0)
+                    lane, first_run = part[LANE].iloc[0], False
+                state, more, numbers = _fold(auto, part[FEAT].to_numpy(), _gap_flags(gaps, thr), state, open_gap)
+                lots[a:b] = closed + np.asarray(numbers, dtype=np.int64)
+                closed, last = closed + more, gaps[-1]
+            yield pdf.assign(**{LOT: lots})
     return run
 
 
@@ -236,7 +247,8 @@ def ordered_fold(df: DataFrame, auto, lane_col: str | None, order_cols: list[str
     """Run a close-before-row fold per lane, in order, across range partitions.
 
     Adds ``lot_no`` (0-based, per lane). ``feat_col`` feeds the fold (K1 page
-    count); ``gap_col`` is an integer time in microseconds (K2).
+    count; it must not be null); ``gap_col`` is an integer time in microseconds
+    (K2; null: no time, a gap on both sides).
     """
     spark = df.sparkSession
     ship_package(spark)
@@ -244,11 +256,12 @@ def ordered_fold(df: DataFrame, auto, lane_col: str | None, order_cols: list[str
     lane = F.col(lane_col).cast("string") if lane_col else F.lit("")
     prepared = df.select("*", lane.alias(LANE),
                          (F.col(feat_col).cast("long") if feat_col else F.lit(0).cast("long")).alias(FEAT),
-                         (F.col(gap_col).cast("long") if gap_col else F.lit(0).cast("long")).alias(GAP))
+                         (F.coalesce(F.col(gap_col).cast("long"), F.lit(NO_TIME)) if gap_col
+                          else F.lit(0).cast("long")).alias(GAP))
     keyed = (prepared.repartitionByRange(n, LANE, *order_cols)
              .sortWithinPartitions(LANE, *order_cols))
     keyed = keyed.checkpoint(eager=True)
-    table = keyed.mapInPandas(_pass1(auto, gap_threshold_us), PASS1_SCHEMA).toPandas()
+    table = keyed.select(LANE, FEAT, GAP).mapInPandas(_pass1(auto, gap_threshold_us), PASS1_SCHEMA).toPandas()
     plan = _compose(table, gap_threshold_us) if len(table) else {}
     out_schema = T.StructType(keyed.schema.fields + [T.StructField(LOT, T.LongType())])
     return keyed.mapInPandas(_pass2(auto, gap_threshold_us, plan), out_schema).drop(LANE, FEAT, GAP)
@@ -256,13 +269,22 @@ def ordered_fold(df: DataFrame, auto, lane_col: str | None, order_cols: list[str
 
 def pack_next_fit(files: DataFrame, max_pages: int, lane_col: str | None = None,
                   order_cols=("file_name",), pages_col: str = "n_pages") -> DataFrame:
-    """K1: lots of files by page mass, in name order (per lane when given)."""
-    return ordered_fold(files, NextFit(max_pages), lane_col, list(order_cols), feat_col=pages_col)
+    """K1: lots of files by page mass, in name order (per lane when given). A file
+    whose page count is null is unreadable and left out (see ``unreadable_files``)."""
+    return ordered_fold(files.filter(F.col(pages_col).isNotNull()), NextFit(max_pages), lane_col, list(order_cols), feat_col=pages_col)
+
+
+def unreadable_files(files: DataFrame, pages_col: str = "n_pages", name_col: str = "file_name") -> DataFrame:
+    """A reject row for each file that K1 leaves out."""
+    return files.filter(F.col(pages_col).isNull()).select(
+        F.lit("packing").alias("stage"), F.col(name_col).alias("key"), F.lit("unreadable_file").alias("reason"),
+        F.lit("no page count").alias("detail"))
 
 
 def pack_bursts(images: DataFrame, max_files: int, gap_seconds: float, lane_col: str | None = None,
                 time_col: str = "mtime", name_col: str = "file_name") -> DataFrame:
-    """K2: lots of >= max images closed only at a time gap >= gap_seconds, in (mtime, name) order."""
+    """K2: lots of >= max images closed only at a time gap >= gap_seconds, in (mtime, name)
+    order; images without a time come first, by name, with a gap between any two."""
     df = images.withColumn("_t_us", F.unix_micros(F.col(time_col).cast("timestamp")))
     out = ordered_fold(df, BurstLots(max_files), lane_col, ["_t_us", name_col], gap_col="_t_us",
                        gap_threshold_us=int(round(gap_seconds * 1_000_000)))

@@ -94,3 +94,22 @@ def test_examples_match_fold(spark):
     for p, fs in seqs.items():
         assert got[p] == examples_expected(fs), p
     assert got["R"] == [] and got["O"] == []
+
+
+def test_packing_without_page_count_or_time(spark):
+    files = spark.createDataFrame([("a", 5), ("b", None), ("c", 5), ("d", 1)], "file_name string, n_pages int")
+    assert {r.file_name: r.lot_no for r in K.pack_next_fit(files, 10).collect()} == {"a": 0, "c": 0, "d": 1}
+    assert [r.key for r in K.unreadable_files(files).collect()] == ["b"]
+    images = spark.createDataFrame([("x", None), ("w", None), ("p", 10.0), ("q", 11.0), ("r", 30.0)], "file_name string, s double") \
+        .withColumn("mtime", F.timestamp_micros(F.round(F.col("s") * 1_000_000).cast("long")))
+    assert {r.file_name: r.lot_no for r in K.pack_bursts(images, 1, 3.0).collect()} == {"w": 0, "x": 1, "p": 2, "q": 2, "r": 3}
+    assert K.pack_next_fit(files.limit(0), 10).count() == 0
+
+
+def test_pass2_carries_state_over_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        test_next_fit_matches_fold_across_partitions(spark)
+        test_bursts_match_fold_across_partitions(spark)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
