@@ -38,13 +38,16 @@ DOCUMENT_SCHEMA = T.StructType([
 
 def rule_analyzer(pages: DataFrame, part_cols: list[str], order_col: str = "page_no",
                   text_col: str = "text", header: list[str] | None = None,
-                  footer: list[str] | None = None, block: int = 4096) -> DataFrame:
+                  footer: list[str] | None = None, block: int = 4096,
+                  patterns: dict[str, str] | None = None) -> DataFrame:
     """Default analyzer: roles (P7) -> segments (P9) -> one document per segment.
 
     Pages in P8 order (INICIO, INTERMEDIA*, CIERRE; then page number); the
     type is every type with evidence on the document's pages (P11) or, when
-    none, the folio-prefix rule (P10/J4); folio and client are the first
-    labelled values (P12). HUERFANA pages belong to no document (they become
+    none, the rule of the first folio's prefix (P10/J4). ``folios`` are all
+    labelled folios of the pages, distinct, in page order; the client is the first
+    labelled client, else the first labelled RFC (P12; ``patterns`` overrides the
+    label patterns). HUERFANA pages belong to no document (they become
     orphans downstream). Confidence: 90 when the document has both a start
     and a close, else 40.
     """
@@ -53,14 +56,17 @@ def rule_analyzer(pages: DataFrame, part_cols: list[str], order_col: str = "page
     d = RU.segments(RU.page_roles(d, part_cols, order_col, block=block), part_cols, order_col, block=block)
     d = d.filter((F.col("role") != "HUERFANA") & (F.col("segment") > 0))
     d = (d.withColumn("_types", RU.double_type(text_col))
-         .withColumn("_folio", RU.extract_field(text_col, "folio"))
-         .withColumn("_client", RU.extract_field(text_col, "cliente")))
+         .withColumn("_folios", RU.extract_all(text_col, "folio", patterns))
+         .withColumn("_client", F.get(RU.extract_all(text_col, "cliente", patterns), F.lit(0)))
+         .withColumn("_rfc", F.get(RU.extract_all(text_col, "rfc", patterns), F.lit(0))))
     key = F.struct(RU.role_rank("role").alias("r"), F.col(order_col).alias("o"))
     g = d.groupBy(*part_cols, "segment").agg(
         F.array_sort(F.collect_list(F.struct(key.alias("k"), F.col(order_col).cast("string").alias("p"))))
         .alias("_pages"),
-        F.min(F.when(F.col("_folio").isNotNull(), F.struct(F.col(order_col).alias("o"), F.col("_folio").alias("v"))))
+        F.array_sort(F.collect_list(F.when(F.size("_folios") > 0, F.struct(F.col(order_col).alias("o"), F.col("_folios").alias("v")))))
         .alias("_f"),
+        F.min(F.when(F.col("_rfc").isNotNull(), F.struct(F.col(order_col).alias("o"), F.col("_rfc").alias("v"))))
+        .alias("_r"),
         F.min(F.when(F.col("_client").isNotNull(), F.struct(F.col(order_col).alias("o"), F.col("_client").alias("v"))))
         .alias("_c"),
         F.array_distinct(F.flatten(F.collect_list(F.split(F.when(F.col("_types") != "", F.col("_types")), ", "))))
@@ -70,15 +76,16 @@ def rule_analyzer(pages: DataFrame, part_cols: list[str], order_col: str = "page
     )
     cats = F.array(*[F.lit(c) for c in C.CATEGORIES])
     types = F.array_join(F.filter(cats, lambda c: F.array_contains("_t", c)), ", ")
-    folio = F.col("_f.v")
+    folios = F.array_distinct(F.flatten(F.transform("_f", lambda x: x["v"])))
+    folio = F.get(folios, F.lit(0))
     prefix_rule = F.coalesce(*[F.when(RU.folio_prefix(folio) == p, F.lit(t)) for p, t in C.PREFIX_SEEDS],
                              F.lit(C.NOT_IDENTIFIED))
     return g.select(
         *part_cols, F.col("segment").alias("doc_idx"),
-        F.when(folio.isNotNull(), F.array(folio)).otherwise(F.array().cast("array<string>")).alias("folios"),
+        folios.alias("folios"),
         F.transform("_pages", lambda x: x["p"]).alias("pages"),
         F.when(types != "", types).otherwise(prefix_rule).alias("document_type"),
-        F.col("_c.v").alias("client_name"),
+        F.coalesce("_c.v", "_r.v").alias("client_name"),
         F.when((F.col("_s") == 1) & (F.col("_e") == 1), F.lit(90)).otherwise(F.lit(40)).alias("confidence_score"),
         F.lit("reglas de anclas").alias("reasoning"),
         F.lit("ok").alias("status"))

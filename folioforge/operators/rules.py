@@ -97,3 +97,12 @@ def extract_field(text, name: str) -> F.Column:
     """First labelled value of a header field, or NULL."""
     v = F.regexp_extract(S.col_(text), FIELD_PATTERNS[name], 1)
     return F.when(v == "", F.lit(None)).otherwise(S.strip_ws(v))
+
+
+def extract_all(text, name: str, patterns: dict[str, str] | None = None) -> F.Column:
+    """All labelled values of a header field, distinct, in order of the text
+    (array<string>). ``patterns`` overrides the label patterns (group 1 is the value)."""
+    pattern = {**FIELD_PATTERNS, **(patterns or {})}[name]
+    found = F.regexp_extract_all(S.col_(text), F.lit(pattern), F.lit(1))
+    return F.array_distinct(F.filter(F.transform(F.coalesce(found, F.array().cast("array<string>")), S.strip_ws),
+                                     lambda x: x != ""))

@@ -264,3 +264,18 @@ def test_image_lots_follow_pdf_lots(spark):
     assert {(r.kind, r.lot_no): r.lot_id for r in number_lots(spark.createDataFrame(rows, "kind string, lot_no long")).collect()} == {
         ("pdf", 0): 0, ("pdf", 1): 1, ("image", 0): 2, ("image", 1): 3}
     assert [r.lot_id for r in number_lots(spark.createDataFrame(rows[2:], "kind string, lot_no long")).orderBy("lot_no").collect()] == [0, 1]
+
+
+def test_rule_analyzer_reads_all_folios_and_the_rfc(spark):
+    from folioforge.operators.analyzer import rule_analyzer
+    pages = [("o", 1, "FACTURA\nFolio: A1 y Folio: R-2\nRFC: ABC010203XY1"), ("o", 2, "Folio: A1, folio #A3"),
+             ("o", 3, "Sello digital Total(MXN)"), ("o", 4, "FACTURA sin datos\nCliente: Villas SA, Norte\nRFC: ABC010203XY1\nSello digital"),
+             ("q", 1, "FACTURA\nNota: R-77\nSello digital")]
+    df = spark.createDataFrame(pages, "origin string, page_no int, text string")
+    out = {(r.origin, r.doc_idx): r for r in rule_analyzer(df, ["origin"], "page_no", header=["FACTURA"], footer=["Sello"]).collect()}
+    assert out["o", 1].folios == ["A1", "R-2", "A3"] and out["o", 1].client_name == "ABC010203XY1"
+    assert out["o", 1].pages == ["1", "2", "3"] and out["o", 1].document_type == "Factura"
+    assert out["o", 2].folios == [] and out["o", 2].client_name == "Villas SA"
+    assert out["q", 1].folios == []
+    own = rule_analyzer(df, ["origin"], "page_no", header=["FACTURA"], footer=["Sello"], patterns={"folio": r"Nota: (\S+)"})
+    assert {r.origin: r.folios for r in own.collect() if r.origin == "q"} == {"q": ["R-77"]}
