@@ -45,6 +45,10 @@ REGISTRY_KEYS_SCHEMA = T.StructType([
 ])
 
 
+#: lots in a block of the birth ranks
+LOT_BLOCK = 512
+
+
 def empty_registry(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], REGISTRY_KEYS_SCHEMA)
 
@@ -123,18 +127,19 @@ def birth_ranks(origins: DataFrame) -> DataFrame:
     """Rank of each new origin's birth among the new origins of its key.
 
     Two levels, so a key with very many new origins (every failed PDF) is
-    never one window: a rank inside (key, cat, birth lot) -- bounded by the
-    lot -- plus the number of births in earlier lots, carried over a table of
-    one row per (key, cat, lot).
+    never one window: a rank inside (key, cat, block of ``LOT_BLOCK`` lots) --
+    bounded by the block, also where each birth has a lot of its own -- plus the
+    number of births in earlier blocks, carried over one row per block.
     """
-    new = origins.filter(F.col("rv").isNull()).select(*KO, F.col("first.lot_id").alias("_bl"),
-                                                      F.col("first.seq").alias("_bs"))
-    local = F.row_number().over(Window.partitionBy(*K, "_bl").orderBy("_bs"))
+    new = origins.filter(F.col("rv").isNull()).select(
+        *KO, F.col("first.lot_id").alias("_bl"), F.col("first.seq").alias("_bs"),
+        F.floor(F.col("first.lot_id") / LOT_BLOCK).alias("_blk"))
+    local = F.row_number().over(Window.partitionBy(*K, "_blk").orderBy("_bl", "_bs"))
     new = new.withColumn("_local", local)
-    per_lot = new.groupBy(*K, "_bl").agg(F.count(F.lit(1)).alias("_n"))
-    per_lot = per_lot.withColumn("_before", F.coalesce(F.sum("_n").over(
-        Window.partitionBy(*K).orderBy("_bl").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return new.join(per_lot.select(*K, "_bl", "_before"), [*K, "_bl"]).select(
+    blocks = new.groupBy(*K, "_blk").agg(F.count(F.lit(1)).alias("_n"))
+    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(
+        Window.partitionBy(*K).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return new.join(blocks.select(*K, "_blk", "_before"), [*K, "_blk"]).select(
         *KO, (F.col("_before") + F.col("_local")).cast("int").alias("birth"))
 
 

@@ -72,6 +72,9 @@ def main() -> None:
         ev = ev.withColumn("prefix", F.substring("folio", 1, 1))
         hot_col, hot_val = "prefix", "A"
     else:
+        if mode == "births":   # one event, one origin a lot: births are as many as events
+            ev = ev.withColumn("lot_id", F.col("seq").cast("int")).withColumn(
+                "origen", F.concat(F.lit("scan_"), F.col("seq").cast("string"), F.lit(".pdf")))
         out = resolve_versions(ev)
         hot_col, hot_val = "folio_key", "ERROR_DOCUMENTO_ILEGIBLE"
     out.write.format("noop").mode("overwrite").save()
