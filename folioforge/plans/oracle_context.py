@@ -108,9 +108,3 @@ def folder_names_sql() -> str:
     return oracle(["items"], f"""
 c AS (SELECT DISTINCT unnest({cat_list('categoria')}) AS cat FROM items)
 SELECT cat, {folder('cat')} AS folder FROM c""")
-
-
-def category_guard_sql() -> str:
-    return oracle(["items"], f"""
-c AS (SELECT unnest({cat_list('categoria')}) AS cat FROM items)
-SELECT cat, {unsafe('cat')} AS unsafe, CAST(count(*) AS BIGINT) AS n FROM c GROUP BY cat""")
