@@ -152,7 +152,8 @@ def full_items(batches: DataFrame, batch_pages: DataFrame, documents: DataFrame,
         "folio", "categoria", "cliente", "confianza", "justificacion", "paginas", "paginas_original",
         "is_orphan", "orphan_name")
     lot = Window.partitionBy("lot_id").orderBy("origen", *batch_cols, "doc_idx", "folio_idx")
-    return (regular.unionByName(loose).join(batches.select(*batch_cols, "lot_id", "origen", "tipo_origen"), batch_cols)
+    told = [c for c in ("lot_id", "origen", "tipo_origen") if c not in batch_cols]
+    return (regular.unionByName(loose).join(batches.select(*batch_cols, *told), batch_cols)
             .withColumn("seq", F.row_number().over(lot).cast("bigint")).drop("doc_idx", "folio_idx"))
 
 
