@@ -20,6 +20,8 @@ from ..functions.predicates import known_client, valid_folio
 from .rules import folio_prefix
 
 ORDER = ["lot_id", "seq", "cat_idx"]
+#: lots in a block of the example windows
+LOT_BLOCK = 512
 SYNC = 9  # consecutive pairwise-distinct folios that fix the last-three state
 
 PREFIX_SCHEMA = T.StructType([
@@ -95,13 +97,14 @@ def examples(results: DataFrame, stored: DataFrame, keep: int = 3) -> DataFrame:
 
     Exact and skew-safe: ``SYNC`` consecutive pairwise-distinct folios fix the
     state whatever came before, so each prefix is folded only from the start
-    of its latest such window (found with windows inside (prefix, lot): a lot
-    is bounded), starting from the stored examples. Without a window the fold
-    runs over the whole batch of that prefix.
+    of its latest such window, starting from the stored examples. Windows are
+    looked for inside (prefix, block of ``LOT_BLOCK`` lots): a block is bounded,
+    and holds a window also where each lot has a single result. Without a window
+    the fold runs over the whole batch of that prefix.
     """
     rows = (_valid_rows(results).withColumn("prefix", folio_prefix("folio")).filter(F.col("prefix") != "")
-            .select("prefix", "lot_id", "_ord", "folio"))
-    w = Window.partitionBy("prefix", "lot_id").orderBy("_ord")
+            .select("prefix", F.floor(F.col("lot_id") / LOT_BLOCK).alias("_blk"), "_ord", "folio"))
+    w = Window.partitionBy("prefix", "_blk").orderBy("_ord")
     window = F.array(*[F.lead("folio", k).over(w) for k in range(SYNC)])
     rows = rows.withColumn("_sync", F.size(F.array_distinct(F.filter(window, lambda x: x.isNotNull()))) == SYNC)
     start = rows.filter("_sync").groupBy("prefix").agg(F.max("_ord").alias("_start"))

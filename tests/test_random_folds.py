@@ -113,3 +113,13 @@ def test_pass2_carries_state_over_batches(spark):
         test_bursts_match_fold_across_partitions(spark)
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_examples_fold_a_tail_where_each_lot_has_one_result(spark):
+    """One result a lot: the fold still starts at a window of distinct folios, not at the beginning."""
+    rows = [(lot, lot, 0, f"A{lot % 4000}", "Factura", "X") for lot in range(3000)]
+    df = spark.createDataFrame(rows, "lot_id int, seq long, cat_idx int, folio string, categoria string, cliente string")
+    out = CX.examples(df, CX.seed_prefixes(spark))
+    got = {r.prefix: r.ejemplos for r in out.collect()}
+    assert got["A"] == examples_expected([r[3] for r in rows])
+    assert out.filter("prefix = 'A'").count() == 1
