@@ -15,7 +15,7 @@ which that parameter bounds. Scores cover every row and see the text only.
 Defined cases: null and empty texts have no features and score the bias; labels
 that are null are unused, repeated labels of a document count as the largest; a
 null doc_id is scored, held out or not as crc32 of the empty text says; without
-any usable label the score is 0.5 for all.
+any usable label nothing is known to be toxic and the score is next to 0 for all.
 """
 
 from __future__ import annotations
@@ -117,6 +117,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> np.ndar
     examples = texts.mapInArrow(_examples, "doc_id bigint, toxic int, places binary")
     learnt = examples.repartition(1).mapInArrow(_train, "place int, weight double").collect()
     out = np.zeros((1 << BITS) + 1)
+    out[-1] = -35.0
     for r in learnt:
         out[r["place"]] = r["weight"]  # place -1 is the bias
     return out

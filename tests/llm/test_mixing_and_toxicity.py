@@ -126,5 +126,5 @@ def test_toxicity_edges(spark):
     for own in (labels, labels.limit(0)):
         got = toxicity.toxicity(docs, own).collect()
         assert len(got) == 5 and all(0 <= r.score <= 1 for r in got)
-    assert {r.score for r in got} == {0.5}
+    assert max(r.score for r in got) < 1e-9 and not any(r.predicted for r in got)
     assert toxicity.toxicity(docs.limit(0), labels).collect() == []
