@@ -21,7 +21,6 @@ any usable label nothing is known to be toxic and the score is next to 0 for all
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -96,12 +95,13 @@ def _examples(batches):
 
 
 def _train(batches):
-    rows = pd.concat([b.to_pandas() for b in batches] or [pd.DataFrame(columns=["doc_id", "toxic", "places"])])
-    if not len(rows):
+    rows = pa.Table.from_batches([*batches], pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("places", pa.binary())]))
+    if not rows.num_rows:
         return
-    rows["order"] = mix(rows["doc_id"].to_numpy(np.int64).astype(U64))
-    rows = rows.sort_values(["order", "places"], kind="stable")
-    weights, bias = ftrl([np.frombuffer(x, np.int32) for x in rows["places"]], rows["toxic"].to_numpy(float))
+    order = mix(rows["doc_id"].to_numpy().astype(U64)).tolist()
+    places, labels = rows["places"].to_pylist(), rows["toxic"].to_pylist()
+    turn = sorted(range(len(order)), key=lambda i: (order[i], places[i]))
+    weights, bias = ftrl([np.frombuffer(places[i], np.int32) for i in turn], np.array([labels[i] for i in turn], float))
     at = np.flatnonzero(weights).astype(np.int32)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(weights[at], bias))],
                                      names=["place", "weight"])
