@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 LEAF = 128
 SHORT = 48
-MOST_PIECES = 500_000
+MOST_PIECES = 100_000
 VOCABULARY = "byte_bpe_50k.json"
 
 
@@ -43,24 +43,42 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-class Vocabulary:
-    """Merges, ids and the pattern of one tokenizer file."""
+class Tokens:
+    """The bytes of each id of a tokenizer file: all that decoding needs."""
 
     def __init__(self, path: str | None):
+        self.read(self.spec(path))
+
+    @staticmethod
+    def spec(path: str | None) -> dict:
         import public_tokenizers
-        import regex
 
         with open(path or public_tokenizers.path(VOCABULARY), encoding="utf-8") as f:
-            spec = json.load(f)
-        letters = byte_letters()
-        vocab = spec["model"]["vocab"]
-        self.size = max([*vocab.values(), *(t["id"] for t in spec["added_tokens"])]) + 1
-        self.bytes_of = [b""] * self.size
+            return json.load(f)
+
+    def read(self, spec: dict) -> None:
+        letters, vocab = byte_letters(), spec["model"]["vocab"]
+        self.bytes_of = [b""] * (max([*vocab.values(), *(t["id"] for t in spec["added_tokens"])]) + 1)
         for token, k in vocab.items():
             self.bytes_of[k] = bytes(letters[c] for c in token)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         for token, k in self.special.items():
             self.bytes_of[k] = token.encode()
+
+    def decode(self, ids: bytes) -> str:
+        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+
+
+class Vocabulary(Tokens):
+    """Merges, ids and the pattern of one tokenizer file."""
+
+    def __init__(self, path: str | None):
+        import public_tokenizers
+        import regex
+
+        spec = self.spec(path)
+        self.read(spec)
+        letters, vocab = byte_letters(), spec["model"]["vocab"]
         self.of_byte = [vocab[c] for c in sorted(letters, key=letters.get)]
         pairs = [p if isinstance(p, list) else p.split(" ") for p in spec["model"]["merges"]]
         self.ranks = {(vocab[a], vocab[b]): rank for rank, (a, b) in enumerate(pairs)}
@@ -144,9 +162,6 @@ class Vocabulary:
                        else b"".join(map(pieces.__getitem__, self.split(part))))
         return b"".join(out)
 
-    def decode(self, ids: bytes) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
-
 
 class _Pieces(dict):
     """Packed ids by piece; long pieces are not kept."""
@@ -163,14 +178,14 @@ class _Pieces(dict):
         return packed
 
 
-_LOADED: dict[str | None, Vocabulary] = {}
+_LOADED: dict[tuple, Tokens] = {}
 
 
-def vocabulary(path: str | None = None) -> Vocabulary:
-    """The vocabulary, read once per worker."""
-    if path not in _LOADED:
-        _LOADED[path] = Vocabulary(path)
-    return _LOADED[path]
+def vocabulary(path: str | None = None, kind: type = Vocabulary):
+    """The vocabulary (or only its Tokens), read once per worker."""
+    if (kind, path) not in _LOADED:
+        _LOADED[kind, path] = kind(path)
+    return _LOADED[kind, path]
 
 
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -192,7 +207,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """The columns of ``encoded`` and ``text``, decoded from ``ids`` (null: empty)."""
     def run(batches):
-        v = vocabulary(path)
+        v = vocabulary(path, Tokens)
         for b in batches:
             at = b.schema.get_field_index("ids")
             texts = pa.array([v.decode(x or b"") for x in b.column(at).to_pylist()], pa.string())

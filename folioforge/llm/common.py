@@ -21,10 +21,18 @@ __all__ = ["WHITE", "WORD", "UPPER", "ascii_lower", "ensure_checkpoint_dir", "le
            "materialize", "read_table", "ready", "shuffle_width", "text_id"]
 
 
+#: rows here are whole texts: Arrow batches of Spark's 10,000 rows would take 100 MB and more on both sides
+ARROW_ROWS = 1000
+
+
 def ready(spark: SparkSession) -> None:
-    """Checkpoint folder registered, package importable in Python workers."""
+    """Checkpoint folder registered, package importable in Python workers, Arrow
+    batches of at most ``ARROW_ROWS`` rows."""
     ensure_checkpoint_dir(spark)
     ship_package(spark)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ARROW_ROWS:
+        spark.conf.set(name, str(ARROW_ROWS))
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _LOWER = np.arange(256, dtype=np.uint8)
