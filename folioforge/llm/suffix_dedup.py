@@ -226,13 +226,15 @@ def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     width = shuffle_width(spark)
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").withColumn("tid", text_id(F.col("text")))
     found = materialize(docs.where(F.octet_length("text") >= LENGTH).mapInArrow(_run_rows, _RUN), "runs")
-    again = found.groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi")).where(
-        "n > 1").select("f", (F.col("lo") < F.col("hi")).alias("mixed"))
+    # a table of its own, so that the join has two plain shuffles and AQE can split a hot anchor
+    again = materialize(found.groupBy("f").agg(
+        F.count(F.lit(1)).alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("n > 1").select(
+        "f", (F.col("lo") < F.col("hi")).alias("mixed")), "anchors")
     hits = materialize(found.join(again, "f"), "hits")
     # distinct runs of each mixed anchor, each by its first occurrence
     kinds = materialize(hits.where("mixed").groupBy("f", "c").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "tid", "start", "count", "place")).alias("r")), "kinds")
-    twice = kinds.where("n > 1").select("f", "c")
+    twice = materialize(kinds.where("n > 1").select("f", "c"), "twice")
     whole = hits.where("NOT mixed").unionByName(hits.where("mixed").join(twice, ["f", "c"], "left_semi")).select(
         "doc_id", "tid", "start", (F.col("start") + F.col("count") - 1 + LENGTH).alias("stop"))
     crowd = kinds.groupBy("f").agg(F.count(F.lit(1)).alias("kinds"))
