@@ -2,8 +2,9 @@
 
 A document's set: its distinct shingles of ``SHINGLE`` words (fewer words: the
 whole sequence as one). One hash function orders all shingles; a sketch is the
-``KEEP`` least values of a set. Two sets of Jaccard similarity 0.75 share at
-least ``NEED`` values of their sketches, but for a chance of some 1e-8.
+``KEEP`` least values of a set, kept with the top bit flipped, so that Spark's
+signed order is theirs. Two sets of Jaccard similarity 0.75 share at least
+``NEED`` values of their sketches, but for a chance of some 1e-8.
 
 1. Documents with equal sets are one class, kept by its least doc_id.
 2. Inverted lists of the retained values. A value of one class lists nobody. A
@@ -78,7 +79,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                 n.append(len(s))
                 d1.append(np.add.reduce(mix(s), dtype=U64))
                 d2.append(np.bitwise_xor.reduce(mix(s * U64(0x9E3779B97F4A7C15)), dtype=U64))
-                rows.append(s[:KEEP].view(np.int64))
+                rows.append((s[:KEEP] ^ U64(1 << 63)).view(np.int64))
             flat = np.concatenate(rows) if rows else np.empty(0, np.int64)
             ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
             yield pa.RecordBatch.from_arrays(

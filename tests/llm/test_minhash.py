@@ -72,6 +72,20 @@ def test_groups_against_brute_force(spark, monkeypatch, seed, short):
     compare(spark, rows)
 
 
+def test_sketches_of_short_sets_rule_out_no_partner(spark):
+    """Beginnings of 50 to 100 shingles at similarity 0.75 to 0.8, where sketches hold values of 2^63 and more."""
+    rng = random.Random(5)
+    rows = []
+    for k in range(6000):
+        whole, part = [(80, 60), (88, 66), (76, 57), (83, 63), (100, 75), (64, 50)][k % 6]
+        words = [f"{rng.getrandbits(40):x}" for _ in range(whole + 4)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[:part + 4]))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    classes = minhash.sketches(docs).withColumnRenamed("doc_id", "node")
+    pairs = spark.createDataFrame([(2 * k, 2 * k + 1) for k in range(6000)], "a bigint, b bigint")
+    assert minhash.promising(pairs, classes).count() == 6000
+
+
 def test_query_whole_table(spark):
     from folioforge.llm.queries import QUERIES
     d = "/root/testdata/sf0.001"
