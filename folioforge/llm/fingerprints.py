@@ -12,7 +12,11 @@ chain counts with its best partner.
 
 The ranks are a fixed rule, so the fingerprint of a text depends on its bytes
 alone and equal texts have equal fingerprints. A text too short for a run of 64
-windows (under 127 bytes) has its first and its last 64 bytes as features.
+windows (under 127 bytes) has its first and its last 64 bytes as features. A
+longer text without a popular window (short, periodic or of hardly any entropy)
+is scored once more, windows of hardly any entropy too and equal ranks in order
+of a hash of the window; its popular windows, or else its best, are features,
+each content once, beside its first and its last 64 bytes.
 
 Entropies of all windows come from integer sums: a window's value changes, from
 one place to the next, by what the byte that enters and the byte that leaves
@@ -20,9 +24,8 @@ add for the number of equal bytes in the window. Everything is NumPy over
 chunks of whole texts.
 
 Defined cases: null and empty texts have an empty fingerprint, which is like
-itself (1) and unlike all others (0); texts without any feature as the empty
-one; rows with null doc_id stand first, rows with equal doc_id in order of
-their texts.
+itself (1) and unlike all others (0); every other text has a feature; rows with
+null doc_id stand first, rows with equal doc_id in order of their texts.
 """
 
 from __future__ import annotations
@@ -78,6 +81,25 @@ def _ranks(data: np.ndarray) -> np.ndarray:
     return ranks
 
 
+def _second_features(data: np.ndarray) -> np.ndarray:
+    """Hashes of the features of one text that has no popular window."""
+    content, span = data.astype(U64), 1
+    while span < WIDTH:  # a hash of each window, by doubling
+        content = mix(content[:-span] * U64(0x9E3779B97F4A7C15) + content[span:])
+        span *= 2
+    key = _ranks(data).astype(U64) << U64(32) | content >> U64(32)
+    best, span = np.arange(len(key)), 1
+    while span < WIDTH:  # place of the least key (then the leftmost) of 64 neighbouring windows
+        left, right = best[:-span], best[span:]
+        best = np.where(key[left] <= key[right], left, right)
+        span *= 2
+    points = np.bincount(best, minlength=len(key))
+    at = np.flatnonzero(points >= min(POPULAR, points.max()))
+    at = np.unique(np.append(at, [0, len(key) - 1]))
+    at = at[np.sort(np.unique(content[at], return_index=True)[1])]
+    return _digest(np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, WIDTH)[at]))
+
+
 def _features(data: np.ndarray, offsets: np.ndarray):
     """(hashes, texts) of the features of texts data[offsets[i]:offsets[i+1]]."""
     texts = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
@@ -111,6 +133,12 @@ def _features(data: np.ndarray, offsets: np.ndarray):
             row[:len(part)] = part
         hashes.append(_digest(own[:1] if size[i] <= WIDTH else own) + U64(min(size[i], WIDTH)))
         owner.append(np.full(len(hashes[-1]), i))
+    have = np.zeros(len(size), bool)
+    for o in owner:
+        have[o] = True
+    for i in np.flatnonzero((size >= 2 * WIDTH - 1) & ~have):
+        hashes.append(_second_features(data[offsets[i]:offsets[i + 1]]))
+        owner.append(np.full(len(hashes[-1]), i))
     if not hashes:
         return np.empty(0, U64), np.empty(0, np.int64)
     h, o = np.concatenate(hashes), np.concatenate(owner)

@@ -38,6 +38,27 @@ def test_same_alone_or_in_a_batch():
     assert fp.likeness(together[0], together[0]) == 1.0 and fp.likeness(together[0], together[-1]) == 0.0
 
 
+def test_every_text_has_a_feature():
+    rng = np.random.default_rng(3)
+    texts = [bytes(rng.choice(list(b"etaoin shrdlu"), n).astype(np.uint8)) for n in range(120, 260)]
+    texts += [b"0123456789abcdef" * 60, b"fedcba98765432" * 60, b"a" * 500, b"b" * 500, b"c" * 300 + b"d" * 300,
+              bytes(rng.choice(list(b"ab"), 5000).astype(np.uint8)), b"xy" * 5000, "日本".encode() * 50]
+    prints = fp.fingerprints(texts)
+    for t, f in zip(texts, prints):
+        assert len(f) and f.any() and np.array_equal(fp.fingerprints([t])[0], f)
+    for a, b in zip(prints, prints[1:]):
+        assert fp.likeness(a, b) < 1
+    assert len(prints[-3]) == 1 and np.unpackbits(prints[-3]).sum() > 300  # two letters: features all along the text
+
+
+def test_short_neighbours_are_unlike(spark):
+    rng = np.random.default_rng(4)
+    rows = [(k, bytes(rng.choice(list(b"etaoin shrdlu"), 127 + k).astype(np.uint8)).decode()) for k in range(70)]
+    got = fp.fingerprint_chain(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert len(got) == 70 and all(r.fingerprint and r.near_next < 1 for r in got)
+    assert all(r.near_edited < 1 for r in got if r.n_chars < 142)
+
+
 @pytest.mark.parametrize("ids", [[5, 3, 9, 1, 7], [None, 2, None, 2, 1], [4], []])
 def test_chain_against_brute_force(spark, ids):
     texts = ["alpha beta " * 30, None, "", "x", "émile zola\n" * 40]
