@@ -8,7 +8,8 @@ coordinate has its own learning rate; the L1 term leaves few non-zero weights,
 which are collected (at most 2**BITS of them) and broadcast.
 
 Training uses at most ``TRAIN_ROWS`` labelled documents, those with the least
-hash of doc_id, so reruns and any partitioning learn the same weights. Features
+hash of doc_id, so reruns and any partitioning learn the same weights. Of rows
+that repeat a doc_id the one of the least text hash trains. Features
 of the sample are built in parallel; one task runs the passes over the sample,
 which that parameter bounds. Scores cover every row and see the text only.
 
@@ -26,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folioforge.llm.common import text_id
 from folioforge.llm.words import PUNCT_BYTES, U64, chunks, mix, text_bytes, word_hashes
 
 BITS = 20
@@ -91,7 +93,8 @@ def _examples(batches):
             cuts = np.searchsorted(texts[order], np.arange(1, j - i))
             rows += [np.unique(x).tobytes() for x in np.split(places[order], cuts)]
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), b.column("toxic"), pa.array(rows, pa.binary())], names=["doc_id", "toxic", "places"])
+            [b.column("doc_id"), b.column("toxic"), b.column("tid"), pa.array(rows, pa.binary())],
+            names=["doc_id", "toxic", "tid", "places"])
 
 
 def _train(batches):
@@ -113,8 +116,11 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> np.ndar
         F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     sample = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(
         F.xxhash64("doc_id"), "doc_id").limit(rows)
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # at most `rows` rows of 12 bytes
-    examples = texts.mapInArrow(_examples, "doc_id bigint, toxic int, places binary")
+    texts = docs.select("doc_id", "text", text_id(F.col("text")).alias("tid")).join(
+        F.broadcast(sample), "doc_id")  # at most `rows` rows of 12 bytes
+    found = texts.mapInArrow(_examples, "doc_id bigint, toxic int, tid bigint, places binary")
+    examples = found.groupBy("doc_id").agg(F.min(F.struct("tid", "toxic", "places")).alias("x")).select(
+        "doc_id", "x.toxic", "x.places")
     learnt = examples.repartition(1).mapInArrow(_train, "place int, weight double").collect()
     out = np.zeros((1 << BITS) + 1)
     out[-1] = -35.0

@@ -119,6 +119,23 @@ def test_scores_of_held_out_documents(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
 
 
+def test_repeated_documents_train_once(spark):
+    rng = random.Random(8)
+    word = lambda: f"w{rng.randrange(60)}"
+    rows = [(i, " ".join([word() for _ in range(20)] + ["vile"] * (i % 5 == 0))) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(400)], "doc_id bigint, toxic int")
+    first = next(i for i in range(400) if i % 5 == 0 and zlib.crc32(str(i).encode()) % 4 != 2)
+    other = [(first, f"vile {word()} {word()} other {k}") for k in range(300)]
+    frame = lambda x: spark.createDataFrame(x, "doc_id bigint, text string")
+    plain = toxicity.train(frame(rows), labels)
+    assert (plain != 0).sum() > 5
+    assert np.array_equal(plain, toxicity.train(frame(rows + [rows[first]] * 300), labels))
+    one = [r for r in rows + other if r[0] != first]
+    from pyspark.sql import functions as F
+    least = frame([rows[first]] + other).orderBy(F.xxhash64("text")).first()
+    assert np.array_equal(toxicity.train(frame(rows + other), labels), toxicity.train(frame(one + [tuple(least)]), labels))
+
+
 def test_toxicity_edges(spark):
     rows = [(1, None, 5.0), (1, None, 5.0), (None, "you idiot", 1.0), (2, "", None), (3, "x " * 50000, 0.0)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, score double")
