@@ -135,39 +135,45 @@ def pieces(sizes: DataFrame, per_source: DataFrame) -> DataFrame:
 
 
 def passes(sizes: DataFrame, per_source: DataFrame) -> DataFrame:
-    """(rid, pass, words, slot): the words of each document that each pass over
-    its source takes, and the first slot that takes them."""
+    """(rid, pass, words, slot, at): the words of each document that each pass over
+    its source takes, the first slot that takes them, and their place in the source."""
     slots = schedule(per_source)
     parts = pieces(sizes, per_source)
     goals = per_source.select("src", "goal", "source_size")
     joined = parts.join(slots, ["src", "block"]).join(goals, "src")
     left = F.col("goal") - F.col("pass") * F.col("source_size") - F.col("at")
     taken = joined.withColumn("words", F.greatest(F.lit(0), F.least("words", left))).where("words > 0")
-    return taken.groupBy("rid", "pass").agg(F.sum("words").alias("words"), F.min("slot").alias("slot"))
+    return taken.groupBy("rid", "pass").agg(F.sum("words").alias("words"), F.min(F.struct("slot", "at")).alias("x")).select(
+        "rid", "pass", "words", "x.slot", "x.at")
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) of every row of ``docs``."""
+    """(doc_id, size, source_size, target, taken, slot_0, ...) of every row of
+    ``docs``: slot_k is the first slot that takes it in pass k over its source."""
     sizes = sized(docs)
     per_source = materialize(targets(sizes), "mix-targets")
-    taken = passes(sizes, per_source).groupBy("rid").agg(F.sum("words").alias("taken"))
+    slots = [f"slot_{k}" for k in range(MOST)]
+    taken = passes(sizes, per_source).groupBy("rid").agg(F.sum("words").alias("taken"), *[
+        F.min(F.when(F.col("pass") == k, F.col("slot"))).alias(name) for k, name in enumerate(slots)])
     src = per_source.select(F.col("source").alias("_s"), "source_size", "target")
     rows = sizes.join(src, sizes["source"].eqNullSafe(src["_s"])).join(taken, "rid", "left")
     return rows.select("doc_id", "size", "source_size", "target",
-                       F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"))
+                       F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"), *slots)
 
 
 def take_text(docs: DataFrame) -> DataFrame:
     """The mix as rows with the columns of ``docs``: a document once for each
     pass that takes it, its text cut behind the last word taken, n_chars (if
-    there) counted anew."""
+    there) counted anew. Rows are in order of the first slot that takes them, by
+    ranges of slots."""
     columns = docs.columns
     kept = materialize(docs.withColumn("_rid", F.monotonically_increasing_id()), "mix-docs")
     sizes = sized(kept)
     per_source = materialize(targets(sizes), "mix-targets")
     took = passes(sizes, per_source).join(sizes.select("rid", "size"), "rid").select(
-        F.col("rid").alias("_rid"), F.col("words").alias("_words"), F.col("size").alias("_size"))
-    rows = kept.join(took, "_rid")
+        F.col("rid").alias("_rid"), F.col("words").alias("_words"), F.col("size").alias("_size"),
+        F.col("slot").alias("_slot"), F.col("at").alias("_at"))
+    rows = kept.join(took, "_rid").repartitionByRange("_slot", "_at").sortWithinPartitions("_slot", "_at")
     words = F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("_words").cast("int"))
     text = F.when(F.col("_words") == F.col("_size"), F.col("text")).otherwise(F.array_join(words, " "))
     rows = rows.withColumn("text", text)

@@ -67,6 +67,26 @@ def test_schedule_is_well_spread(spark):
         assert all(abs(part[s] / n - share[s] / len(slots)) < 0.1 for s in share)
 
 
+def test_mix_comes_in_slot_order(spark):
+    """Beginnings of the written mix hold each source near its share; first slots agree with its order."""
+    rows = [(1000 * k + i, "w " * 900 + f"d{1000 * k + i}", f"s{k}") for k in range(3) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(6)
+    path = mixing.materialize(mixing.take_text(docs), "mix-order")
+    order = [(r.doc_id, r.source) for r in mixing.take_text(docs).collect()]
+    share = Counter(s for _, s in order)
+    for n in (30, 60, 120, 240):
+        part = Counter(s for _, s in order[:n])
+        assert all(abs(part[s] / n - share[s] / len(order)) < 0.1 for s in share), (n, part)
+    assert Counter((r.doc_id, r.source) for r in path.collect()) == Counter(order)
+    slots = {r.doc_id: (r.slot_0, r.slot_1) for r in mixing.mix(docs).collect()}
+    assert sum(x is not None for v in slots.values() for x in v) == len(order)
+    seen, last = Counter(), -1
+    for d, _ in order:
+        slot = slots[d][seen[d]]
+        assert slot >= last
+        last, seen[d] = slot, seen[d] + 1
+
+
 def test_empty_mix(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string, source string")
     assert mixing.mix(docs).collect() == [] and mixing.take_text(docs).collect() == []
