@@ -74,9 +74,15 @@ def text_stats(docs: DataFrame) -> DataFrame:
                        "w.n_repeat_words")
 
 
+def equal_rows(docs: DataFrame) -> DataFrame:
+    """(host, doc_id, tid, copies): the documents, and how many equal rows each has."""
+    return docs.groupBy(F.col("source").alias("host"), "doc_id", text_id(F.col("text")).alias("tid")).agg(
+        F.count(F.lit(1)).alias("copies"))
+
+
 def frequent_lines(docs: DataFrame, min_docs: int, max_share: float) -> tuple[DataFrame, DataFrame]:
-    """The lines of each document with their word counts, and the (host, line)
-    pairs above the limit."""
+    """The lines of each document with their word counts (those of all its equal
+    rows), and the (host, line) pairs above the limit."""
     rows = docs.select("doc_id", F.col("source").alias("host"), text_id(F.col("text")).alias("tid"),
                        F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line"))
     rows = rows.where(F.col("line").rlike(WORD)).select(
@@ -84,7 +90,7 @@ def frequent_lines(docs: DataFrame, min_docs: int, max_share: float) -> tuple[Da
         F.regexp_count("line", F.lit(WORD)).alias("words"))
     # one row for each document and line; the documents of a line are then only counted
     lines = rows.groupBy("host", "h", "doc_id", "tid").agg(F.sum("words").alias("words"))
-    hosts = docs.groupBy(F.col("source").alias("host")).agg(F.count(F.lit(1)).alias("n_docs"))
+    hosts = equal_rows(docs).groupBy("host").agg(F.count(F.lit(1)).alias("n_docs"))
     counts = lines.groupBy("host", "h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > min_docs)
     many = counts.alias("c").join(hosts.alias("o"), F.col("c.host").eqNullSafe(F.col("o.host"))).where(
         F.col("n") > max_share * F.col("n_docs")).select("c.host", "h")
@@ -101,6 +107,10 @@ def quality_rules(docs: DataFrame, min_docs: int = 50, max_share: float = 0.02,
     lines, many = lines.alias("l"), many.alias("m")
     gone = lines.join(many, (F.col("l.h") == F.col("m.h")) & F.col("l.host").eqNullSafe(F.col("m.host")),
                       "left_semi").groupBy("doc_id", "tid", "host").agg(F.sum("words").alias("frequent_words"))
+    gone, copies = gone.alias("g"), equal_rows(docs).where("copies > 1").alias("e")
+    gone = gone.join(copies, (F.col("g.tid") == F.col("e.tid")) & F.col("g.doc_id").eqNullSafe(F.col("e.doc_id"))
+                     & F.col("g.host").eqNullSafe(F.col("e.host")), "left").select(
+        "g.doc_id", "g.tid", "g.host", F.expr("frequent_words div coalesce(copies, 1)").alias("frequent_words"))
     s, g = stats.alias("s"), gone.alias("g")
     joined = s.join(g, (F.col("s.tid") == F.col("g.tid")) & F.col("s.doc_id").eqNullSafe(F.col("g.doc_id"))
                     & F.col("s.host").eqNullSafe(F.col("g.host")), "left")
