@@ -14,7 +14,10 @@ the layout it stands in. Training is deterministic, takes a second on the
 driver and leaves a few hundred weights, which are broadcast.
 
 Scripts, styles, the head, comments in the markup and form controls never make
-blocks. A line break (br) is white space. A tag cut off by the end of the page
+blocks. The head ends at the first thing that it cannot hold; a skipped element
+without an end tag ends with the block around it (unless the parser takes all
+that follows as its text, as for script and style). Formulas and what stands in
+for objects, audio and video are text. A line break (br) is white space. A tag cut off by the end of the page
 is dropped.
 
 Defined cases: null or empty html gives an empty text; a page without a text
@@ -38,7 +41,9 @@ BLOCK_TAGS = set("""address article aside blockquote body caption center dd deta
 figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table
 tbody td tfoot th thead tr ul""".split())
 VOID_TAGS = set("area base br col embed hr img input link meta param source track wbr".split())
-SKIP_TAGS = set("script style head noscript template svg math iframe object canvas audio video select option button textarea title datalist".split())
+SKIP_TAGS = set("script style head noscript template svg iframe canvas select option button textarea title datalist".split())
+HEAD_TAGS = set("html head base basefont bgsound link meta noframes noscript script style template title".split())
+RAW_TAGS = set("iframe textarea title".split())
 
 
 class _Blocks(HTMLParser):
@@ -47,6 +52,8 @@ class _Blocks(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.blocks, self.open, self.skip, self.links = [], [], [], 0
+        self.inner = []  # block tags open inside skipped elements
+        self.ends = dict.fromkeys(RAW_TAGS, 0)  # end tags of raw elements that are still to come
         self.text, self.linked = [], 0
 
     def flush(self):
@@ -57,10 +64,16 @@ class _Blocks(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         if tag == "body":
-            self.skip = [x for x in self.skip if x not in ("head", "title")]
+            self.skip = [x for x in self.skip if x[0] not in ("head", "title")]
+            if not self.skip:
+                self.inner.clear()
+        elif [x for x, _ in self.skip] == ["head"] and tag not in HEAD_TAGS:
+            self.skip.clear()  # head ends at what it cannot hold
         if self.skip or tag in SKIP_TAGS:
             if tag in SKIP_TAGS:
-                self.skip.append(tag)
+                self.skip.append((tag, len(self.inner)))
+            elif tag in BLOCK_TAGS and tag not in VOID_TAGS:
+                self.inner.append(tag)
             return
         if tag in BLOCK_TAGS:
             self.flush()
@@ -83,10 +96,23 @@ class _Blocks(HTMLParser):
                 self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
+        if tag in RAW_TAGS:
+            self.ends[tag] -= 1
         if self.skip:
-            if tag in self.skip:
-                del self.skip[len(self.skip) - 1 - self.skip[::-1].index(tag):]
-            return
+            names = [x for x, _ in self.skip]
+            if tag in names:
+                k = len(names) - 1 - names[::-1].index(tag)
+                del self.inner[self.skip[k][1]:]
+                del self.skip[k:]
+                return
+            if tag in self.inner:
+                del self.inner[len(self.inner) - 1 - self.inner[::-1].index(tag):]
+                return
+            if tag not in [x for x, _ in self.open] or self.ends.get(names[-1], 0) > 0:
+                return
+            # the block around it closes, so a skipped element without an end tag ends
+            self.skip.clear()
+            self.inner.clear()
         if tag in BLOCK_TAGS:
             self.flush()
             names = [t for t, _ in self.open]
@@ -96,6 +122,8 @@ class _Blocks(HTMLParser):
             self.links -= 1
 
     def handle_data(self, data):
+        if [x for x, _ in self.skip] == ["head"] and data.strip():
+            self.skip.clear()
         if not self.skip:
             self.text.append(data)
             if self.links:
@@ -109,6 +137,8 @@ def blocks(html: str | None) -> list[tuple]:
     if cut >= 0 and ">" not in html[cut:] and re.match(r"<[/!a-zA-Z]|<$", html[cut:]):
         html = html[:cut]
     parser = _Blocks()
+    lower = html.lower()
+    parser.ends = {tag: lower.count("</" + tag) for tag in RAW_TAGS}
     parser.feed(html)
     parser.close()
     parser.flush()

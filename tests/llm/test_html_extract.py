@@ -43,6 +43,20 @@ def test_small_pages(model, page, want):
     assert hx.main_text(page, model) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<html><head><meta charset=u><title>T</title><div>Aa bb.</div></html>", ["Aa bb."]),
+    ("<head><link rel=x><p>Aa bb.</p>", ["Aa bb."]), ("<head><style>x</style>Aa bb.", ["Aa bb."]),
+    ("<head><noscript><img src=x><div>No</div></noscript><template><p>No</p></template></head><p>Aa</p>", ["Aa"]),
+    ("<article><div>Aa <svg><g>No</div><p>Bb cc.</p></article>", ["Aa", "Bb cc."]),
+    ("<div><p>Aa</p><noscript><div><p>No<p>No</div> no</noscript><p>Bb</p></div>", ["Aa", "Bb"]),
+    ("<div><select><option>No<option>No</div><p>Bb</p>", ["Bb"]),
+    ("<div><iframe></div>No</iframe>Aa</div>", ["Aa"]), ("<div><iframe>No</div><p>Aa</p>", ["Aa"]),
+    ("<p>Let <math><mi>x</mi></math> be <object>a plot</object>, <audio>a song</audio> or <video>a film</video>.</p>",
+     ["Let x be a plot, a song or a film."])])
+def test_skipped_elements(page, want):
+    assert [text for text, *_ in hx.blocks(page)] == want
+
+
 def test_rows(spark):
     rows = [(1, "u", "<article><p>Aa bb, cc.</p></article>", 9), (1, "u", "<article><p>Aa bb, cc.</p></article>", 9), (None, None, None, None)]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text int")
