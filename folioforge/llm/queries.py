@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import bpe, fingerprints, html_extract, line_dedup, minhash, mixing, quality, substring_dedup, suffix_dedup, toxicity
+from folioforge.llm import (bpe, fingerprints, hard_negatives, html_extract, line_dedup, minhash, mixing, phrases, pu_quality, quality,
+                            substring_dedup, suffix_dedup, toxicity)
 from folioforge.llm.common import read_table, ready
 
 
@@ -65,6 +66,21 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(read_table(spark, sf_dir, "pages"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return hard_negatives.hard_negatives(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return pu_quality.quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_fingerprints": op2_fingerprints,
@@ -76,6 +92,9 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_toxicity": op9_toxicity,
     "op10_html_extract": op10_html_extract,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_quality_classifier": op12_quality_classifier,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLES = {
@@ -131,5 +150,46 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
       AND NOT (frequent_words > 0 AND (n_words - frequent_words < 5 OR n_words - frequent_words < 0.2 * n_words)) AS kept,
     frequent_words
 FROM a
+""",
+    "op11_hard_negatives": r"""
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label, embedding
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL),
+x AS (SELECT r, vec_id, label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM v),
+bad AS (SELECT DISTINCT r FROM x WHERE x IS NULL OR NOT isfinite(x)),
+q AS MATERIALIZED (SELECT r, vec_id, label, i, floor(256 * x)::HUGEINT AS c FROM x WHERE r NOT IN (SELECT r FROM bad)),
+s AS MATERIALIZED (SELECT a.r AS ar, a.vec_id AS anchor_id, a.label AS al, b.r, b.vec_id, b.label, sum(a.c * b.c)::BIGINT AS score
+  FROM q a JOIN q b ON a.i = b.i WHERE a.vec_id % 50 = 0 AND a.r <> b.r GROUP BY ALL),
+p AS (SELECT ar, anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE label = al
+  QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT p.*, vec_id AS negative_id, score AS negative_score,
+    row_number() OVER (PARTITION BY p.ar, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+  FROM p JOIN s ON s.ar = p.ar WHERE s.label <> s.al AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+""",
+    "op13_collocations": r"""
+WITH p AS MATERIALIZED (SELECT row_number() OVER () AS id, lang, piece FROM (SELECT coalesce(lang, 'und') AS lang, unnest(
+    string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents)),
+u AS (SELECT lang, id, unnest(regexp_extract_all(piece, '[^\x20\x09]+')) AS w,
+    generate_subscripts(regexp_extract_all(piece, '[^\x20\x09]+'), 1) AS i FROM p),
+s AS MATERIALIZED (SELECT lang, w, lead(w) OVER o AS w2, lead(w, 2) OVER o AS w3 FROM u WINDOW o AS (PARTITION BY id ORDER BY i)),
+n AS (SELECT lang, count(*) AS n FROM s GROUP BY lang),
+g AS (SELECT lang, w AS phrase, count(*) AS f FROM s GROUP BY lang, w
+  UNION ALL SELECT lang, w || ' ' || w2, count(*) FROM s WHERE w2 IS NOT NULL GROUP BY lang, w, w2
+  UNION ALL SELECT lang, w || ' ' || w2 || ' ' || w3, count(*) FROM s WHERE w3 IS NOT NULL GROUP BY lang, w, w2, w3),
+f AS MATERIALIZED (SELECT lang, phrase, lang || chr(10) || phrase AS key, f FROM g WHERE f >= 10),
+c AS MATERIALIZED (SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS x FROM f WHERE contains(phrase, ' ')),
+k AS (SELECT lang, phrase, a, 1 AS k, x[1] AS head, array_to_string(x[2:], ' ') AS tail FROM c
+  UNION ALL SELECT lang, phrase, a, 2, x[1] || ' ' || x[2], x[3] FROM c WHERE len(x) = 3),
+y AS MATERIALIZED (SELECT k.lang, k.phrase, a, k, f.f AS l, k.lang || chr(10) || tail AS rest
+  FROM k JOIN f ON f.key = k.lang || chr(10) || head),
+z AS (SELECT y.lang, y.phrase, a, k, l, f.f AS r, ((1000000::HUGEINT * a * a) // (l::HUGEINT * f.f))::BIGINT AS score
+  FROM y JOIN f ON f.key = rest),
+b AS (SELECT * FROM z QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+t AS (SELECT lang || chr(10) || unnest([x[1] || ' ' || x[2], x[2] || ' ' || x[3]]) AS key, a FROM c WHERE len(x) = 3),
+m AS (SELECT key, max(a) AS most FROM t GROUP BY key),
+d AS (SELECT b.* FROM b LEFT JOIN m ON m.key = b.lang || chr(10) || b.phrase WHERE most IS NULL OR 100 * most < 50 * a),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM d)
+SELECT o.lang, rank, phrase, a, l, r, n, score FROM o JOIN n ON n.lang = o.lang WHERE rank <= 2000
 """,
 }
