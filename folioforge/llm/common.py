@@ -17,8 +17,8 @@ WHITE = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-__all__ = ["WHITE", "WORD", "UPPER", "ascii_lower", "ensure_checkpoint_dir", "let", "line_key",
-           "materialize", "read_table", "ready", "shuffle_width", "text_id"]
+__all__ = ["WHITE", "WORD", "UPPER", "ascii_lower", "ensure_checkpoint_dir", "let", "line_key", "materialize",
+           "packed", "read_table", "ready", "shuffle_width", "text_id", "unpacked"]
 
 
 #: rows here are whole texts: Arrow batches of Spark's 10,000 rows would take 100 MB and more on both sides
@@ -60,3 +60,25 @@ def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row: a lambda variable
     is bound, where an inlined expression would be evaluated at each use."""
     return F.transform(F.array(value), body)[0]
+
+
+def packed(docs: DataFrame, *needed: str) -> DataFrame:
+    """(row, needed...): the caller's columns in one struct, so that an operator's
+    own columns cannot clash with them, beside those the operator reads."""
+    names = {c.lower(): c for c in docs.columns}
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       *[F.col(f"`{names[c]}`").alias(c) for c in needed])
+
+
+def unpacked(rows: DataFrame, docs: DataFrame, text: Column | None = None, changed: Column | None = None) -> DataFrame:
+    """The columns of ``docs`` out of ``row``; where ``changed``, with ``text`` as the
+    new text and n_chars (if there) counted anew."""
+    out = []
+    for field in docs.schema.fields:
+        value = F.col("row").getField(field.name)
+        if text is not None and field.name.lower() == "text":
+            value = F.when(changed, text).otherwise(value)
+        if text is not None and field.name.lower() == "n_chars":
+            value = F.when(changed, F.char_length(text).cast(field.dataType)).otherwise(value)
+        out.append(value.alias(field.name))
+    return rows.select(*out)

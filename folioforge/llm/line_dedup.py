@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import let, line_key, shuffle_width, text_id
+from folioforge.llm.common import let, line_key, packed, shuffle_width, text_id, unpacked
 
 SALTS = 64
 
@@ -101,3 +101,10 @@ def line_dedup(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     done = apply_drops(docs, drop_bitmaps(docs, min_chars))
     return done.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
                        F.col("_kept_text").alias("kept_text"))
+
+
+def without_repeats(docs: DataFrame, min_chars: int = 10) -> DataFrame:
+    """``docs`` with the dropped lines taken out of ``text`` (and n_chars counted anew
+    where that changes it); every row stays, whatever other columns there are."""
+    done = apply_drops(packed(docs, "doc_id", "text"), drop_bitmaps(docs.select("doc_id", "text"), min_chars))
+    return unpacked(done, docs, F.col("_kept_text"), F.col("_n_dropped") > 0)

@@ -32,10 +32,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import materialize, shuffle_width
+from folioforge.llm.common import materialize, packed, shuffle_width, text_id, unpacked
 from folioforge.llm.components import components
 from folioforge.llm.words import U64, chunks, mix, ngram_hashes, text_bytes, word_hashes
 
@@ -94,7 +94,8 @@ def inverted_lists(classes: DataFrame, most: int | None) -> DataFrame:
     """(value, band, node, n): the lists that each class stands in, by the values
     in ``sketch``: two partners share PERCENT of the larger, at most ``most``."""
     posts = classes.select("node", F.explode("sketch").alias("value"))
-    shared = posts.groupBy("value").agg(F.count(F.lit(1)).alias("freq")).where("freq > 1")
+    # a table of its own: with two plain shuffles AQE can split a hot value
+    shared = materialize(posts.groupBy("value").agg(F.count(F.lit(1)).alias("freq")).where("freq > 1"), "shared")
     found = posts.join(shared, "value").groupBy("node").agg(
         F.array_sort(F.collect_list(F.struct("freq", "value"))).alias("found"))
     size = classes.select("node", "n", F.size("sketch").alias("m"))
@@ -163,10 +164,10 @@ def star_pairs(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(a, b) of each list's centres with its other members; and the centres by
     list, with the list's size."""
     one = F.struct("node", "n")
-    centres = lists.groupBy("value", "band").agg(
+    centres = materialize(lists.groupBy("value", "band").agg(
         F.count(F.lit(1)).alias("members"), F.min(one).alias("c1"), F.max(one).alias("c2"),
         F.min(F.struct(F.xxhash64("node").alias("h"), "node", "n")).alias("c3")).where(
-        "members > 1").withColumn("c3", F.struct("c3.node", "c3.n"))
+        "members > 1").withColumn("c3", F.struct("c3.node", "c3.n")), "centres")
     rows = lists.join(centres, ["value", "band"]).select(
         "node", "n", F.explode(F.array("c1", "c2", "c3")).alias("c"))
     pairs = rows.where((F.col("node") != F.col("c.node")) & _size_fits(F.col("n"), F.col("c.n"))).select(
@@ -240,7 +241,7 @@ def block_links(sets: DataFrame, labels: DataFrame) -> DataFrame:
     """Links (a, b) between components, among classes given by their whole sets."""
     width = shuffle_width(sets.sparkSession)
     lists = materialize(inverted_lists(sets, None), "whole-lists")
-    heads = lists.groupBy("value", "band").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z")
+    heads = materialize(lists.groupBy("value", "band").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z"), "heads")
     edges = lists.join(heads, ["value", "band"]).select("a", F.col("node").alias("b"))
     blocks = components(edges).select("node", F.col("label").alias("block"))
     named = blocks.join(labels, "node", "left").select("node", "block", F.coalesce("label", "node").alias("label"))
@@ -268,7 +269,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("node"), F.first("sketch").alias("sketch")), "classes")
     lists = materialize(inverted_lists(classes, NEED), "lists")
     pairs, centres = star_pairs(lists)
-    centres = materialize(centres, "centres")
     first = materialize(promising(pairs, classes), "pairs")
     crowds = lists.join(centres.select("value", "band", "members"), ["value", "band"]).groupBy("node").agg(
         (F.max("members") > SHORT).alias("crowded"))
@@ -289,3 +289,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     component = F.coalesce("label", "doc_id")
     return out.select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with the document of the least doc_id of each group of near-duplicates;
+    of rows that repeat a doc_id one stays; rows with null doc_id all stay."""
+    kept = near_duplicates(docs.select("doc_id", "text")).where("kept AND doc_id IS NOT NULL").select(
+        F.col("doc_id").alias("kept_id")).distinct()
+    known = packed(docs, "doc_id", "text").where("doc_id IS NOT NULL").withColumn("tid", text_id(F.col("text")))
+    first = Window.partitionBy("doc_id").orderBy("tid")
+    stay = known.join(kept, known["doc_id"] == kept["kept_id"], "left_semi").withColumn(
+        "nth", F.row_number().over(first)).where("nth = 1")
+    return unpacked(stay, docs).unionByName(docs.where("doc_id IS NULL"))

@@ -29,7 +29,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import WORD, materialize, text_id
+from folioforge.llm.common import WORD, materialize, packed, text_id, unpacked
 
 BLOCK = 1024
 WEIGHTS = (3, 1, 2)
@@ -44,7 +44,7 @@ GOLDEN = 0.6180339887498949
 def sized(docs: DataFrame) -> DataFrame:
     """(rid, doc_id, source, tid, size) written once: rid numbers the rows."""
     n = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
-    rid = F.col("_rid") if "_rid" in docs.columns else F.monotonically_increasing_id()
+    rid = F.col("rid") if "row" in docs.columns else F.monotonically_increasing_id()
     return materialize(docs.select(rid.alias("rid"), "doc_id", "source", text_id(F.col("text")).alias("tid"),
                                    n.alias("size")), "mix-sizes")
 
@@ -166,17 +166,15 @@ def take_text(docs: DataFrame) -> DataFrame:
     pass that takes it, its text cut behind the last word taken, n_chars (if
     there) counted anew. Rows are in order of the first slot that takes them, by
     ranges of slots."""
-    columns = docs.columns
-    kept = materialize(docs.withColumn("_rid", F.monotonically_increasing_id()), "mix-docs")
+    rows = packed(docs, "doc_id", "text", "source").withColumn("rid", F.monotonically_increasing_id())
+    kept = materialize(rows, "mix-docs")
     sizes = sized(kept)
     per_source = materialize(targets(sizes), "mix-targets")
-    took = passes(sizes, per_source).join(sizes.select("rid", "size"), "rid").select(
-        F.col("rid").alias("_rid"), F.col("words").alias("_words"), F.col("size").alias("_size"),
-        F.col("slot").alias("_slot"), F.col("at").alias("_at"))
-    rows = kept.join(took, "_rid").repartitionByRange("_slot", "_at").sortWithinPartitions("_slot", "_at")
-    words = F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("_words").cast("int"))
-    text = F.when(F.col("_words") == F.col("_size"), F.col("text")).otherwise(F.array_join(words, " "))
-    rows = rows.withColumn("text", text)
-    if "n_chars" in columns:
-        rows = rows.withColumn("n_chars", F.char_length("text").cast("bigint"))
-    return rows.select(*columns)
+    took = passes(sizes, per_source).join(sizes.select("rid", "size"), "rid").select("rid", "words", "size", "slot", "at")
+    rows = kept.join(took, "rid").repartitionByRange("slot", "at").sortWithinPartitions("slot", "at")
+    # the text up to the end of its last word taken: white space and words in turn
+    n = F.col("words").cast("int")
+    parts = F.zip_with(F.slice(F.split("text", WORD, -1), F.lit(1), n), F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), n),
+                       lambda white, word: F.concat(white, word))
+    text = F.when(F.col("words") == F.col("size"), F.col("text")).otherwise(F.array_join(parts, ""))
+    return unpacked(rows, docs, text, F.lit(True))

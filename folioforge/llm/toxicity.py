@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioforge.llm.common import text_id
+from folioforge.llm.common import packed, text_id, unpacked
 from folioforge.llm.words import PUNCT_BYTES, U64, chunks, mix, text_bytes, word_hashes
 
 BITS = 20
@@ -158,3 +158,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Data
     scored = score(docs.select("doc_id", "text"), train(docs, labels))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
+    """``docs`` without the rows that score ``threshold`` or more; null and empty texts stay."""
+    scored = score(packed(docs, "text"), train(docs.select("doc_id", "text"), labels))
+    empty = F.coalesce("text", F.lit("")) == ""
+    return unpacked(scored.where((F.col("score") < threshold) | empty), docs)
