@@ -4,16 +4,16 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 each result as Parquet under ``spark.checkpoint.dir`` and rereads it as the
 next stage's documents. All stages but the last return the columns of their
 input. Rows may have null or repeated doc_id, null or empty texts and further
-columns; each stage says what becomes of them.
+columns of any name; each stage says what becomes of them. A text is held whole in
+one row, up to the 2 GB that a string of Spark may have.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from folioforge.llm import bpe, line_dedup, minhash, mixing, toxicity
-from folioforge.llm.common import materialize, read_table, ready, text_id
+from folioforge.llm.common import materialize, read_table, ready
 
 TOXIC = 0.3
 
@@ -22,10 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score ``TOXIC`` or more go (op 9); labels of sf_dir train the
     model. Null and empty texts stay (they score the bias)."""
     ready(spark)
-    weights = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs, weights, "_toxicity")
-    empty = F.coalesce("text", F.lit("")) == ""
-    return scored.where((F.col("_toxicity") < TOXIC) | empty).select(*docs.columns)
+    return toxicity.without_toxic(docs, read_table(spark, sf_dir, "labels"), TOXIC)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,26 +30,14 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     counted anew. Every row stays, also one whose lines have all gone; rows with
     null doc_id stay as they are."""
     ready(spark)
-    done = line_dedup.apply_drops(docs, line_dedup.drop_bitmaps(docs))
-    changed = F.col("_n_dropped") > 0
-    columns = {"text": F.when(changed, F.col("_kept_text")).otherwise(F.col("text")).alias("text")}
-    if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(changed, F.char_length("_kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(
-            F.col("n_chars")).alias("n_chars")
-    return done.select(*[columns.get(c, F.col(c)) for c in docs.columns])
+    return line_dedup.without_repeats(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document of the least doc_id stays
     (op 3); of rows that repeat a doc_id one; rows with null doc_id all stay."""
     ready(spark)
-    kept = minhash.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select(
-        F.col("doc_id").alias("_kept_id")).distinct()
-    known = docs.where("doc_id IS NOT NULL").withColumn("_tid", text_id(F.col("text")))
-    one = Window.partitionBy("doc_id").orderBy("_tid")
-    stay = known.join(kept, known["doc_id"] == kept["_kept_id"], "left_semi").withColumn(
-        "_nth", F.row_number().over(one)).where("_nth = 1").select(*docs.columns)
-    return stay.unionByName(docs.where("doc_id IS NULL"))
+    return minhash.one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
