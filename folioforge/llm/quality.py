@@ -1,15 +1,19 @@
 """Quality rules: text statistics, base rule and cross-document line frequency.
 
 Method: normalised lines are hashed, distinct documents counted per (host,
-line); lines held by more than ``max(min_docs, max_share * documents of the
-host)`` documents are boilerplate and count as removed; a document that keeps
-fewer than ``min_words`` words, or less than ``min_kept_share`` of its words,
-is depleted and rejected. The host is the column ``source``.
+line); lines held by more than ``max_share`` of the host's documents, and by more than
+a few (``min_docs``), are boilerplate and are removed; a document with such lines
+that keeps fewer than ``min_words`` words (what the base rule asks of any document), or
+less than ``min_kept_share`` of its words, is depleted and rejected. The host is the
+column ``source``. ``boilerplate`` tells the removed lines' positions, and
+``without_boilerplate`` takes them out of the texts.
 
 All per-row work is built-in functions; only hashes, counts and ids are
 shuffled, never texts. Line counts are pre-aggregated before their shuffle, and
-boilerplate lines, of which there are at most (lines / min_docs), are joined
-back with AQE's skew split for the hot ones.
+boilerplate lines, of which there are at most (lines / min_docs), are written as a
+table of their own, so that AQE can split the join at the hot ones. A text's lines and
+its windows of eight words stand in one row (some 20 bytes a window), so a text of
+100 MB takes some 2 GB in its task.
 
 Defined cases: null or empty texts have no words and fail the base rule; a null
 host is a host of its own; a null doc_id is a document of its own text; rows
@@ -21,9 +25,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import WORD, let, line_key, text_id
+from folioforge.llm.common import WORD, let, line_key, materialize, packed, text_id, unpacked
 
 WINDOW = 8
+#: a line is boilerplate of a host beyond this share of its documents, and beyond a few of them
+MAX_SHARE, MIN_DOCS = 0.02, 5
 
 
 def _windows(words: Column) -> Column:
@@ -94,10 +100,33 @@ def frequent_lines(docs: DataFrame, min_docs: int, max_share: float) -> tuple[Da
     counts = lines.groupBy("host", "h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > min_docs)
     many = counts.alias("c").join(hosts.alias("o"), F.col("c.host").eqNullSafe(F.col("o.host"))).where(
         F.col("n") > max_share * F.col("n_docs")).select("c.host", "h")
-    return lines, many
+    return lines, materialize(many, "frequent-lines")
 
 
-def quality_rules(docs: DataFrame, min_docs: int = 50, max_share: float = 0.02, min_words: int = 5,
+def boilerplate(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
+    """(host, doc_id, tid, positions): the boilerplate lines of each document that has
+    some, by their numbers from 0, ascending; rows equal in all three have one row."""
+    _, many = frequent_lines(docs, min_docs, max_share)
+    rows = docs.select("doc_id", F.col("source").alias("host"), text_id(F.col("text")).alias("tid"),
+                       F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("pos", "line"))
+    keyed = rows.where(F.col("line").rlike(WORD)).select("doc_id", "host", "tid", "pos", F.xxhash64(line_key(F.col("line"))).alias("h"))
+    hit = keyed.alias("l").join(many.alias("m"), (F.col("l.h") == F.col("m.h")) & F.col("l.host").eqNullSafe(F.col("m.host")), "left_semi")
+    return hit.groupBy("host", "doc_id", "tid").agg(F.array_sort(F.collect_set("pos")).alias("positions"))
+
+
+def without_boilerplate(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
+    """``docs`` with the boilerplate lines taken out of ``text`` (and n_chars, if there,
+    counted anew where that changes it); every row stays."""
+    rows = packed(docs, "doc_id", "text", "source").withColumn("tid", text_id(F.col("text"))).alias("r")
+    gone = boilerplate(docs.select("doc_id", "text", "source"), min_docs, max_share).alias("g")
+    joined = rows.join(gone, (F.col("r.tid") == F.col("g.tid")) & F.col("r.doc_id").eqNullSafe(F.col("g.doc_id"))
+                       & F.col("r.source").eqNullSafe(F.col("g.host")), "left")
+    lines = F.split(F.coalesce("r.text", F.lit("")), "\n")
+    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("positions", i)), "\n")
+    return unpacked(joined, docs, kept, F.col("positions").isNotNull())
+
+
+def quality_rules(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, min_words: int = 20,
                   min_kept_share: float = 0.2) -> DataFrame:
     """One row per row of ``docs``: the statistics, base_failed, frequent_words
     (words in boilerplate lines) and kept."""

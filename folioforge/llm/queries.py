@@ -105,7 +105,7 @@ w AS (SELECT doc_id, unit, part, regexp_extract_all(part, '[^ \t\n\x0B\f\r]+') A
     sum(length(part)) OVER (PARTITION BY doc_id ORDER BY unit) AS stop FROM u),
 k AS (SELECT doc_id, unit, (stop - length(part))::BIGINT AS start, stop::BIGINT AS stop,
     translate(array_to_string(words, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
-  FROM w WHERE len(words) >= 8),
+  FROM w WHERE length(array_to_string(words, ' ')) >= 40),
 f AS (SELECT *, first_value(doc_id) OVER o AS first_doc_id, first_value(unit) OVER o AS first_unit
   FROM k WINDOW o AS (PARTITION BY key ORDER BY doc_id, unit))
 SELECT doc_id, unit, start, stop AS "end", first_doc_id, first_unit FROM f
@@ -136,7 +136,7 @@ l AS (SELECT doc_id, source, line, translate(trim(line, ' ' || chr(9) || chr(10)
     len(regexp_extract_all(line, '[^ \t\n\x0B\f\r]+')) AS words
   FROM (SELECT doc_id, source, unnest(string_split(x, chr(10))) AS line FROM t)
   WHERE regexp_matches(line, '[^ \t\n\x0B\f\r]')),
-f AS (SELECT source, key FROM l GROUP BY source, key HAVING count(DISTINCT doc_id) > 50 AND count(DISTINCT doc_id) >
+f AS (SELECT source, key FROM l GROUP BY source, key HAVING count(DISTINCT doc_id) > 5 AND count(DISTINCT doc_id) >
     0.02 * (SELECT count(*) FROM t WHERE t.source = l.source)),
 g AS (SELECT doc_id, sum(words) AS gone FROM l JOIN f USING (source, key) GROUP BY doc_id),
 u AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM l GROUP BY doc_id),
@@ -147,7 +147,7 @@ a AS (SELECT t.doc_id, coalesce(n_words, 0) AS n_words, length(regexp_replace(x,
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
     NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words)
-      AND NOT (frequent_words > 0 AND (n_words - frequent_words < 5 OR n_words - frequent_words < 0.2 * n_words)) AS kept,
+      AND NOT (frequent_words > 0 AND (n_words - frequent_words < 20 OR n_words - frequent_words < 0.2 * n_words)) AS kept,
     frequent_words
 FROM a
 """,

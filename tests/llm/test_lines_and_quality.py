@@ -13,7 +13,8 @@ D = "/root/testdata/sf0.001"
 
 def oracle(sql):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{D}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{D}/{table}.parquet'")
     cur = con.execute(sql)
     return [d[0] for d in cur.description], cur.fetchall()
 
@@ -131,3 +132,41 @@ def test_kept_hash(spark):
     rows = [(r.doc_id, r.text, None) for r in docs.collect()]
     want = {d: hashlib.sha256(t.encode()).hexdigest() for d, _, _, t in by_hand(rows)}
     assert {r.doc_id: r.kept_sha256 for r in QUERIES["op4_line_dedup"](spark, D).collect()} == want
+
+
+def test_boilerplate_lines_and_what_is_left(spark):
+    rng = random.Random(5)
+    common, rows = "Share  this PAGE now", []
+    for host, n in (("big", 400), ("small", 30), (None, 24)):
+        for i in range(n):
+            lines = [f"{host} {i} " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(30))]
+            lines += [f"seldom line {i % (n // 3)}"] * 2 + ([common, " share  this page NOW\t"] if i % 3 == 0 else [])
+            rng.shuffle(lines)
+            rows.append((len(rows), "\n".join(lines), host, 7, "x"))
+    rows += [(9000 + i, common, "big", 0, "y") for i in range(3)] + [(None, f"{common}\nrest", None, 1, "z"), (None, None, "big", 1, "z"), (9100, "", None, 1, "z")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars int, positions string")
+    keys = {}
+    for d, t, host, *_ in rows:
+        for line in {x.strip().lower() for x in (t or "").split("\n") if x.strip()}:
+            keys.setdefault((host, line), set()).add((d, t))
+    size = {}
+    for d, t, host, *_ in rows:
+        size.setdefault(host, set()).add((d, t or ""))
+    often = {k for k, v in keys.items() if len(v) > 5 and len(v) > 0.02 * len(size[k[0]])}
+    assert {h for h, _ in often} == {"big", "small", None} and all(line == "share  this page now" for _, line in often)
+    want = []
+    for d, t, host, n, x in rows:
+        lines = (t or "").split("\n")
+        left = [y for y in lines if (host, y.strip().lower()) not in often]
+        new = t if len(left) == len(lines) else "\n".join(left)
+        want.append((d, new, host, n if len(left) == len(lines) else len(new), x))
+    assert sorted(map(tuple, quality.without_boilerplate(docs).collect()), key=repr) == sorted(want, key=repr)
+    told = {(r.doc_id, r.tid): r.positions for r in quality.boilerplate(docs).collect()}
+    assert len(told) == len({(r[0], r[1]) for r, w in zip(rows, want) if w[1] != r[1]})
+    assert quality.without_boilerplate(docs.limit(0)).collect() == []
+
+
+def test_the_rule_acts_at_the_size_of_the_oracle(spark):
+    rows = QUERIES["op7_quality_rules"](spark, "/root/testdata/sf0.01").collect()
+    assert sum(r.frequent_words > 0 for r in rows) > 50
+    assert 0 < sum(not r.kept and not r.base_failed for r in rows) < 20
