@@ -237,7 +237,7 @@ def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     twice = materialize(kinds.where("n > 1").select("f", "c"), "twice")
     whole = hits.where("NOT mixed").unionByName(hits.where("mixed").join(twice, ["f", "c"], "left_semi")).select(
         "doc_id", "tid", "start", (F.col("start") + F.col("count") - 1 + LENGTH).alias("stop"))
-    crowd = kinds.groupBy("f").agg(F.count(F.lit(1)).alias("kinds"))
+    crowd = materialize(kinds.groupBy("f").agg(F.count(F.lit(1)).alias("kinds")), "crowd")  # as above
     wanted = kinds.join(crowd, "f").select("f", "r.*", (F.col("kinds") > hot).alias("hot")).groupBy("doc_id", "tid").agg(
         F.collect_list(F.struct("f", "start", "count", "place", "hot")).alias("want"))
     pairs = docs.join(wanted, _same_row(docs, wanted)).select(docs["doc_id"], docs["tid"], "text", "want")
