@@ -164,7 +164,8 @@ def blocks(rows: DataFrame, shape: Shape) -> DataFrame:
                      ("ids", pa.list_(pa.int64())), ("labels", pa.list_(pa.int64())), ("vecs", pa.binary())]))
     spark = rows.sparkSession
     written = materialize(curve_order(rows, shape), "curve")  # range sampling would compute the places twice
-    dealt = written.repartitionByRange(shuffle_width(spark), "label", "place", F.xxhash64("vec_id")).sortWithinPartitions(
+    width = max(1, min(shuffle_width(spark), -(-written.count() // BLOCK)))
+    dealt = written.repartitionByRange(width, "label", "place", F.xxhash64("vec_id")).sortWithinPartitions(
         "label", "place", "vec_id")
     return materialize(dealt.select("vec_id", "label", "vec").mapInArrow(cut, _BLOCK), "blocks")
 
@@ -264,7 +265,7 @@ def choose(table: DataFrame, states: DataFrame, shape: Shape, same: bool) -> Dat
     pairs = states.select("band", F.explode(F.sequence(F.lit(0), F.lit(lots - 1))).alias("lot"))
     there = zones.withColumn("lot", part).join(pairs, "lot").select("band", "lot", *zones.columns)
     there = there.toDF(*there.columns)  # both sides come from one table: columns of its own
-    width = max(1, min(8 * shuffle_width(spark), lots * 4))
+    width = max(1, min(4 * shuffle_width(spark), lots * states.count()))  # no more tasks than tiles
     return tiles.repartition(width, "band", "lot").groupBy("band", "lot").cogroup(
         there.repartition(width, "band", "lot").groupBy("band", "lot")).applyInArrow(
             look, "band bigint, block bigint, votes bigint, reach double")
@@ -283,8 +284,8 @@ def read(table: DataFrame, states: DataFrame, demand: DataFrame, shape: Shape, s
     """(row, window, id, other, score): for each demand of the bands the first
     ``most`` rows of the demanded (band, block) pairs, tile by tile."""
     spark = table.sparkSession
-    demand = demand.select("band", "block").withColumn(
-        "lot", F.pmod(F.xxhash64("block", F.lit(1)), F.lit(max(1, -(-table.count() // TILE)))).cast("int"))
+    lots = max(1, -(-table.count() // TILE))
+    demand = demand.select("band", "block").withColumn("lot", F.pmod(F.xxhash64("block", F.lit(1)), F.lit(lots)).cast("int"))
     schema = pa.schema([("row", pa.int64()), ("window", pa.int64()), ("id", pa.int64()), ("other", pa.int64()), ("score", pa.int64())])
 
     def meet(key, left, right):
@@ -331,7 +332,7 @@ def read(table: DataFrame, states: DataFrame, demand: DataFrame, shape: Shape, s
     there = demand.join(table.select("block", "n", "ids", "labels", "vecs"), "block").select(
         "band", "lot", "block", "n", "ids", "labels", "vecs")
     there = there.toDF(*there.columns)
-    width = 4 * shuffle_width(spark)
+    width = max(1, min(4 * shuffle_width(spark), lots * states.count()))
     return tiles.repartition(width, "band", "lot").groupBy("band", "lot").cogroup(
         there.repartition(width, "band", "lot").groupBy("band", "lot")).applyInArrow(
             meet, "row bigint, window bigint, id bigint, other bigint, score bigint")
