@@ -9,10 +9,10 @@ Method: vertical partitioning of a word suffix tree, cut off at depth three.
 2. *Groups.* Prefixes are hashed to ``BUCKETS`` places, and places are packed
    into groups of at most ``budget`` suffixes each (a place above it alone).
 3. *Subtrees.* Each suffix (at most three words, never across a piece) goes to
-   the group of its prefix. A group's suffixes, sorted, are its subtree read
-   from left to right: equal suffixes are a leaf, and the occurrences of a
-   phrase are the total of the leaves below its node. Groups know nothing of
-   each other; the rows are streamed, so memory follows the Arrow batch.
+   the group of its prefix. A group's suffixes, sorted node by node, are its
+   subtree read from left to right: equal suffixes are a leaf, and the
+   occurrences of a phrase are the total of the leaves below its node. Groups
+   know nothing of each other; rows are streamed, so memory follows the Arrow batch.
 
 A piece is what stands between two of ``.,;:!?`` or line ends; words are parted
 by blanks and tabs; A-Z count as lower case.
@@ -23,7 +23,7 @@ to 10^16); the least cut counts. A phrase inside a longer candidate with at
 least ``inside`` percent of its occurrences is dropped, the rest ranked per
 language.
 
-What the driver and the broadcasts see: at most 2 * ``HOT`` hashes of prefixes
+What the driver and the broadcasts see: at most 3 * ``HOT`` hashes of prefixes
 above the budget (the budget is at least a ``HOT``-th of all words), the places'
 groups and a bit map of ``2**FILTER_BITS`` bits that says which words may be
 frequent (never wrong about a frequent one). A chunk's equal suffixes are put
@@ -170,8 +170,11 @@ def _hashes(df: DataFrame) -> np.ndarray:
     return np.sort(np.array([r["h"] for r in df.select("h").collect()], np.int64).view(U64))
 
 
-def hot_pairs(docs: DataFrame, hot: np.ndarray, budget: int) -> np.ndarray:
-    """Keys of the two-word prefixes above the budget; their first words are in ``hot``."""
+def hot_pairs(docs: DataFrame, hot: np.ndarray, budget: int, total: int) -> np.ndarray:
+    """Keys of two-word prefixes whose first words are in ``hot``: all above the
+    budget, and none up to half of it. A chunk tells the pairs that have at least
+    half the budget's share of its words; what other chunks keep back of a pair
+    adds up to less than half the budget."""
     if not len(hot):
         return hot
     sent = docs.sparkSession.sparkContext.broadcast(hot)
@@ -182,9 +185,10 @@ def hot_pairs(docs: DataFrame, hot: np.ndarray, budget: int) -> np.ndarray:
             if len(at):
                 keys = _pair_key(w.hash[at], w.hash[at + 1])
                 first, n = _group(keys)
-                yield pa.RecordBatch.from_arrays([pa.array(keys[first].view(np.int64)), pa.array(n)], names=["h", "n"])
+                much = 2 * n * total >= budget * w.count
+                yield pa.RecordBatch.from_arrays([pa.array(keys[first[much]].view(np.int64)), pa.array(n[much])], names=["h", "n"])
     rows = docs.select("lang", "text").mapInArrow(count, "h bigint, n bigint")
-    return _hashes(rows.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") > budget))
+    return _hashes(rows.groupBy("h").agg(F.sum("n").alias("n")).where(2 * F.col("n") > budget))
 
 
 def frequent_bits(words: DataFrame) -> np.ndarray:
@@ -220,8 +224,8 @@ def pack(loads: np.ndarray, budget: int) -> np.ndarray:
 
 
 def suffixes(docs: DataFrame, bits: np.ndarray, hot1: np.ndarray, hot2: np.ndarray, groups: np.ndarray) -> DataFrame:
-    """(grp, key, n, leaf): the suffixes of two or three words that may be frequent, by
-    group; ``key`` is the language, a line end and the words; ``leaf`` says that the
+    """(grp, key, n): the suffixes of two or three words that may be frequent, by
+    group; ``key`` is the language, a line end and the words; n is below 0 where the
     node above is counted in another group."""
     sent = docs.sparkSession.sparkContext.broadcast((bits, hot1, hot2, groups))
 
@@ -250,9 +254,8 @@ def suffixes(docs: DataFrame, bits: np.ndarray, hot1: np.ndarray, hot2: np.ndarr
             keys = pc.binary_join_element_wise(langs.take(pa.array(w.text[at])), w.phrases(at, last), "\n")
             yield pa.RecordBatch.from_arrays(
                 [pa.array(groups[mix(np.append(prefix, pair[above])) >> U64(48)]), keys,
-                 pa.array(np.append(n, n_above).astype(np.int32)), pa.array(np.append(split, np.zeros(len(above), bool)))],
-                names=["grp", "key", "n", "leaf"])
-    return docs.select("lang", "text").mapInArrow(cut, "grp int, key string, n int, leaf boolean")
+                 pa.array(np.append(np.where(split, -n, n), n_above).astype(np.int32))], names=["grp", "key", "n"])
+    return docs.select("lang", "text").mapInArrow(cut, "grp int, key string, n int")
 
 
 class _Runs:
@@ -314,13 +317,13 @@ def subtrees(rows: DataFrame, min_count: int, width: int) -> DataFrame:
                 continue
             keys, n = b.column("key"), b.column("n").to_numpy().astype(np.int64)
             heads, three = _prefixes(keys)
-            inner = ~b.column("leaf").to_numpy(zero_copy_only=False)
-            yield from pairs.add(heads.filter(pa.array(inner)), n[inner])
-            yield from triples.add(keys.filter(pa.array(three)), n[three])
+            inner = n > 0
+            yield from pairs.add(heads if inner.all() else heads.filter(pa.array(inner)), n[inner])
+            yield from triples.add(keys.filter(pa.array(three)), np.abs(n[three]))
         yield from pairs.close()
         yield from triples.close()
-    dealt = rows.repartition(width, "grp").sortWithinPartitions("grp", "key")
-    nodes = dealt.select("key", "n", "leaf").mapInArrow(walk, "key string, size int, f bigint")
+    dealt = rows.repartition(width, "grp").sortWithinPartitions("key")  # a node's leaves stand together
+    nodes = dealt.select("key", "n").mapInArrow(walk, "key string, size int, f bigint")
     return nodes.select(F.regexp_extract("key", r"(?s)^(.*)\n[^\n]*$", 1).alias("lang"),
                         F.substring_index("key", "\n", -1).alias("phrase"), "size", "f")
 
@@ -334,7 +337,7 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, budget: int = BUD
     budget = max(budget, -(-total // HOT))
     known = words.where("word IS NOT NULL")
     hot1 = _hashes(known.where(F.col("f") > budget))
-    hot2 = hot_pairs(docs, hot1, budget)
+    hot2 = hot_pairs(docs, hot1, budget, total)
     loads = np.zeros(BUCKETS)
     sums = known.where(F.col("f") <= budget).mapInArrow(_places, "place int, f bigint").groupBy("place").agg(F.sum("f").alias("f"))
     for r in sums.collect():  # at most BUCKETS rows

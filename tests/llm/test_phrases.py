@@ -70,7 +70,7 @@ def test_hot_prefixes_are_split(spark):
     docs = spark.createDataFrame(rows, "text string, lang string")
     hot = phrases._hashes(phrases.word_counts(docs, 10).where("word IS NOT NULL AND f > 500"))
     assert len(hot) == 2
-    assert len(phrases.hot_pairs(docs, hot, 500)) == 1  # "of the", not "the w.."
+    assert len(phrases.hot_pairs(docs, hot, 500, 3600)) == 1  # "of the", not "the w.."
 
 
 def test_groups_keep_to_the_budget():
