@@ -12,14 +12,17 @@ as one window over a lane. Instead, a two-pass scan:
    over every possible entry state (states merge after a few lots, then one
    path is followed), and for the lane run it ends with, the exit state from
    an empty lot. Output: a few hundred rows per partition.
-3. The driver composes these small tables in partition order, lane by lane.
+3. These small tables are composed in partition order as an associative scan of
+   tables: up, blocks of ``FAN`` neighbours become one transfer table each, until
+   one block is left; down, each block's entry state gives its members' (``compose``).
+   The driver sees the number of partitions only.
 4. Pass 2 (``mapInPandas``): each partition replays its rows from its known
    entry state and lot offset and emits a lot number per row.
 
 Both folds close a lot *before* a row, so their state is small: K1 is
 {empty, 0..max pages, over max}; K2 is the count so far capped at max,
 plus the gap to the previous row (for the first row of a partition, the gap
-is taken from the previous partition's last row by the driver).
+is taken from the previous partition's last row).
 """
 
 from __future__ import annotations
@@ -32,12 +35,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ship_package
+from ..session import materialize, ship_package
 
 LANE = "_lane"
 GAP = "_gap_us"
 FEAT = "_feat"
 LOT = "lot_no"
+ENTRY, OPEN, OFFSET = "_entry", "_open_gap", "_offset"
 NO_TIME = -(1 << 62)
 
 
@@ -190,49 +194,102 @@ def _pass1(auto, thr):
     return run
 
 
-def _compose(table: pd.DataFrame, thr: int) -> dict[tuple[int, str], tuple[int, bool, int]]:
-    """Driver side: (pid, lane) -> (entry state, first-gap flag, lot offset) for each
-    partition's first lane run. Interior runs and lanes starting in a partition use (0, -, 0)."""
-    plan: dict[tuple[int, str], tuple[int, bool, int]] = {}
-    carry_lane, carry_state, carry_lots, carry_last = None, 0, 0, None
-    for pid, t in table.groupby("pid", sort=True):
-        first = t[t["run"] == "first"]
-        last = t[t["run"] == "last"]
-        lane = first["lane"].iloc[0]
-        if lane == carry_lane:
-            g0 = bool(_wide(int(carry_last), int(first["first_gap"].iloc[0]), thr))
-            entry, offset = int(carry_state), int(carry_lots)
-        else:
-            g0, entry, offset = False, 0, 0
-        plan[(int(pid), lane)] = (entry, g0, offset)
-        hit = first[(first["entry"] == entry) & (first["g0"] == g0)].iloc[0]
-        if len(last) == 0:
-            carry_lane, carry_state = lane, int(hit["exit"])
-            carry_lots, carry_last = offset + int(hit["closed"]), int(first["last_gap"].iloc[0])
-        else:
-            row = last.iloc[0]
-            carry_lane, carry_state = row["lane"], int(row["exit"])
-            carry_lots, carry_last = int(row["closed"]), int(row["last_gap"])
-    return plan
-
-
-def _pass2(auto, thr, plan):
-    from pyspark import TaskContext
-
+#: neighbours that one step of the scan composes
+FAN = 64
+_LINK = "pid long, entry int, exit int, closed long"
+_ENTRY = "pid long, entry int, offset long"
+
+
+def transfers(table: DataFrame, thr: int) -> DataFrame:
+    """(pid, ..., entry, exit, closed): each partition as a function of the state in which
+    the partition before it ends. The gap across the cut and whether the lane goes on
+    are known from the neighbour's last row (one row a partition). A partition that
+    does not go on with its neighbour's lane, or holds more lanes, ends in one state
+    whatever the entry (and its lots are counted from its last lane's own start)."""
+    ends = table.groupBy("pid").agg(
+        F.max(F.when(F.col("run") == "first", F.col("lane"))).alias("first_lane"),
+        F.max(F.when(F.col("run") == "last", F.struct("lane", "exit", "closed", "last_gap"))).alias("last"),
+        F.max(F.when(F.col("run") == "first", F.col("first_gap"))).alias("first_gap"),
+        F.max(F.when(F.col("run") == "first", F.col("last_gap"))).alias("own_last_gap"))
+    ends = ends.withColumn("end_lane", F.coalesce("last.lane", "first_lane")).withColumn(
+        "end_gap", F.coalesce("last.last_gap", "own_last_gap"))
+    order = Window.orderBy("pid")  # one row a partition
+    before_lane, before_gap = F.lag("end_lane").over(order), F.lag("end_gap").over(order)
+    none = F.lit(NO_TIME)
+    wide = (before_gap == none) | (F.col("first_gap") == none) | (F.col("first_gap") - before_gap >= thr)
+    goes_on = F.coalesce(before_lane == F.col("first_lane"), F.lit(False))
+    ends = ends.select("pid", "first_lane", "last", goes_on.alias("goes_on"), (goes_on & wide).alias("g0"))
+    ends = ends.select("pid", "first_lane", "last", "goes_on", "g0", (~F.col("goes_on") | F.col("last").isNotNull()).alias("resets"))
+    rows = table.where("run = 'first'").select("pid", "g0", "entry", "exit", "closed").join(ends, ["pid", "g0"])
+    return rows.where("NOT resets OR entry = 0").select(
+        F.col("pid").cast("long").alias("pid"), "first_lane", "goes_on", "g0", "resets", "entry",
+        F.coalesce("last.exit", "exit").alias("exit"), F.coalesce("last.closed", "closed").alias("closed"))
+
+
+def _fold_links(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links of neighbours (pid, entry, exit, closed, resets), composed in order."""
+    state, closed, resets, entries = None, None, False, None
+    for _, link in rows.groupby("pid", sort=True):
+        step = {int(e): (int(x), int(c)) for e, x, c in zip(link["entry"], link["exit"], link["closed"])}
+        reset = bool(link["resets"].iloc[0])
+        if state is None:
+            entries = sorted(step)
+            state, closed, resets = {e: step[e][0] for e in entries}, {e: step[e][1] for e in entries}, reset
+            continue
+        for e in entries:
+            x, c = step[state[e]] if not reset else next(iter(step.values()))
+            state[e], closed[e] = x, (c if reset else closed[e] + c)
+        resets = resets or reset
+    return pd.DataFrame({"entry": entries, "exit": [state[e] for e in entries], "closed": [closed[e] for e in entries],
+                         "resets": resets})
+
+
+def compose(links: DataFrame, n: int) -> DataFrame:
+    """(pid, entry, offset) of each of the ``n`` partitions from their links (pid,
+    entry, exit, closed, resets): the state and the lots of the partitions before it. A
+    link that ``resets`` has the same exit for any entry, and counts lots anew."""
+    links = links.select("pid", "entry", "exit", "closed", "resets")
+    if n <= FAN:
+        return links.withColumn("_one", F.lit(0)).groupBy("_one").applyInPandas(
+            lambda pdf: _entries(pdf.drop(columns="_one"), 0, 0), _ENTRY)
+
+    def up(key, pdf):
+        return _fold_links(pdf).assign(pid=key[0])[["pid", "entry", "exit", "closed", "resets"]]
+    block = F.expr(f"pid div {FAN}")
+    blocks = materialize(links.withColumn("block", block).groupBy("block").applyInPandas(up, f"{_LINK}, resets boolean"), "links")
+    starts = compose(blocks, -(-n // FAN)).toDF("block", "start", "offset")
+
+    def down(pdf):
+        return _entries(pdf, int(pdf["start"].iloc[0]), int(pdf["offset"].iloc[0]))
+    return links.withColumn("block", block).join(starts, "block").groupBy("block").applyInPandas(down, _ENTRY)
+
+
+def _entries(rows: pd.DataFrame, state: int, closed: int) -> pd.DataFrame:
+    """The entry state and offset of each of some neighbours, from those of the first."""
+    out = []
+    for pid, link in rows.groupby("pid", sort=True):
+        reset = bool(link["resets"].iloc[0])
+        out.append((int(pid), state, closed))
+        hit = link.iloc[0] if reset else link[link["entry"] == state].iloc[0]
+        state, closed = int(hit["exit"]), int(hit["closed"]) + (0 if reset else closed)
+    return pd.DataFrame(out, columns=["pid", "entry", "offset"])
+
+
+def _pass2(auto, thr):
     def run(batches):
-        """Batch by batch; lane, state, lots closed and last time carry over."""
-        pid = TaskContext.get().partitionId()
+        """Batch by batch; lane, state, lots closed and last time carry over. The first
+        lane run begins with the state that the rows carry."""
         lane, state, closed, last, first_run = None, 0, 0, 0, True
         for pdf in batches:
             lots = np.zeros(len(pdf), dtype=np.int64)
             for a, b in _runs(pdf):
                 part = pdf.iloc[a:b]
                 gaps = part[GAP].to_numpy()
-                if part[LANE].iloc[0] == lane:
+                if not first_run and part[LANE].iloc[0] == lane:
                     open_gap = bool(_wide(last, gaps[0], thr))
                 else:
-                    entry = plan.get((pid, part[LANE].iloc[0])) if first_run else None
-                    state, open_gap, closed = entry or (0, False, 0)
+                    state, open_gap, closed = (int(part[ENTRY].iloc[0]), bool(part[OPEN].iloc[0]), int(part[OFFSET].iloc[0])) \
+                        if first_run else (0, False, 0)
                     lane, first_run = part[LANE].iloc[0], False
                 state, more, numbers = _fold(auto, part[FEAT].to_numpy(), _gap_flags(gaps, thr), state, open_gap)
                 lots[a:b] = closed + np.asarray(numbers, dtype=np.int64)
@@ -261,10 +318,18 @@ def ordered_fold(df: DataFrame, auto, lane_col: str | None, order_cols: list[str
     keyed = (prepared.repartitionByRange(n, LANE, *order_cols)
              .sortWithinPartitions(LANE, *order_cols))
     keyed = keyed.checkpoint(eager=True)
-    table = keyed.select(LANE, FEAT, GAP).mapInPandas(_pass1(auto, gap_threshold_us), PASS1_SCHEMA).toPandas()
-    plan = _compose(table, gap_threshold_us) if len(table) else {}
-    out_schema = T.StructType(keyed.schema.fields + [T.StructField(LOT, T.LongType())])
-    return keyed.mapInPandas(_pass2(auto, gap_threshold_us, plan), out_schema).drop(LANE, FEAT, GAP)
+    table = materialize(keyed.select(LANE, FEAT, GAP).mapInPandas(_pass1(auto, gap_threshold_us), PASS1_SCHEMA), "transfers")
+    links = transfers(table, gap_threshold_us)
+    if n > FAN:
+        links = materialize(links, "links")
+    entries = compose(links, n).join(links.select("pid", "goes_on", "g0").distinct(), "pid")
+    fresh = ~F.col("goes_on")
+    plan = entries.select(F.col("pid").alias("_pid"), F.when(fresh, 0).otherwise(F.col("entry")).alias(ENTRY), F.col("g0").alias(OPEN),
+                          F.when(fresh, F.lit(0).cast("long")).otherwise(F.col("offset")).alias(OFFSET))
+    # one row a partition is broadcast; the checkpointed partitions are the same in both passes
+    placed = keyed.withColumn("_pid", F.spark_partition_id().cast("long")).join(F.broadcast(plan), "_pid").drop("_pid")
+    out_schema = T.StructType(placed.schema.fields + [T.StructField(LOT, T.LongType())])
+    return placed.mapInPandas(_pass2(auto, gap_threshold_us), out_schema).drop(LANE, FEAT, GAP, ENTRY, OPEN, OFFSET)
 
 
 def pack_next_fit(files: DataFrame, max_pages: int, lane_col: str | None = None,

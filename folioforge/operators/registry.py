@@ -3,10 +3,11 @@
 U1 batch dedup (last wins), U2 defaults, U3 upsert on the natural key,
 U4 constraint report, U5 insert-only defaults, U6 all-or-nothing publish.
 
-The registry is a table of snapshots: an upsert writes a new snapshot folder
-and then a small pointer naming it, so readers see either the old or the new
-state. On a table format with MERGE support the same logic is one
-``DataFrame.mergeInto``; the plan below is the portable form.
+A stored registry is what a small pointer names, so readers see either the old
+or the new state. The batch run stores it in hash buckets, copied on write (see
+``bucket_registry``); ``upsert`` and ``publish`` on whole tables are the plain
+form. On a table format with MERGE support the same logic is one
+``DataFrame.mergeInto``; the plans here are the portable form.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import strings as S
 from ..sources.pointer import path_exists, read_pointer, write_pointer
+from .bucket_registry import Manifest, PendingUpsert, is_manifest, load
 from .results import category_folder
 from .scans import last_per_key
 
@@ -66,7 +68,11 @@ def upsert(stored: DataFrame, results: DataFrame, batch_ts: str) -> DataFrame:
     join; only touched rows are merged. Join strategy is left to AQE: the batch
     keys are broadcast when their measured size is under the threshold.
     """
-    b = batch_rows(results)
+    return merge_rows(stored, batch_rows(results), batch_ts)
+
+
+def merge_rows(stored: DataFrame, b: DataFrame, batch_ts: str) -> DataFrame:
+    """U3 with the batch's rows already deduplicated (``batch_rows``)."""
     keys = b.select(*NATURAL_KEY)
     untouched = stored.join(keys, NATURAL_KEY, "left_anti")
     touched = stored.join(keys, NATURAL_KEY, "left_semi")
@@ -120,22 +126,30 @@ def constraint_violations(registry: DataFrame) -> DataFrame:
 
     out = dup("primary_key", ["id"]).unionByName(dup("natural_key", NATURAL_KEY)) \
         .unionByName(dup("unique_route", ["ruta_servidor"]))
+    return out.unionByName(row_violations(registry))
+
+
+def row_violations(rows: DataFrame) -> DataFrame:
+    """The rules that a row breaks by itself (nulls, lengths): (rule, key, n)."""
     checks = [(f"not_null:{c}", F.col(c).isNull()) for c in NOT_NULL] + \
              [(f"length:{c}", F.length(c) > n) for c, n in LENGTHS.items()]
-    flagged = registry.select(
+    flagged = rows.select(
         F.explode(F.filter(F.array(*[F.when(cond, F.lit(name)) for name, cond in checks]),
                            lambda x: x.isNotNull())).alias("rule"),
         F.coalesce(F.col("id"), F.lit("∅")).alias("key"))
-    out = out.unionByName(flagged.groupBy("rule", "key").agg(F.count(F.lit(1)).alias("n")))
-    return out
+    return flagged.groupBy("rule", "key").agg(F.count(F.lit(1)).alias("n"))
 
 
-def write_snapshot(spark: SparkSession, snapshot: DataFrame, base_path: str, batch_id: str, check: bool = True) -> str:
-    """Write the snapshot of a batch aside and check it; returns its folder.
+def write_snapshot(spark: SparkSession, snapshot: DataFrame | PendingUpsert, base_path: str, batch_id: str,
+                   check: bool = True) -> str:
+    """Write the snapshot of a batch aside and check it; returns its folder, or its
+    manifest for a ``PendingUpsert`` (only the buckets it touches are written).
 
     Idempotent by batch id: a snapshot already completed for this id is kept (a
     retried batch does not write twice). Constraint violations raise.
     """
+    if isinstance(snapshot, PendingUpsert):
+        return snapshot.write(batch_id, check)
     target = f"{base_path.rstrip('/')}/snapshots/batch={batch_id}"
     if not path_exists(spark, target + "/_SUCCESS"):
         snapshot.write.mode("overwrite").parquet(target)
@@ -165,12 +179,14 @@ def current(spark: SparkSession, base_path: str) -> DataFrame | None:
     """The published snapshot, or None when nothing was published yet; a pointer
     that cannot be read raises."""
     target = read_pointer(spark, f"{base_path.rstrip('/')}/_current")
-    return None if target is None else spark.read.parquet(target)
+    if target is None:
+        return None
+    return load(spark, target, base_path).read(spark) if is_manifest(target) else spark.read.parquet(target)
 
 
-def base_of_batch(spark: SparkSession, base_path: str, batch_id: str) -> DataFrame | None:
-    """The snapshot a batch starts from, pinned under its id before it writes
-    anything: a retry resolves against the same snapshot as the first try, also
+def base_of_batch(spark: SparkSession, base_path: str, batch_id: str) -> Manifest | None:
+    """The registry a batch starts from, pinned under its id before it writes
+    anything: a retry resolves against the same state as the first try, also
     when that try had published its own."""
     base = base_path.rstrip("/")
     pin = f"{base}/bases/batch={batch_id}"
@@ -178,4 +194,4 @@ def base_of_batch(spark: SparkSession, base_path: str, batch_id: str) -> DataFra
     if target is None:
         target = read_pointer(spark, f"{base}/_current") or NO_SNAPSHOT
         write_pointer(spark, pin, target)
-    return None if target == NO_SNAPSHOT else spark.read.parquet(target)
+    return None if target == NO_SNAPSHOT else load(spark, target, base)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import strings as S
+from . import ledger
 
 
 def list_raw_files(spark: SparkSession, path: str) -> DataFrame:
@@ -58,7 +59,6 @@ def unprocessed(files: DataFrame, processed: DataFrame | None, key: str = "file_
 
 def mark_processed(spark: SparkSession, batch_files: DataFrame, ledger_path: str, batch_id: str,
                    key: str = "file_name") -> None:
-    """Append this batch's files to the ledger; one folder per batch id, so a
-    retried batch overwrites its own entry instead of duplicating it."""
-    batch_files.select(key).distinct().write.mode("overwrite").parquet(
-        f"{ledger_path.rstrip('/')}/batch={batch_id}")
+    """Append this batch's files and their filter to the ledger; one folder per batch
+    id, so a retried batch overwrites its own entry instead of duplicating it."""
+    ledger.mark(spark, batch_files, ledger_path, batch_id, key)
