@@ -5,8 +5,10 @@ Two forms plug in:
 
 * a DataFrame function ``pages -> documents`` (runs in Catalyst); the
   default is :func:`rule_analyzer`, the model's stated rules (P7-P12);
-* a pandas function run per batch with ``applyInPandas`` (for a model call:
-  one Python call per batch, Arrow transfer, batches spread over tasks).
+* a pandas function run per batch with ``applyInPandas`` (one Python call per
+  batch, Arrow transfer, batches spread over tasks);
+* an outside service, called by :func:`call_analyzer` with a bounded number of
+  calls in flight per task, batches in order, a status for each.
 
 Every analyzer output carries ``status`` (ok, failed, exhausted); P14
 drops the lot of the first exhausted batch and every later lot.
@@ -14,14 +16,17 @@ drops the lot of the first exhausted batch and every later lot.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections import deque
+from collections.abc import Callable, Iterator
+from concurrent.futures import Future, ThreadPoolExecutor
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
-from ..session import ship_package
+from ..session import materialize, ship_package
 from . import rules as RU
 
 DOCUMENT_SCHEMA = T.StructType([
@@ -104,6 +109,95 @@ def pandas_analyzer(pages: DataFrame, batch_cols: list[str], fn: Callable, schem
     return pages.groupBy(*batch_cols).applyInPandas(fn, out)
 
 
+class Exhausted(Exception):
+    """Raised by a call when the service's quota is used up: the lot and all later lots are held."""
+
+
+def in_order(jobs: Iterator, call: Callable, in_flight: int) -> Iterator[tuple]:
+    """(job, future) for each job, in the jobs' order, while at most ``in_flight`` calls
+    run or wait to be taken; the next job is drawn only when a place is free."""
+    window: deque[tuple[object, Future]] = deque()
+    with ThreadPoolExecutor(max_workers=in_flight) as pool:
+        for job in jobs:
+            if len(window) == in_flight:
+                first = window.popleft()
+                first[1].exception()  # waits
+                yield first
+            window.append((job, pool.submit(call, job)))
+        while window:
+            first = window.popleft()
+            first[1].exception()
+            yield first
+
+
+def _batches_of(frames: Iterator[pd.DataFrame], batch_cols: list[str]) -> Iterator[pd.DataFrame]:
+    """Consecutive rows of equal batch columns, over frame borders."""
+    held = None
+    for pdf in frames:
+        if held is not None:
+            pdf = pd.concat([held, pdf], ignore_index=True)
+        if not len(pdf):
+            continue
+        keys = pdf[batch_cols]
+        new = (keys != keys.shift()).any(axis=1)
+        starts = [*new[new].index, len(pdf)]
+        for a, b in zip(starts[:-2], starts[1:-1]):
+            yield pdf.iloc[a:b].reset_index(drop=True)
+        held = pdf.iloc[starts[-2]:].reset_index(drop=True)
+    if held is not None:
+        yield held
+
+
+def call_analyzer(pages: DataFrame, batch_cols: list[str], call: Callable[[pd.DataFrame], list[dict]], order_col: str = "pos",
+                  in_flight: int = 3, tasks: int | None = None, profile=None) -> tuple[DataFrame, DataFrame]:
+    """P13 with an outside service: (documents, statuses).
+
+    ``call`` takes the pages of one batch (in ``order_col`` order) and returns its
+    documents as dicts of the logical-document fields; it may block. Each task keeps
+    at most ``in_flight`` calls running, so ``tasks`` * ``in_flight`` bounds the
+    service's load (tasks: the shuffle width by default). Results leave in batch
+    order, whatever order calls finish in. A call that raises :class:`Exhausted` gives
+    its batch the status ``exhausted``; later lots of that task are not called any
+    more and get the same (the gate P14 drops them anyway). Any other error gives
+    ``failed``, and an empty list of documents is ``ok``.
+
+    Answers are written once (``spark.checkpoint.dir``) before anything reads them:
+    a later failure repeats no call. ``profile``: a ``ResourceProfile`` for this stage
+    alone, on clusters that allow it.
+    """
+    spark = pages.sparkSession
+    ship_package(spark)
+    lot = batch_cols[0]
+    names = DOCUMENT_SCHEMA.fieldNames()
+    schema = T.StructType([pages.schema[c] for c in batch_cols] + list(DOCUMENT_SCHEMA.fields))
+
+    def run(frames):
+        gate: list = []  # lots that met an exhausted quota in this task
+
+        def one(batch: pd.DataFrame):
+            if gate and batch[lot].iloc[0] > min(gate):
+                raise Exhausted("held behind an exhausted lot")
+            try:
+                return call(batch)
+            except Exhausted:
+                gate.append(batch[lot].iloc[0])
+                raise
+        for batch, done in in_order(_batches_of(frames, batch_cols), one, in_flight):
+            error = done.exception()
+            status = "ok" if error is None else "exhausted" if isinstance(error, Exhausted) else "failed"
+            rows = [{"reasoning": None if error is None else f"{type(error).__name__}: {error}", "status": status}]
+            rows += [{**d, "doc_idx": i, "status": status} for i, d in enumerate(done.result())] if error is None else []
+            key = {c: batch[c].iloc[0] for c in batch_cols}
+            out = pd.DataFrame([{**dict.fromkeys(names), **key, **r} for r in rows])[[*batch_cols, *names]]
+            yield out.astype({"doc_idx": "Int64", "confidence_score": "Int32"})
+    width = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = pages.repartition(width, *batch_cols).sortWithinPartitions(*batch_cols, order_col)
+    more = {"profile": profile} if profile is not None else {}
+    told = materialize(ordered.mapInPandas(run, schema, **more), "analyzer-calls")
+    statuses = told.where("doc_idx IS NULL").select(*batch_cols, "status", F.col("reasoning").alias("detail"))
+    return told.where("doc_idx IS NOT NULL"), statuses
+
+
 def gate_failed_lots(documents: DataFrame, lot_col: str = "lot_id") -> DataFrame:
     """Quota exhaustion in any batch drops that lot and every later lot.
 

@@ -7,8 +7,8 @@ items and orphans (M1-M3, J2, J3) -> the tables that ``process_batch`` takes.
 An analyzer is a function of the aliased pages (batch columns, pos, alias,
 file_name, text) that returns logical documents (batch columns, doc_idx, folios,
 pages: the names it gives, document_type, client_name, confidence_score,
-reasoning); ``statuses`` tells what became of a batch (ok, failed, exhausted), a
-batch not in it is ok. A batch is one PDF, or ``vision_batch_size`` images.
+reasoning), or these and its ``statuses`` (``call_analyzer``). ``statuses`` tells what
+became of a batch (ok, failed, exhausted), a batch not in it is ok. A batch is one PDF, or ``vision_batch_size`` images.
 """
 
 from __future__ import annotations
@@ -50,18 +50,23 @@ def rules_on_pages(pages: DataFrame) -> DataFrame:
 
 def lots_of_files(files: DataFrame, options: C.AuditOptions) -> DataFrame:
     """Routed files with lot_id, batch_no, origen, tipo_origen and their place in the batch."""
-    pdf = K.pack_next_fit(files.filter("kind = 'pdf'"), options.pdf_chunk_max_pages).withColumn(
-        "rank", F.row_number().over(Window.partitionBy("lot_no").orderBy("file_name")))
+    pdf = K.pack_next_fit(files.filter("kind = 'pdf'"), options.pdf_chunk_max_pages)
     images = K.pack_bursts(files.filter("kind = 'image'").withColumn("n_pages", F.lit(1)),
                            options.physical_chunk_size, options.burst_gap_seconds)
+    return place_lots(pdf, images, options)
+
+
+def place_lots(pdf: DataFrame, images: DataFrame, options: C.AuditOptions) -> DataFrame:
+    """Lots of PDFs (file_name, n_pages, lot_no) and of images (and mtime) as one table of
+    batches: a PDF is a batch of its own; images stand in their batch by position."""
+    pdf = pdf.withColumn("rank", F.row_number().over(Window.partitionBy("lot_no").orderBy("file_name")))
     images = K.pack_fixed(images, ["lot_no"], ["mtime", "file_name"], options.vision_batch_size)
-    # a PDF is a batch of its own; images stand in their batch by position
-    both = pdf.select("file_name", "kind", "n_pages", "lot_no", F.col("rank").cast("bigint").alias("batch_no"),
-                      F.lit(0).alias("place"), F.col("file_name").alias("origen"),
+    both = pdf.select("file_name", F.lit("pdf").alias("kind"), F.col("n_pages").cast("int").alias("n_pages"), "lot_no",
+                      F.col("rank").cast("bigint").alias("batch_no"), F.lit(0).alias("place"), F.col("file_name").alias("origen"),
                       F.lit(C.ORIGIN_TYPE_PDF).alias("tipo_origen")).unionByName(
-        images.select("file_name", "kind", "n_pages", "lot_no", F.col("batch_no").cast("bigint").alias("batch_no"),
-                      F.col("pos").alias("place"), F.lit(C.IMAGE_ORIGIN).alias("origen"),
-                      F.lit(C.ORIGIN_TYPE_IMAGES).alias("tipo_origen")))
+        images.select("file_name", F.lit("image").alias("kind"), F.lit(1).alias("n_pages"), "lot_no",
+                      F.col("batch_no").cast("bigint").alias("batch_no"), F.col("pos").alias("place"),
+                      F.lit(C.IMAGE_ORIGIN).alias("origen"), F.lit(C.ORIGIN_TYPE_IMAGES).alias("tipo_origen")))
     return number_lots(both)
 
 
@@ -72,7 +77,17 @@ def audit_from_files(files: DataFrame, texts: DataFrame, analyzer: Callable[[Dat
     routed = route(files)
     usable = routed.filter(~F.col("junk") & (F.col("kind") != "other"))
     unreadable = K.unreadable_files(usable.filter("kind = 'pdf'"))
-    lots = materialize(lots_of_files(usable, options), "file-lots")
+    unrouted = routed.filter(~F.col("junk") & (F.col("kind") == "other")).select(
+        F.lit("routing").alias("stage"), F.col("file_name").alias("key"), F.lit("unrouted_file").alias("reason"),
+        F.col("ext").alias("detail"))
+    audit = audit_lots(lots_of_files(usable, options), texts, analyzer, statuses)
+    return Audit(audit.items, audit.files, unreadable.unionByName(unrouted).unionByName(audit.rejects))
+
+
+def audit_lots(lots: DataFrame, texts: DataFrame, analyzer: Callable[[DataFrame], DataFrame] = rules_on_pages,
+               statuses: DataFrame | None = None) -> Audit:
+    """The audit of packed files (see ``place_lots``), however they were packed."""
+    lots = materialize(lots, "file-lots")
 
     exploded = P.explode_pages(lots).join(texts, ["file_name", "page_no"], "left").select(
         *BATCH, "place", "page_no", F.col("page_name").alias("page"), "text")
@@ -80,6 +95,9 @@ def audit_from_files(files: DataFrame, texts: DataFrame, analyzer: Callable[[Dat
         *BATCH, "pos", "alias", F.col("page").alias("file_name"), F.coalesce("text", F.lit("")).alias("text"))
     pages = materialize(pages, "batch-pages")
 
+    told = analyzer(pages)
+    if isinstance(told, tuple):  # an analyzer of its own statuses (``call_analyzer``)
+        told, statuses = told
     batches = lots.groupBy(*BATCH).agg(F.min("origen").alias("origen"), F.min("tipo_origen").alias("tipo_origen"))
     if statuses is None:
         batches = batches.withColumn("status", F.lit("ok"))
@@ -94,7 +112,7 @@ def audit_from_files(files: DataFrame, texts: DataFrame, analyzer: Callable[[Dat
             F.col("_bad").isNull() | (F.col("lot_id") < F.col("_bad"))).drop("_bad")
     batches, pages = open_lots(batches), open_lots(pages)
 
-    told = materialize(analyzer(pages), "documents")
+    told = materialize(open_lots(told), "documents")
     names = told.select(*BATCH, "doc_idx", F.posexplode("pages").alias("pos_given", "name_given"))
     found = P.resolve_names(names, pages, BATCH).withColumnRenamed("pos", "_pos").join(
         pages.select(*BATCH, F.col("pos").alias("_pos"), "file_name"), [*BATCH, "_pos"])
@@ -116,11 +134,7 @@ def audit_from_files(files: DataFrame, texts: DataFrame, analyzer: Callable[[Dat
     loose = documents.filter(F.size("folios") == 0).select(
         F.lit("documents").alias("stage"), F.concat_ws("/", *[F.col(c).cast("string") for c in [*BATCH, "doc_idx"]]).alias("key"),
         F.lit("no_folio").alias("reason"), F.lit("its pages count as used").alias("detail"))
-    unrouted = routed.filter(~F.col("junk") & (F.col("kind") == "other")).select(
-        F.lit("routing").alias("stage"), F.col("file_name").alias("key"), F.lit("unrouted_file").alias("reason"),
-        F.col("ext").alias("detail"))
     failed = batches.filter("status = 'failed'").select(
         F.lit("analyzer").alias("stage"), F.concat_ws("/", *[F.col(c).cast("string") for c in BATCH]).alias("key"),
         F.lit("failed_batch").alias("reason"), F.col("origen").alias("detail"))
-    rejects = unreadable.unionByName(unrouted).unionByName(failed).unionByName(loose)
-    return Audit(items, open_lots(lots).select("file_name"), rejects)
+    return Audit(items, open_lots(lots).select("file_name"), failed.unionByName(loose))

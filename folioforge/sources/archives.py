@@ -9,7 +9,6 @@ so archives are spread over tasks and no member passes through the driver.
 from __future__ import annotations
 
 import io
-import zipfile
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +18,9 @@ from pyspark.sql import types as T
 from .. import config as C
 from ..functions import strings as S
 from ..session import ship_package
+from .zip_source import in_batches, members_of
 
+BATCH_BYTES = 16 << 20
 MEMBER_SCHEMA = T.StructType([
     T.StructField("archive", T.StringType()),
     T.StructField("ord", T.IntegerType()),
@@ -37,21 +38,16 @@ def read_archives(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFr
 
 def _explode_zip(batches):
     for pdf in batches:
-        rows = []
         for path, content in zip(pdf["path"], pdf["content"]):
-            try:
-                with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                    for k, info in enumerate(zf.infolist()):
-                        data = None if info.filename.endswith("/") else zf.read(info)
-                        rows.append((path, k, info.filename, info.file_size, data, None))
-            except zipfile.BadZipFile as ex:  # corrupt archive -> reject row, not a skip
-                rows.append((path, -1, None, None, None, f"corrupt archive: {ex}"))
-        yield pd.DataFrame(rows, columns=MEMBER_SCHEMA.fieldNames())
+            for rows in in_batches(members_of(path, io.BytesIO(content)), BATCH_BYTES):
+                yield pd.DataFrame(rows, columns=MEMBER_SCHEMA.fieldNames())
 
 
 def archive_members(archives: DataFrame) -> DataFrame:
-    """One row per member of each archive (directories included, bytes NULL);
-    a corrupt archive yields one row with ``error`` set (goes to rejects)."""
+    """One row per member of each archive (directories included, bytes NULL); a
+    corrupt archive yields one row with ``error`` set, an unreadable member its row
+    with ``error`` and no bytes (both go to rejects). An archive is one row here, 2 GB
+    at most; ``zip_source.read_members`` reads larger ones, in parallel."""
     ship_package(archives.sparkSession)
     return archives.select("path", "content").mapInPandas(_explode_zip, MEMBER_SCHEMA)
 

@@ -1,16 +1,19 @@
 """Version resolution as keyed streaming state.
 
-The stream of multiplexed events is grouped by (folio key, category) and
-folded with ``applyInPandasWithState``: the state of a key is its list of
-(origin, version, best score) -- the original's version cache -- so versions
-carry across micro-batches without re-reading the registry. A key seen for
-the first time is seeded from the registry rows of that key, attached to the
-events by a stream-static join (one small array per key: its stored
-versions).
-
-Inside a micro-batch a key's events are one pandas group, bounded by the
-micro-batch size (``maxFilesPerTrigger``); the batch form in
+The stream of multiplexed events is grouped by (folio key, category) and run by
+``transformWithState``. The state of a key is the original's version cache in
+pieces: a map from origin to (version, best score), and the greatest version. An
+event reads and writes the one entry of its origin, so a key with a million
+origins (every unreadable PDF) costs no more per event than a new one. The
+registry enters once, as the stream's initial state, grouped by the same key;
+later triggers read state alone.
+
+Inside a micro-batch a key's events are put in order in memory, which the
+micro-batch bounds (``maxFilesPerTrigger``); the batch form in
 ``operators/versions.py`` is the skew-safe plan for whole tables.
+
+The state store must know keyed maps: ``stream_versions`` sets the RocksDB
+provider for the session (part of Spark).
 """
 
 from __future__ import annotations
@@ -18,19 +21,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from .. import config as C
 from ..session import ship_package
 
-STATE_SCHEMA = T.StructType([
-    T.StructField("origins", T.ArrayType(T.StringType())),
-    T.StructField("versions", T.ArrayType(T.IntegerType())),
-    T.StructField("scores", T.ArrayType(T.IntegerType())),
-])
+PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 OUT_SCHEMA = T.StructType([
     T.StructField("folio_key", T.StringType()), T.StructField("cat", T.StringType()),
@@ -41,56 +40,70 @@ OUT_SCHEMA = T.StructType([
 ])
 
 
-def _fold(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["lot_id", "seq", "cat_idx"])
-    if state.exists:
-        origins, versions, scores = (list(x) for x in state.get)
-    else:
-        seed = next((r for r in pdf["reg"] if r is not None and len(r) > 0), None)
-        stored = sorted(((r["origen"], int(r["version"]), 0 if r["score"] is None else int(r["score"]))
-                         for r in (list(seed) if seed is not None else [])), key=lambda t: t[1])
-        origins = [o for o, _, _ in stored]
-        versions = [v for _, v, _ in stored]
-        scores = [s for _, _, s in stored]
-    out_v, out_a = [], []
-    for origin, conf in zip(pdf["origen"], pdf["confianza"]):
-        conf = int(conf)
-        if not origins:
-            origins, versions, scores = [origin], [1], [conf]
-            out_v.append(1)
-            out_a.append(C.ACTION_NEW)
-        elif origin in origins:
-            i = origins.index(origin)
-            out_v.append(versions[i])
-            if conf >= scores[i]:
-                scores[i] = conf
-                out_a.append(C.ACTION_OVERWRITE)
+def use_keyed_state(spark: SparkSession) -> None:
+    """The state store that ``transformWithState`` needs, and the package for its workers."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
+    ship_package(spark)
+
+
+class VersionCache(StatefulProcessor):
+    """The version cache of one (folio key, category)."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.origins = handle.getMapState("origins", "origen string", "version int, best int")
+        self.top = handle.getValueState("top", "version int")
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        lowest: dict[str, tuple[int, int]] = {}
+        for origin, version, score in zip(initialState["origen"], initialState["version"], initialState["score"]):
+            entry = (int(version), 0 if pd.isna(score) else int(score))
+            if origin not in lowest or entry < lowest[origin]:  # two versions of an origin: the lowest counts
+                lowest[origin] = entry
+        for origin, entry in lowest.items():
+            self.origins.updateValue((origin,), entry)
+        self.top.update((int(initialState["version"].max()),))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        events = pd.concat(list(rows), ignore_index=True).sort_values(["lot_id", "seq", "cat_idx"])
+        top = self.top.get()[0] if self.top.exists() else 0
+        was, known, changed = top, {}, set()
+        versions, actions = [], []
+        for origin, conf in zip(events["origen"], events["confianza"]):
+            conf = int(conf)
+            if origin not in known:
+                known[origin] = tuple(self.origins.getValue((origin,))) if self.origins.containsKey((origin,)) else None
+            if known[origin] is None:
+                top += 1
+                known[origin] = (top, conf)
+                changed.add(origin)
+                actions.append(C.ACTION_NEW if top == 1 else C.ACTION_VERSION)
+            elif conf >= known[origin][1]:
+                known[origin] = (known[origin][0], conf)
+                changed.add(origin)
+                actions.append(C.ACTION_OVERWRITE)
             else:
-                out_a.append(C.ACTION_DISCARD)
-        else:
-            v = max(versions) + 1
-            origins.append(origin)
-            versions.append(v)
-            scores.append(conf)
-            out_v.append(v)
-            out_a.append(C.ACTION_VERSION)
-    state.update((origins, versions, scores))
-    res = pdf[["folio_key", "cat", "origen", "lot_id", "seq", "cat_idx", "confianza"]].copy()
-    res["version"] = out_v
-    res["accion"] = out_a
-    yield res
+                actions.append(C.ACTION_DISCARD)
+            versions.append(known[origin][0])
+        for origin in changed:
+            self.origins.updateValue((origin,), known[origin])
+        if top != was:
+            self.top.update((top,))
+        out = events[["folio_key", "cat", "origen", "lot_id", "seq", "cat_idx", "confianza"]].copy()
+        out["version"], out["accion"] = versions, actions
+        yield out
+
+    def close(self) -> None:
+        pass
 
 
 def stream_versions(events: DataFrame, registry: DataFrame | None = None) -> DataFrame:
-    """Streaming V1 over an events stream (folio_key, cat, origen, lot_id, seq, cat_idx, confianza)."""
-    ship_package(events.sparkSession)
+    """Streaming V1 over an events stream (folio_key, cat, origen, lot_id, seq, cat_idx,
+    confianza); ``registry`` (folio_key, cat, origen, version, score) seeds the state
+    when the stream first starts, and is not read again from a checkpoint."""
+    use_keyed_state(events.sparkSession)
+    seed = None
     if registry is not None:
-        reg = registry.groupBy("folio_key", "cat").agg(
-            F.collect_list(F.struct("origen", F.col("version").cast("int").alias("version"),
-                                    F.col("score").cast("int").alias("score"))).alias("reg"))
-        events = events.join(reg, ["folio_key", "cat"], "left")
-    else:
-        events = events.withColumn("reg", F.lit(None).cast(
-            "array<struct<origen:string,version:int,score:int>>"))
-    return events.groupBy("folio_key", "cat").applyInPandasWithState(
-        _fold, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+        seed = registry.select("folio_key", "cat", "origen", F.col("version").cast("int").alias("version"),
+                               F.col("score").cast("int").alias("score")).groupBy("folio_key", "cat")
+    return events.groupBy("folio_key", "cat").transformWithStateInPandas(
+        statefulProcessor=VersionCache(), outputStructType=OUT_SCHEMA, outputMode="Append", timeMode="None", initialState=seed)
