@@ -26,6 +26,7 @@ chunks of whole texts.
 Defined cases: null and empty texts have an empty fingerprint, which is like
 itself (1) and unlike all others (0); every other text has a feature; rows with
 null doc_id stand first, rows with equal doc_id in order of their texts.
+A very long text is held whole with its windows (some 60 bytes of memory a byte of it).
 """
 
 from __future__ import annotations

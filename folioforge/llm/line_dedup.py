@@ -14,6 +14,8 @@ Defined cases: a null or empty text is one empty line; keys shorter than
 ``min_chars`` code points are never dropped; a null doc_id never takes part
 (its lines stay and make nobody else's lines drop); rows that repeat a doc_id
 are one document. Extra columns are ignored here and kept by ``apply_drops``.
+A text and the array of its lines stand in one row of its task (some three times its
+bytes), at any length that a string of Spark may have.
 """
 
 from __future__ import annotations

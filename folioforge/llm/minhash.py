@@ -26,6 +26,7 @@ signed order is theirs. Two sets of Jaccard similarity 0.75 share at least
 Sets hold 64-bit hashes of shingles. Rows with equal doc_id are one document;
 rows with null doc_id are never linked (component_id null, kept). Null or empty
 texts have an empty set and are linked with nothing. Extra columns are ignored.
+A very long text is a chunk of its own (some 60 bytes of memory a byte of it).
 """
 
 from __future__ import annotations

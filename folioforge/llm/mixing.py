@@ -20,6 +20,7 @@ Defined cases: null or empty texts have size 0 and are never taken; a null
 source is a source; rows that are equal in all columns are separate documents,
 in an order that does not matter; a null doc_id is a document. Extra columns
 are ignored by ``mix`` and kept by ``take_text``.
+A very long text is counted in its row; only word counts are shuffled until it is written.
 """
 
 from __future__ import annotations
