@@ -63,19 +63,21 @@ def let(value: Column, body) -> Column:
 
 
 def packed(docs: DataFrame, *needed: str) -> DataFrame:
-    """(row, needed...): the caller's columns in one struct, so that an operator's
-    own columns cannot clash with them, beside those the operator reads."""
+    """(row, needed...): the columns that the operator reads, and all others of the
+    caller in one struct, so that an operator's own columns cannot clash with them. No
+    column stands there twice."""
     names = {c.lower(): c for c in docs.columns}
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+    others = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in needed]
+    return docs.select(F.struct(*others or [F.lit(None).cast("int").alias("none")]).alias("row"),
                        *[F.col(f"`{names[c]}`").alias(c) for c in needed])
 
 
 def unpacked(rows: DataFrame, docs: DataFrame, text: Column | None = None, changed: Column | None = None) -> DataFrame:
-    """The columns of ``docs`` out of ``row``; where ``changed``, with ``text`` as the
-    new text and n_chars (if there) counted anew."""
-    out = []
+    """The columns of ``docs`` out of ``packed`` rows; where ``changed``, with ``text`` as
+    the new text and n_chars (if there) counted anew."""
+    inside, out = set(rows.schema["row"].dataType.names), []
     for field in docs.schema.fields:
-        value = F.col("row").getField(field.name)
+        value = F.col("row").getField(field.name) if field.name in inside else F.col(field.name.lower())
         if text is not None and field.name.lower() == "text":
             value = F.when(changed, text).otherwise(value)
         if text is not None and field.name.lower() == "n_chars":

@@ -120,8 +120,8 @@ def without_boilerplate(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: fl
     rows = packed(docs, "doc_id", "text", "source").withColumn("tid", text_id(F.col("text"))).alias("r")
     gone = boilerplate(docs.select("doc_id", "text", "source"), min_docs, max_share).alias("g")
     joined = rows.join(gone, (F.col("r.tid") == F.col("g.tid")) & F.col("r.doc_id").eqNullSafe(F.col("g.doc_id"))
-                       & F.col("r.source").eqNullSafe(F.col("g.host")), "left")
-    lines = F.split(F.coalesce("r.text", F.lit("")), "\n")
+                       & F.col("r.source").eqNullSafe(F.col("g.host")), "left").select("r.*", "positions")
+    lines = F.split(F.coalesce("text", F.lit("")), "\n")
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("positions", i)), "\n")
     return unpacked(joined, docs, kept, F.col("positions").isNotNull())
 
