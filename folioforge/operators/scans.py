@@ -76,6 +76,25 @@ def running_sum(df: DataFrame, part_cols: list[str], order_col: str, value_col:
             .drop("_local", "_carry", BLK))
 
 
+def running_max(df: DataFrame, part_cols: list[str], order_col: str, value_col: str, out_col: str,
+                block: int = 4096) -> tuple[DataFrame, DataFrame]:
+    """Greatest ``value_col`` strictly before each row, in two tables that meet on (part_cols, ``BLK``).
+
+    The first holds the rows with ``out_col``, the greatest value before them in
+    their block (null: none); the second one row per block with ``out_col``, that of
+    all earlier blocks. They are not joined here, so that the caller can widen the
+    small table by what else it knows of a partition before both meet:
+    ``greatest`` of the two columns is the running maximum.
+    """
+    d = _blocks(df, order_col, block)
+    kb = [*part_cols, BLK]
+    before = Window.orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    rows = d.withColumn(out_col, F.max(value_col).over(before.partitionBy(*kb)))
+    blocks = d.groupBy(*kb).agg(F.max(value_col).alias("_max"))
+    earlier = Window.partitionBy(*part_cols).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
+    return rows, blocks.select(*kb, F.max("_max").over(earlier).alias(out_col))
+
+
 def last_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
     """The row with the greatest ``order_cols`` per key ("last writer wins").
 

@@ -19,8 +19,8 @@ Here the fold is restated as aggregates and windows:
   put all its events into one task.
 * an origin is born at its first event unless the registry holds it; its
   version is the registry's max version + the rank of its birth among the
-  new origins of the key, ranked in two levels (inside the birth lot, plus
-  the births of earlier lots carried over one row per (key, cat, lot)).
+  new origins of the key: inside the birth lot, plus the births of earlier
+  lots (a running sum over one row per (key, cat, lot), by blocks of lots).
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from .. import config as C
 from ..session import materialize
+from .scans import BLK, last_per_key, running_max, running_sum
 
 K = ["folio_key", "cat"]
 KO = K + ["origen"]
@@ -45,7 +46,7 @@ REGISTRY_KEYS_SCHEMA = T.StructType([
 ])
 
 
-#: lots in a block of the birth ranks
+#: lots in a block of the score carries and of the birth ranks
 LOT_BLOCK = 512
 
 
@@ -84,15 +85,11 @@ def resolve_versions(events: DataFrame, registry: DataFrame | None = None,
     # Distinct origins never share a seq (a seq belongs to one reduce group), so
     # (lot, seq) orders origins totally; plain min/max keep this a hash aggregate.
     lots = events.groupBy(*KOL).agg(F.max("confianza").alias("lot_max"), F.min("seq").alias("lot_seq"))
-    w_o = Window.partitionBy(*KO)
-    lots = (lots.withColumn("carry", F.max("lot_max").over(
-                w_o.orderBy("lot_id").rowsBetween(Window.unboundedPreceding, -1)))
-            .withColumn("first", F.min(F.struct("lot_id", F.col("lot_seq").alias("seq"))).over(w_o)))
     if materialize_events:
-        # read by three branches below; each would re-prune and recompute the aggregate
+        # read by the branches below; each would re-prune and recompute the aggregate
         lots = materialize(lots, "lots")
     # one row per (key, cat, origin): its first (lot, seq)
-    origins = lots.filter(F.col("lot_id") == F.col("first.lot_id")).select(*KO, "first")
+    origins = lots.groupBy(*KO).agg(F.min(F.struct("lot_id", F.col("lot_seq").alias("seq"))).alias("first"))
     if registry is not None:
         reg = registry_lookup(registry, origins)
         max_ver = registry.join(origins.select(*K).distinct(), K, "left_semi") \
@@ -104,8 +101,12 @@ def resolve_versions(events: DataFrame, registry: DataFrame | None = None,
     origins = origins.withColumn("mv", F.coalesce("mv", F.lit(0)))
     origins = origins.join(birth_ranks(origins), KO, "left").withColumn(
         "version", F.coalesce("rv", F.col("mv") + F.col("birth")).cast("int"))
-    lots = lots.select(*KOL, "carry").join(
+    lots, blocks = running_max(lots, KO, "lot_id", "lot_max", "carry", LOT_BLOCK)
+    # what is known of an origin reaches its lots by its blocks: no join of lots on the origin alone
+    blocks = blocks.withColumnRenamed("carry", "earlier").join(
         origins.select(*KO, "first", "birth", "rv", "rs", "mv", "version"), KO)
+    lots = lots.select(*KOL, BLK, "carry").join(blocks, [*KO, BLK]) \
+        .withColumn("carry", F.greatest("carry", "earlier")).drop(BLK, "earlier")
     ev = events.join(lots, KOL)
     w_l = Window.partitionBy(*KOL).orderBy("seq", "cat_idx")
     ev = (ev.withColumn("prev", F.greatest("carry", F.max("confianza").over(
@@ -126,25 +127,22 @@ def resolve_versions(events: DataFrame, registry: DataFrame | None = None,
 def birth_ranks(origins: DataFrame) -> DataFrame:
     """Rank of each new origin's birth among the new origins of its key.
 
-    Two levels, so a key with very many new origins (every failed PDF) is
-    never one window: a rank inside (key, cat, block of ``LOT_BLOCK`` lots) --
-    bounded by the block, also where each birth has a lot of its own -- plus the
-    number of births in earlier blocks, carried over one row per block.
+    A key with very many new origins (every failed PDF) is never one window: a rank
+    inside (key, cat, birth lot), bounded by the lot, plus the births of earlier
+    lots, a running sum over one row per (key, cat, lot) that goes by blocks of
+    ``LOT_BLOCK`` lots. It holds where lots bear many origins each and where each
+    birth has a lot of its own.
     """
     new = origins.filter(F.col("rv").isNull()).select(
-        *KO, F.col("first.lot_id").alias("_bl"), F.col("first.seq").alias("_bs"),
-        F.floor(F.col("first.lot_id") / LOT_BLOCK).alias("_blk"))
-    local = F.row_number().over(Window.partitionBy(*K, "_blk").orderBy("_bl", "_bs"))
-    new = new.withColumn("_local", local)
-    blocks = new.groupBy(*K, "_blk").agg(F.count(F.lit(1)).alias("_n"))
-    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(
-        Window.partitionBy(*K).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return new.join(blocks.select(*K, "_blk", "_before"), [*K, "_blk"]).select(
+        *KO, F.col("first.lot_id").alias("_bl"), F.col("first.seq").alias("_bs"))
+    new = new.withColumn("_local", F.row_number().over(Window.partitionBy(*K, "_bl").orderBy("_bs")))
+    lots = new.groupBy(*K, "_bl").agg(F.count(F.lit(1)).alias("_n"))
+    lots = running_sum(lots, K, "_bl", "_n", "_upto", LOT_BLOCK)
+    return new.join(lots.select(*K, "_bl", (F.col("_upto") - F.col("_n")).alias("_before")), [*K, "_bl"]).select(
         *KO, (F.col("_before") + F.col("_local")).cast("int").alias("birth"))
 
 
 def surviving(versioned: DataFrame) -> DataFrame:
     """V2: per (key, cat, version, origin) the last non-discarded event wins the file."""
-    from .scans import last_per_key
     return last_per_key(versioned.filter(F.col("accion") != C.ACTION_DISCARD),
                         ["folio_key", "cat", "version", "origen"], ["lot_id", "seq", "cat_idx"])

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from folioforge.operators import context as CX
 from folioforge.operators import packing as K
+from folioforge.operators import versions
+from folioforge.operators.scans import BLK, running_max
 from folioforge.operators.versions import resolve_versions
 from tests.folds import examples_expected, lots_of_bursts, lots_of_pages, versions_expected
 
@@ -13,8 +15,9 @@ from tests.folds import examples_expected, lots_of_bursts, lots_of_pages, versio
 import pytest  # noqa: E402
 
 
-@pytest.mark.parametrize("seed", [7, 8, 9])
-def test_versions_match_sequential_fold(spark, seed):
+@pytest.mark.parametrize("seed,block", [(7, 512), (8, 512), (9, 512), (10, 1), (11, 2), (12, 3)])
+def test_versions_match_sequential_fold(spark, monkeypatch, seed, block):
+    monkeypatch.setattr(versions, "LOT_BLOCK", block)
     rng = random.Random(seed)
     ev_rows, reg_rows, seq_events = [], [], []
     registry = {}
@@ -42,6 +45,26 @@ def test_versions_match_sequential_fold(spark, seed):
     assert [(r.version, r.accion) for r in got] == expected
 
 
+def test_scores_of_one_origin_over_very_many_lots(spark):
+    """All image lots share one origin: its carries are windows over blocks of lots, not over its lots."""
+    n, block = 20_000, versions.LOT_BLOCK
+    events = spark.range(n).select(
+        F.lit("ERR").alias("folio_key"), F.lit("No").alias("cat"), F.lit("images").alias("origen"),
+        F.col("id").cast("int").alias("lot_id"), F.col("id").alias("seq"), F.lit(0).alias("cat_idx"),
+        ((F.col("id") * 7919) % 9973).cast("int").alias("confianza"))
+    best, expected = -1, []
+    for i in range(n):
+        c = i * 7919 % 9973
+        expected.append("NUEVO" if not i else "SOBRESCRIBIR" if c >= best else "DESCARTAR")
+        best = max(best, c)
+    got = resolve_versions(events).orderBy("lot_id").select("version", "accion").collect()
+    assert [r.accion for r in got] == expected and {r.version for r in got} == {1}
+    lots = events.select("origen", "lot_id", "confianza")
+    rows, blocks = running_max(lots, ["origen"], "lot_id", "confianza", "before", block)
+    assert blocks.count() == -(-n // block)
+    assert rows.groupBy("origen", BLK).count().agg(F.max("count")).first()[0] == block
+
+
 def test_next_fit_matches_fold_across_partitions(spark):
     rng = random.Random(11)
     rows, by_lane = [], {}
