@@ -62,9 +62,10 @@ def chunks(offsets: np.ndarray, size: int = CHUNK):
         i = j
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, ends_word: np.ndarray = WHITE_BYTES):
+def word_hashes(data: np.ndarray, offsets: np.ndarray, ends_word: np.ndarray = WHITE_BYTES, cut: int | None = None):
     """(hashes, first): a hash per word of the texts data[offsets[i]:offsets[i+1]],
-    A-Z lower-cased; text i has the words first[i]..first[i+1]-1."""
+    A-Z lower-cased; text i has the words first[i]..first[i+1]-1. With ``cut`` a
+    longer word counts as its first ``cut`` bytes."""
     if not len(data):
         return np.empty(0, U64), np.zeros(len(offsets), np.int64)
     inside = ~ends_word[data]
@@ -82,6 +83,9 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, ends_word: np.ndarray = W
     place = np.arange(int(run[-1])) - np.repeat(begin, length)
     values = _LOWER[data[inside]].astype(U64) + U64(1)
     values *= powers(int(length.max()))[place]
+    if cut is not None:
+        values[place >= cut] = 0
+        length = np.minimum(length, cut)
     return mix(np.add.reduceat(values, begin) + length.astype(U64)), first
 
 

@@ -113,6 +113,57 @@ def test_features_against_brute_force():
     assert [len(x) for x in alone] == [k + max(k - 1, 0) + max(k - 2, 0) for k in n]
 
 
+def test_beginnings_of_words_against_brute_force():
+    import pyarrow as pa
+    from folioforge.llm.words import PUNCT_BYTES, text_bytes, word_hashes
+    texts = ["Ordinary ordinarily ORDIN", "", "x", "é" * 9 + " abcdefgh.abcdefghi", "a" * 3000]
+    told = lambda t, cut=None: word_hashes(*text_bytes(pa.array([t])), PUNCT_BYTES, cut)[0].tolist()
+    for cut in (1, 6, 8):
+        data, offsets = text_bytes(pa.array(texts))
+        got, first = word_hashes(data, offsets, PUNCT_BYTES, cut)
+        for i, t in enumerate(texts):
+            words = t.lower().replace(".", " ").encode().split()
+            alone = [word_hashes(np.frombuffer(w[:cut], np.uint8), np.array([0, len(w[:cut])]), PUNCT_BYTES)[0][0] for w in words]
+            assert got[first[i]:first[i + 1]].tolist() == alone
+    assert told("ordinarily", 6) == told("ORDINAry", 6) == told("ordina") != told("ordinarily")
+    data, offsets = text_bytes(pa.array(texts))
+    places, owner = toxicity.all_features(data, offsets)
+    for i, t in enumerate(texts):
+        alone, _ = toxicity.all_features(*text_bytes(pa.array([t])))
+        assert sorted(places[owner == i]) == sorted(alone)
+
+
+def test_ftrl_against_a_loop_over_coordinates():
+    """The published per-coordinate update, written out with dictionaries."""
+    from math import exp, sqrt
+    rng = random.Random(4)
+    examples = [sorted({rng.randrange(40) for _ in range(rng.randint(0, 12))}) for _ in range(200)]
+    labels = [float(rng.random() < (0.9 if 7 in x else 0.1)) for x in examples]
+    docs = Counter(f for x in examples for f in x)
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(f):
+        if f == "bias":
+            return -z[f] / ((toxicity.BETA + sqrt(n[f])) / toxicity.ALPHA)
+        if abs(z[f]) <= toxicity.L1:
+            return 0.0
+        sign = 1 if z[f] > 0 else -1
+        return (sign * toxicity.L1 - z[f]) / ((toxicity.BETA + sqrt(n[f])) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(4):
+        for x, y in zip(examples, labels):
+            on = [f for f in x if docs[f] >= toxicity.MIN_DOCS] + ["bias"]
+            w = {f: weight(f) for f in on}
+            g = 1 / (1 + exp(-sum(w.values()))) - y
+            for f in on:
+                rate = (sqrt(n[f] + g * g) - sqrt(n[f])) / toxicity.ALPHA
+                z[f] += g - rate * w[f]
+                n[f] += g * g
+    got, bias = toxicity.ftrl([np.array(x, np.int32) for x in examples], np.array(labels), 4)
+    assert got[:40] == pytest.approx([weight(f) for f in range(40)], abs=1e-9) and bias == pytest.approx(weight("bias"), abs=1e-9)
+    assert got[7] != 0 and not got[40:].any()
+
+
 def test_ftrl_learns_a_word_and_is_sparse():
     rng = np.random.default_rng(1)
     examples, labels = [], []
@@ -134,7 +185,7 @@ def test_scores_of_held_out_documents(spark):
     assert all(r.held_out for r in held) and sum(r.held_out for r in rows) == len(held)
     told = [(r.predicted, labels[r.doc_id]) for r in held if r.doc_id in labels]
     assert sum(p == y for p, y in told) >= 0.95 * len(told)
-    assert sum(p for p, y in told if y) >= 0.7 * sum(y for _, y in told)
+    assert sum(p for p, y in told if y) >= 0.9 * sum(y for _, y in told)
     assert sum(p for p, y in told if not y) <= 0.01 * len(told)
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
 
