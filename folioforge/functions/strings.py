@@ -90,8 +90,12 @@ def main_category(c) -> Column:
 
 def category_list(c) -> Column:
     """Split on ',', strip, drop empties; none -> ['No_identificado'] (G9). Repeats kept."""
-    parts = F.filter(F.transform(F.split(col_(c), ","), lambda x: strip_ws(x)), lambda x: x != "")
-    return F.when(F.size(parts) == 0, F.array(F.lit(C.NOT_IDENTIFIED_FOLDER))).otherwise(parts)
+    c = col_(c)
+    parts = F.filter(F.transform(F.split(c, ","), lambda x: strip_ws(x)), lambda x: x != "")
+    several = F.when(F.size(parts) == 0, F.array(F.lit(C.NOT_IDENTIFIED_FOLDER))).otherwise(parts)
+    # without a comma there is one name: no arrays to build, strip and filter
+    one = F.when(strip_ws(c) == "", F.lit(C.NOT_IDENTIFIED_FOLDER)).otherwise(strip_ws(c))
+    return F.when(~c.contains(","), F.array(one)).otherwise(several)
 
 
 def output_name(key, version) -> Column:

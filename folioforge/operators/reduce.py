@@ -58,21 +58,28 @@ def reduce_items(items: DataFrame, scope: str = "lot") -> DataFrame:
         F.min(F.struct("seq", "folio", "tipo_origen", "paginas_original")).alias("first"),
         F.min(F.when(known_client("cliente"), F.struct("seq", "cliente"))).alias("first_client"),
         F.max("confianza").alias("confianza"),
-        F.collect_list(F.struct("seq", "justificacion")).alias("reasons"),
-        F.collect_list(F.struct("seq", "paginas")).alias("page_lists"),
+        F.collect_list(F.struct("seq", "justificacion", "paginas")).alias("rows"),
     )
-    ordered = F.flatten(F.transform(F.array_sort("page_lists"), lambda x: x["paginas"]))
+    rows, single = F.col("rows"), F.size("rows") == 1
+
+    def ordered(field):
+        pairs = F.transform(rows, lambda x: F.struct(x["seq"].alias("seq"), x[field].alias(field)))
+        return F.transform(F.array_sort(pairs), lambda x: x[field])
+
+    # most groups are one item: nothing to sort, to compare or to join there
+    reason = F.coalesce(rows[0]["justificacion"], F.lit(""))
     return g.select(
         *keys, "seq",
         F.col("first.folio").alias("folio"),
         F.coalesce(F.col("first_client.cliente"), F.lit(C.NOT_DETECTED)).alias("cliente"),
         "confianza",
-        F.array_join(F.array_distinct(F.transform(F.array_sort("reasons"), lambda x: x["justificacion"])),
-                     " | ").alias("justificacion"),
+        F.when(single, reason).otherwise(
+            F.array_join(F.array_distinct(ordered("justificacion")), " | ")).alias("justificacion"),
         F.col("first.tipo_origen").alias("tipo_origen"),
         F.col("first.paginas_original").alias("paginas_original"),
-        ordered.alias("_all_pages"),
-    ).withColumn("paginas", first_by_path("_all_pages")).drop("_all_pages") \
+        F.when(single, rows[0]["paginas"]).otherwise(F.flatten(ordered("paginas"))).alias("_all_pages"),
+    ).withColumn("paginas", F.when(F.size("_all_pages") == 1, F.filter("_all_pages", lambda p: p["path"].isNotNull()))
+                 .otherwise(first_by_path("_all_pages"))).drop("_all_pages") \
         .withColumn("paginas_final", F.size("paginas"))
 
 

@@ -26,6 +26,11 @@ def _blocks(df: DataFrame, order_col: str, block: int) -> DataFrame:
     return df.withColumn(BLK, F.floor(F.col(order_col) / F.lit(block)))
 
 
+def lot_blocks(df: DataFrame, order_col: str, block: int) -> DataFrame:
+    """``df`` with ``BLK``, the block of ``block`` consecutive order values of each row."""
+    return _blocks(df, order_col, block)
+
+
 def prev_value(df: DataFrame, part_cols: list[str], order_col: str, value_col: str, out_col: str,
                block: int = 4096) -> DataFrame:
     """Last non-null ``value_col`` strictly before each row (by ``order_col``) in its partition."""

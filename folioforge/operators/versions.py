@@ -12,30 +12,35 @@ Here the fold is restated as aggregates and windows:
 
 * best so far of an origin = greatest(registry score, max confidence of the
   origin's earlier events). That running max is split in two: a carry over
-  earlier *lots* (a window over one row per (key, cat, origin, lot)) and a
-  running max inside the lot (a window partitioned by (key, cat, origin,
-  lot)). No per-event window spans more than one lot, so a hot key -- every
-  failed PDF lands on (ERROR_DOCUMENTO_ILEGIBLE, No identificado) -- does not
-  put all its events into one task.
+  earlier blocks of ``LOT_BLOCK`` lots (a window over one row per (key, cat,
+  origin, block)) and a running max inside the block (a window partitioned by
+  (key, cat, origin, block)). No per-event window spans more than one block, so
+  a hot key -- every failed PDF lands on (ERROR_DOCUMENTO_ILEGIBLE, No
+  identificado) -- does not put all its events into one task.
 * an origin is born at its first event unless the registry holds it; its
   version is the registry's max version + the rank of its birth among the
   new origins of the key: inside the birth lot, plus the births of earlier
   lots (a running sum over one row per (key, cat, lot), by blocks of lots).
+
+The events are read twice, their keys for one row per block and whole for the
+result, and shuffled whole once, by (key, cat, origin, block).
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
 from ..session import materialize
-from .scans import BLK, last_per_key, running_max, running_sum
+from .scans import BLK, last_per_key, lot_blocks, running_sum
 
 K = ["folio_key", "cat"]
 KO = K + ["origen"]
-KOL = KO + ["lot_id"]
+KOB = KO + [BLK]
 
 REGISTRY_KEYS_SCHEMA = T.StructType([
     T.StructField("folio_key", T.StringType()),
@@ -74,22 +79,20 @@ def resolve_versions(events: DataFrame, registry: DataFrame | None = None,
     ``registry``: folio_key, cat, origen, version, score (or None = empty).
     Adds ``version`` (int) and ``accion``.
 
-    Events are read twice (a per-lot aggregate and the final per-lot window)
-    and the per-lot summary three times, so both are materialized once
-    (parquet under ``spark.checkpoint.dir``) unless ``materialize_events`` is
-    False.
+    Events are read twice and the block rows by several branches, so both are
+    materialized once (parquet under ``spark.checkpoint.dir``) unless
+    ``materialize_events`` is False. Give only the payload columns that are
+    wanted: the others would be written and shuffled for nothing.
     """
     if materialize_events:
         events = materialize(events, "events")
-    # one row per (key, cat, origin, lot): best confidence and first item seq in the lot.
-    # Distinct origins never share a seq (a seq belongs to one reduce group), so
-    # (lot, seq) orders origins totally; plain min/max keep this a hash aggregate.
-    lots = events.groupBy(*KOL).agg(F.max("confianza").alias("lot_max"), F.min("seq").alias("lot_seq"))
+    events = lot_blocks(events, "lot_id", LOT_BLOCK)
+    blocks = block_rows(events)
     if materialize_events:
-        # read by the branches below; each would re-prune and recompute the aggregate
-        lots = materialize(lots, "lots")
+        blocks = materialize(blocks, "blocks")
     # one row per (key, cat, origin): its first (lot, seq)
-    origins = lots.groupBy(*KO).agg(F.min(F.struct("lot_id", F.col("lot_seq").alias("seq"))).alias("first"))
+    origins = blocks.groupBy(*KO).agg(F.min("first_lot").alias("lot_id"), F.min("first_at").alias("at")).select(
+        *KO, F.struct("lot_id", (F.col("at") - place("lot_id")).try_cast("bigint").alias("seq")).alias("first"))
     if registry is not None:
         reg = registry_lookup(registry, origins)
         max_ver = registry.join(origins.select(*K).distinct(), K, "left_semi") \
@@ -101,18 +104,16 @@ def resolve_versions(events: DataFrame, registry: DataFrame | None = None,
     origins = origins.withColumn("mv", F.coalesce("mv", F.lit(0)))
     origins = origins.join(birth_ranks(origins), KO, "left").withColumn(
         "version", F.coalesce("rv", F.col("mv") + F.col("birth")).cast("int"))
-    lots, blocks = running_max(lots, KO, "lot_id", "lot_max", "carry", LOT_BLOCK)
-    # what is known of an origin reaches its lots by its blocks: no join of lots on the origin alone
-    blocks = blocks.withColumnRenamed("carry", "earlier").join(
+    earlier = Window.partitionBy(*KO).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
+    # what is known of an origin reaches its events by its blocks: no join of events on the origin alone
+    blocks = blocks.select(*KOB, F.max("best").over(earlier).alias("carry")).join(
         origins.select(*KO, "first", "birth", "rv", "rs", "mv", "version"), KO)
-    lots = lots.select(*KOL, BLK, "carry").join(blocks, [*KO, BLK]) \
-        .withColumn("carry", F.greatest("carry", "earlier")).drop(BLK, "earlier")
-    ev = events.join(lots, KOL)
-    w_l = Window.partitionBy(*KOL).orderBy("seq", "cat_idx")
-    ev = (ev.withColumn("prev", F.greatest("carry", F.max("confianza").over(
-              w_l.rowsBetween(Window.unboundedPreceding, -1))))
-          .withColumn("_first_in_lot", F.row_number().over(w_l) == 1))
-    at_first = (F.col("lot_id") == F.col("first.lot_id")) & F.col("_first_in_lot")
+    # the window before the join: one shuffle and one sort of the events serve both
+    w = Window.partitionBy(*KOB).orderBy("lot_id", "seq", "cat_idx")
+    ev = events.select("*", F.max("confianza").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("prev"),
+                       (F.row_number().over(w) == 1).alias("_first_in_block"))
+    ev = ev.join(blocks, KOB).withColumn("prev", F.greatest("carry", "prev"))
+    at_first = (F.col("lot_id") == F.col("first.lot_id")) & F.col("_first_in_block")
     born = F.col("rv").isNull() & at_first
     best = F.greatest(F.coalesce("rs", F.lit(-1)), F.coalesce("prev", F.lit(-1)))
     # nothing stored for the key (mv = 0): its first-born origin is the key's first event
@@ -121,7 +122,24 @@ def resolve_versions(events: DataFrame, registry: DataFrame | None = None,
               .when(F.col("confianza") >= best, F.lit(C.ACTION_OVERWRITE))
               .otherwise(F.lit(C.ACTION_DISCARD)))
     return ev.withColumn("accion", accion).drop("first", "birth", "rv", "rs", "mv", "carry", "prev",
-                                                "_first_in_lot")
+                                                "_first_in_block", BLK)
+
+
+def place(lot: str) -> F.Column:
+    """A lot's place in the order of (lot, seq) as one number: lots are 2^64 apart, as many as there are seqs."""
+    return F.col(lot).cast("decimal(18,0)") * F.lit(Decimal(2 ** 64))
+
+
+def block_rows(events: DataFrame) -> DataFrame:
+    """One row per (key, cat, origin, block of lots): best confidence, first lot and first (lot, seq).
+
+    Distinct origins never share a seq (a seq belongs to one reduce group), so
+    (lot, seq) orders origins totally. As one number (``place`` plus seq) it is a plain
+    minimum, and this a hash aggregate; that of a struct would sort the events.
+    """
+    return events.groupBy(*KOB).agg(
+        F.max("confianza").alias("best"), F.min("lot_id").alias("first_lot"),
+        F.min(place("lot_id") + F.col("seq").cast("decimal(19,0)")).alias("first_at"))
 
 
 def birth_ranks(origins: DataFrame) -> DataFrame:

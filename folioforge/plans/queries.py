@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import config as CF
 from ..operators import registry as R
 from ..operators.reduce import reduce_items
-from ..operators.results import assemble_results, version_events
+from ..operators.results import VERSION_NEEDS, assemble_results, version_events
 from ..sources.raw_files import number_lots
 from ..operators import payloads as PL
 from . import oracle_payloads as OPL
@@ -42,13 +42,13 @@ VERSION_EVENT_COLS = ["lot_id", "seq", "cat_idx", "folio_key", "cat", "origen",
 
 @register("version_events", O.version_events_sql(False))
 def q_version_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    groups = groups_from_view(fixture(spark, sf_dir, "items"))
+    groups = groups_from_view(fixture(spark, sf_dir, "items")).select(*VERSION_NEEDS)
     return version_events(groups).select(*VERSION_EVENT_COLS)
 
 
 @register("version_with_registry", O.version_events_sql(True))
 def q_version_with_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    groups = groups_from_view(fixture(spark, sf_dir, "items"))
+    groups = groups_from_view(fixture(spark, sf_dir, "items")).select(*VERSION_NEEDS)
     return version_events(groups, fixture(spark, sf_dir, "registry")).select(*VERSION_EVENT_COLS)
 
 
@@ -172,7 +172,7 @@ def q_page_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("assembly_manifest", OP.assembly_manifest_sql())
 def q_assembly_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = version_events(groups_from_view(fixture(spark, sf_dir, "items")))
+    ev = version_events(groups_from_view(fixture(spark, sf_dir, "items")).select(*VERSION_NEEDS, "paginas"))
     ev = ev.filter(F.col("accion") != "DESCARTAR").withColumn(
         "ruta", F.concat(category_folder("cat"), F.lit("/"), S.output_name("folio_key", "version")))
     return P.assembly_manifest(ev)
@@ -295,42 +295,42 @@ from ..functions.predicates import unsafe_category  # noqa: E402
 from . import oracle_context as OC  # noqa: E402
 
 
-def _results(spark, sf_dir):
-    return assemble_results(groups_from_view(fixture(spark, sf_dir, "items")))
+def _results(spark, sf_dir, *columns):
+    return assemble_results(groups_from_view(fixture(spark, sf_dir, "items")), columns=[*columns] or None)
 
 
 @register("context_stats", OC.stats_sql())
 def q_context_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return CX.stats(_results(spark, sf_dir), CX.seed_stats(spark))
+    return CX.stats(_results(spark, sf_dir, "folio"), CX.seed_stats(spark))
 
 
 @register("context_prefixes", OC.prefixes_sql())
 def q_context_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return CX.prefixes(_results(spark, sf_dir), CX.seed_prefixes(spark)) \
+    return CX.prefixes(_results(spark, sf_dir, *CX.ORDER, "folio", "categoria"), CX.seed_prefixes(spark)) \
         .select("prefix", "tipo_asociado", "frecuencia", "ord")
 
 
 @register("context_examples", OC.examples_sql())
 def q_context_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ex = CX.examples(_results(spark, sf_dir), CX.seed_prefixes(spark), CF.DEFAULTS.prefix_examples)
+    ex = CX.examples(_results(spark, sf_dir, *CX.ORDER, "folio"), CX.seed_prefixes(spark), CF.DEFAULTS.prefix_examples)
     return ex.select("prefix", F.array_join("ejemplos", ", ").alias("ejemplos"))
 
 
 @register("context_clients_top", OC.clients_top_sql())
 def q_context_clients_top(spark: SparkSession, sf_dir: str) -> DataFrame:
-    top = CX.top_clients(CX.clients(_results(spark, sf_dir)), CF.DEFAULTS.top_clients)
+    top = CX.top_clients(CX.clients(_results(spark, sf_dir, *CX.ORDER, "folio", "cliente")), CF.DEFAULTS.top_clients)
     return top.select("cliente", "frecuencia", F.col("rank").cast("int").alias("rank"))
 
 
 @register("context_recent", OC.recent_sql())
 def q_context_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rec = CX.recent(_results(spark, sf_dir), OC.BATCH_TS, n=CF.DEFAULTS.recent_documents)
+    rec = CX.recent(_results(spark, sf_dir, *CX.ORDER, "folio", "categoria", "cliente"), OC.BATCH_TS, n=CF.DEFAULTS.recent_documents)
     return rec.select("tipo", "folio", "cliente", "ts", F.col("rank").cast("int").alias("rank"))
 
 
 @register("context_digest", OC.digest_sql())
 def q_context_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    res = materialize(_results(spark, sf_dir), "results")
+    res = materialize(_results(spark, sf_dir, *CX.ORDER, "folio", "categoria", "cliente"), "results")
     seeds = CX.seed_prefixes(spark)
     pst = CX.prefixes(res, seeds).drop("ejemplos").join(CX.examples(res, seeds), "prefix", "left")
     top = CX.top_clients(CX.clients(res), CF.DEFAULTS.top_clients)
@@ -344,7 +344,7 @@ def q_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("run_totals", OC.run_totals_sql())
 def q_run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return RP.run_totals(_results(spark, sf_dir))
+    return RP.run_totals(_results(spark, sf_dir, "lot_id"))
 
 
 def _categories(spark, sf_dir):

@@ -3,6 +3,7 @@
 from folioforge.operators import context as CX
 from folioforge.operators import pages as P
 from folioforge.operators import rules as RU
+from folioforge.plans.audit import groups_from_view
 from folioforge.plans.fixtures import fixture
 
 SF = "/root/testdata/sf0.001"
@@ -57,6 +58,41 @@ def test_version_resolution_windows_are_partitioned(spark):
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
+def test_block_rows_of_events_are_a_hash_aggregate(spark):
+    """The summary of all events sorts nothing, and orders (lot, seq) as a pair: also for negative and largest seqs."""
+    from folioforge.operators import versions as V
+    rows = [("A", "c", "o", 3, -2 ** 63, 0, 5), ("A", "c", "o", 2, 2 ** 63 - 1, 0, 9), ("A", "c", "o", 2, -7, 0, 1),
+            ("A", "c", "p", 0, 4, 0, 70), ("A", "c", "q", 0, 2, 0, 70)]
+    ev = spark.createDataFrame(rows, "folio_key string, cat string, origen string, lot_id int, seq long, cat_idx int, "
+                                     "confianza int")
+    blocks = V.block_rows(V.lot_blocks(ev, "lot_id", 512))
+    assert "SortAggregate" not in _plan(blocks) and "HashAggregate" in _plan(blocks)
+    firsts = {r.origen: (r.first_lot, int(r.first_at) - r.first_lot * 2 ** 64, r.best) for r in blocks.collect()}
+    assert firsts == {"o": (2, -7, 9), "p": (0, 4, 70), "q": (0, 2, 70)}
+    got = {(r.origen, r.lot_id, r.seq): (r.version, r.accion) for r in V.resolve_versions(ev).collect()}
+    assert got == {("q", 0, 2): (1, "NUEVO"), ("p", 0, 4): (2, "VERSIONAR"), ("o", 2, -7): (3, "VERSIONAR"),
+                   ("o", 2, 2 ** 63 - 1): (3, "SOBRESCRIBIR"), ("o", 3, -2 ** 63): (3, "DESCARTAR")}
+
+
+def test_events_are_written_with_wanted_columns_only(spark, monkeypatch):
+    from folioforge.operators import versions as V
+    from folioforge.operators.results import RESULT_COLUMNS, VERSION_NEEDS, assemble_results, version_events
+    written = {}
+
+    def told(df, name="stage"):
+        written[name] = set(df.columns)
+        return df
+    monkeypatch.setattr(V, "materialize", told)
+    groups = groups_from_view(fixture(spark, SF, "items"))
+    whole = assemble_results(groups)
+    assert whole.columns == RESULT_COLUMNS and "paginas" not in written["events"]
+    some = ["lot_id", "seq", "cat_idx", "folio"]
+    assert assemble_results(groups, columns=some).columns == some
+    assert written["events"] == {"lot_id", "seq", "folio_key", "origen", "confianza", "folio", "cat_idx", "cat"}
+    version_events(groups.select(*VERSION_NEEDS))
+    assert written["events"] == {*VERSION_NEEDS, "cat_idx", "cat"}
+
+
 def test_recent_documents_take_ordered(spark):
     res = spark.createDataFrame([(0, 1, 0, "A1", "Factura", "X"), (0, 2, 0, "P2", "Remisión", "Y")],
                                 "lot_id int, seq long, cat_idx int, folio string, categoria string, cliente string")
