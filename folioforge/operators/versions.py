@@ -149,11 +149,12 @@ def birth_ranks(origins: DataFrame) -> DataFrame:
     inside (key, cat, birth lot), bounded by the lot, plus the births of earlier
     lots, a running sum over one row per (key, cat, lot) that goes by blocks of
     ``LOT_BLOCK`` lots. It holds where lots bear many origins each and where each
-    birth has a lot of its own.
+    birth has a lot of its own. Births of one lot without a seq take the order of
+    their origins, so that reruns agree.
     """
     new = origins.filter(F.col("rv").isNull()).select(
         *KO, F.col("first.lot_id").alias("_bl"), F.col("first.seq").alias("_bs"))
-    new = new.withColumn("_local", F.row_number().over(Window.partitionBy(*K, "_bl").orderBy("_bs")))
+    new = new.withColumn("_local", F.row_number().over(Window.partitionBy(*K, "_bl").orderBy("_bs", "origen")))
     lots = new.groupBy(*K, "_bl").agg(F.count(F.lit(1)).alias("_n"))
     lots = running_sum(lots, K, "_bl", "_n", "_upto", LOT_BLOCK)
     return new.join(lots.select(*K, "_bl", (F.col("_upto") - F.col("_n")).alias("_before")), [*K, "_bl"]).select(

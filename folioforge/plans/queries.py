@@ -133,9 +133,9 @@ def _full_items(spark, sf_dir):
                         ["batch_id"])
 
 
-def _results_with_orphans(spark, sf_dir):
+def _results_with_orphans(spark, sf_dir, *columns):
     regular, orphans = split_orphans(_full_items(spark, sf_dir))
-    return assemble_results(reduce_items(regular), None, orphans)
+    return assemble_results(reduce_items(regular), None, orphans, [*columns] or None)
 
 
 @register("items_full", OP.items_full_sql())
@@ -153,7 +153,7 @@ def q_results_with_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("report_with_orphans", OP.report_with_orphans_sql())
 def q_report_with_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators import report as RP
-    return RP.report(materialize(_results_with_orphans(spark, sf_dir), "results"))
+    return RP.report(materialize(_results_with_orphans(spark, sf_dir, *RP.REPORT_SOURCE.values()), "results"))
 
 
 @register("orphans", OP.orphans_sql())
@@ -339,7 +339,7 @@ def q_context_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("report", OC.report_sql())
 def q_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return RP.report(materialize(_results(spark, sf_dir), "results"))
+    return RP.report(materialize(_results(spark, sf_dir, *RP.REPORT_SOURCE.values()), "results"))
 
 
 @register("run_totals", OC.run_totals_sql())
