@@ -94,7 +94,10 @@ def category_list(c) -> Column:
     parts = F.filter(F.transform(F.split(c, ","), lambda x: strip_ws(x)), lambda x: x != "")
     several = F.when(F.size(parts) == 0, F.array(F.lit(C.NOT_IDENTIFIED_FOLDER))).otherwise(parts)
     # without a comma there is one name: no arrays to build, strip and filter
-    one = F.when(strip_ws(c) == "", F.lit(C.NOT_IDENTIFIED_FOLDER)).otherwise(strip_ws(c))
+    # nor anything to strip where the first and the last character are printable ASCII
+    last = F.substring(c, -1, 1)
+    bare = (c >= "!") & (c < "\x7f") & (last >= "!") & (last < "\x7f")
+    one = F.when(bare, c).when(strip_ws(c) == "", F.lit(C.NOT_IDENTIFIED_FOLDER)).otherwise(strip_ws(c))
     return F.when(~c.contains(","), F.array(one)).otherwise(several)
 
 

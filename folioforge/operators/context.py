@@ -92,6 +92,14 @@ def prefixes(results: DataFrame, stored: DataFrame) -> DataFrame:
                     F.col("ord").cast("long").alias("ord"))
 
 
+def _latest_sync(rows: DataFrame) -> DataFrame:
+    """(prefix, _start): where each prefix's latest window of ``SYNC`` distinct folios inside one block starts."""
+    w = Window.partitionBy("prefix", "_blk").orderBy("_ord")
+    window = F.array(*[F.lead("folio", k).over(w) for k in range(SYNC)])
+    rows = rows.withColumn("_sync", F.size(F.array_distinct(F.filter(window, lambda x: x.isNotNull()))) == SYNC)
+    return rows.filter("_sync").groupBy("prefix").agg(F.max("_ord").alias("_start"))
+
+
 def examples(results: DataFrame, stored: DataFrame, keep: int = 3) -> DataFrame:
     """Last ``keep`` distinct examples per prefix (a FIFO that skips held folios).
 
@@ -99,15 +107,18 @@ def examples(results: DataFrame, stored: DataFrame, keep: int = 3) -> DataFrame:
     state whatever came before, so each prefix is folded only from the start
     of its latest such window, starting from the stored examples. Windows are
     looked for inside (prefix, block of ``LOT_BLOCK`` lots): a block is bounded,
-    and holds a window also where each lot has a single result. Without a window
-    the fold runs over the whole batch of that prefix.
+    and holds a window also where each lot has a single result. The latest one is
+    in the prefix's last block, if that holds any; the other blocks are shuffled
+    and sorted for those prefixes only whose last block holds none. Without a window
+    the fold runs over the whole batch of that prefix. ``results`` are read several
+    times: give a written table.
     """
     rows = (_valid_rows(results).withColumn("prefix", folio_prefix("folio")).filter(F.col("prefix") != "")
             .select("prefix", F.floor(F.col("lot_id") / LOT_BLOCK).alias("_blk"), "_ord", "folio"))
-    w = Window.partitionBy("prefix", "_blk").orderBy("_ord")
-    window = F.array(*[F.lead("folio", k).over(w) for k in range(SYNC)])
-    rows = rows.withColumn("_sync", F.size(F.array_distinct(F.filter(window, lambda x: x.isNotNull()))) == SYNC)
-    start = rows.filter("_sync").groupBy("prefix").agg(F.max("_ord").alias("_start"))
+    last = rows.groupBy("prefix").agg(F.max("_blk").alias("_blk"))   # one row per prefix letter
+    start = _latest_sync(rows.join(F.broadcast(last), ["prefix", "_blk"]))
+    older = last.join(F.broadcast(start), "prefix", "left_anti").select("prefix")
+    start = start.unionByName(_latest_sync(rows.join(F.broadcast(older), "prefix")))
     tail = (rows.join(F.broadcast(start), "prefix", "left")  # one row per prefix letter
             .filter(F.col("_start").isNull() | (F.col("_ord") >= F.col("_start"))))
     folded = tail.groupBy("prefix").agg(F.array_sort(F.collect_list(F.struct("_ord", "folio"))).alias("_seq"))

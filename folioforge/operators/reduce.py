@@ -10,7 +10,7 @@ index, folio index folded into one total order by the caller.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -18,6 +18,8 @@ from ..functions import strings as S
 from ..functions.predicates import known_client
 
 GROUP_KEYS = ["lot_id", "folio_key", "categoria", "origen"]
+#: the same keys in the order groups are sorted by: (lot, origin), the batch of a view's items, is a prefix
+SORT_KEYS = ["lot_id", "origen", "folio_key", "categoria"]
 
 PAGE = "struct<path:string,rotation:int>"
 
@@ -32,34 +34,40 @@ def with_folio_key(items: DataFrame) -> DataFrame:
     return items.withColumn("folio_key", S.folio_key("folio"))
 
 
-def reduce_items(items: DataFrame, scope: str = "lot") -> DataFrame:
+def reduce_items(items: DataFrame, scope: str = "lot", count_as: str | None = None) -> DataFrame:
     """Group non-orphan items and fold each group into one document.
 
     Input columns: lot_id, seq, folio, categoria, cliente, confianza,
-    justificacion, origen, tipo_origen, paginas_original, paginas
-    (array<struct<path, rotation>>). ``scope="global"`` merges a folio across
-    lots (lot_id is then reported as the first lot of the group).
-
-    Plan: one hash aggregation on the group keys (no window, no explode).
-    "First" values are struct minima keyed by ``seq``; the ordered distinct
-    page union is built inside the group's array (a group is bounded by one
-    lot, so the in-array dedup stays small).
+    justificacion, origen, paginas (array<struct<path, rotation>>) and, if the
+    caller does not add them to the groups, tipo_origen and paginas_original. ``scope="global"`` merges a
+    folio across lots (lot_id is then reported as the first lot of the group).
+    ``count_as`` names a further column for the number of items of the group.
+
+    Plan: one sort by the group keys and ``seq``, one window per group whose
+    first row is the document. Most groups are one item, so an aggregate would
+    combine nothing map-side, but sort and serialize each group twice. Windows
+    over what no one reads are pruned with it. The ordered distinct page union
+    is built inside the group's array (a group is bounded by one lot, so the
+    in-array dedup stays small).
     """
     df = with_folio_key(items)
-    keys = GROUP_KEYS if scope == "lot" else GROUP_KEYS[1:]
     if scope != "lot":
         # first lot of each cross-lot group: a map-side-combined aggregate joined
         # back (not a window, which would put a hot group into one task)
+        keys = GROUP_KEYS[1:]
         first_lot = df.groupBy(*keys).agg(F.min("lot_id").alias("_first_lot"))
         df = df.join(first_lot, keys).withColumn("lot_id", F.col("_first_lot")).drop("_first_lot")
-        keys = GROUP_KEYS
-    g = df.groupBy(*keys).agg(
-        F.min("seq").alias("seq"),
-        F.min(F.struct("seq", "folio", "tipo_origen", "paginas_original")).alias("first"),
-        F.min(F.when(known_client("cliente"), F.struct("seq", "cliente"))).alias("first_client"),
-        F.max("confianza").alias("confianza"),
-        F.collect_list(F.struct("seq", "justificacion", "paginas")).alias("rows"),
-    )
+    firsts = [c for c in ("folio", "tipo_origen", "paginas_original") if c in df.columns]
+    order = Window.partitionBy(*SORT_KEYS).orderBy("seq", *firsts)
+    group = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    g = df.select(
+        *GROUP_KEYS, *firsts, F.row_number().over(order).alias("_at"),
+        F.min("seq").over(group).alias("seq"),
+        F.min(F.when(known_client("cliente"), F.struct("seq", "cliente"))).over(group).alias("first_client"),
+        F.max("confianza").over(group).alias("confianza"),
+        F.count(F.lit(1)).over(group).alias("_n"),
+        F.collect_list(F.struct("seq", "justificacion", "paginas")).over(group).alias("rows"),
+    ).filter("_at = 1")
     rows, single = F.col("rows"), F.size("rows") == 1
 
     def ordered(field):
@@ -69,15 +77,14 @@ def reduce_items(items: DataFrame, scope: str = "lot") -> DataFrame:
     # most groups are one item: nothing to sort, to compare or to join there
     reason = F.coalesce(rows[0]["justificacion"], F.lit(""))
     return g.select(
-        *keys, "seq",
-        F.col("first.folio").alias("folio"),
+        *GROUP_KEYS, "seq", "folio",
         F.coalesce(F.col("first_client.cliente"), F.lit(C.NOT_DETECTED)).alias("cliente"),
         "confianza",
         F.when(single, reason).otherwise(
             F.array_join(F.array_distinct(ordered("justificacion")), " | ")).alias("justificacion"),
-        F.col("first.tipo_origen").alias("tipo_origen"),
-        F.col("first.paginas_original").alias("paginas_original"),
+        *firsts[1:],
         F.when(single, rows[0]["paginas"]).otherwise(F.flatten(ordered("paginas"))).alias("_all_pages"),
+        *([F.col("_n").alias(count_as)] if count_as else []),
     ).withColumn("paginas", F.when(F.size("_all_pages") == 1, F.filter("_all_pages", lambda p: p["path"].isNotNull()))
                  .otherwise(first_by_path("_all_pages"))).drop("_all_pages") \
         .withColumn("paginas_final", F.size("paginas"))
@@ -91,5 +98,10 @@ def first_by_path(pages) -> F.Column:
 
 
 def multiplex(groups: DataFrame) -> DataFrame:
-    """One event per category named in the raw category (split on ',')."""
-    return groups.select("*", F.posexplode(S.category_list("categoria")).alias("cat_idx", "cat"))
+    """One event per category named in the raw category (split on ',').
+
+    The names are a column of their own before the explode: the explode's own
+    argument would be interpreted row by row, this one is compiled.
+    """
+    named = groups.withColumn("_names", S.category_list("categoria"))
+    return named.select(*[F.col(c) for c in groups.columns], F.posexplode("_names").alias("cat_idx", "cat"))

@@ -30,6 +30,10 @@ REGISTRY_COLUMNS = ["id", "folio", "folio_key", "categoria", "version", "divisa"
                     "ruta_servidor", "justificacion", "estado_conciliacion", "id_docto_firebird",
                     "fecha_procesamiento"]
 
+#: result columns that an upsert reads
+RESULT_NEEDS = ["lot_id", "seq", "cat_idx", "folio", "folio_key", "categoria", "version", "archivo_original",
+                "cliente", "paginas_final", "status", "confianza", "ruta"]
+
 # column -> max length (String(n) in the stored schema)
 LENGTHS = {"folio": 100, "categoria": 100, "divisa": 20, "cliente": 255, "archivo_original": 255,
            "status": 50, "ruta_servidor": 500, "estado_conciliacion": 50, "id_docto_firebird": 100}

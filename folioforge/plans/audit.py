@@ -9,19 +9,15 @@ from .. import config as C
 from ..operators.reduce import reduce_items, with_single_page
 
 
-def items_from_view(items: DataFrame) -> DataFrame:
-    """Adapt the ``items`` view (one page per item) to the reduce input.
+def groups_from_view(items: DataFrame) -> DataFrame:
+    """Groups of the ``items`` view (one page per item), with what their origin and their batch tell.
 
-    The batch page count (M3) is a window over (lot_id, origen); the reduce's
-    window and aggregation are keyed by a superset of those columns, so the
-    whole reduce runs on this one hash exchange.
+    The page count of a batch (lot_id, origen; M3) is the sum of its groups' items: a
+    window over the groups, on the exchange and in the order that the reduce has
+    already, and not planned where no one reads it.
     """
     batch = Window.partitionBy("lot_id", "origen")
-    return (with_single_page(items)
-            .withColumn("tipo_origen", F.when(F.lower("origen").endswith(".pdf"), F.lit(C.ORIGIN_TYPE_PDF))
-                        .otherwise(F.lit(C.ORIGIN_TYPE_IMAGES)))
-            .withColumn("paginas_original", F.count(F.lit(1)).over(batch).cast("int")))
-
-
-def groups_from_view(items: DataFrame) -> DataFrame:
-    return reduce_items(items_from_view(items))
+    groups = reduce_items(with_single_page(items).repartition("lot_id", "origen"), count_as="_items")
+    tipo = F.when(F.lower("origen").endswith(".pdf"), F.lit(C.ORIGIN_TYPE_PDF)).otherwise(F.lit(C.ORIGIN_TYPE_IMAGES))
+    return groups.withColumns({"tipo_origen": tipo, "paginas_original": F.sum("_items").over(batch).cast("int")}) \
+        .drop("_items")

@@ -60,7 +60,8 @@ def q_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
     reg_keys = fixture(spark, sf_dir, "registry")
     stored = R.registry_from_keys(reg_keys, O.STORED_TS)
-    res = assemble_results(groups_from_view(fixture(spark, sf_dir, "items")), R.as_version_source(stored))
+    res = assemble_results(groups_from_view(fixture(spark, sf_dir, "items")), R.as_version_source(stored),
+                           columns=R.RESULT_NEEDS)
     return R.upsert(stored, materialize(res, "results"), O.BATCH_TS)
 
 
@@ -312,7 +313,8 @@ def q_context_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("context_examples", OC.examples_sql())
 def q_context_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ex = CX.examples(_results(spark, sf_dir, *CX.ORDER, "folio"), CX.seed_prefixes(spark), CF.DEFAULTS.prefix_examples)
+    res = materialize(_results(spark, sf_dir, *CX.ORDER, "folio"), "results")
+    ex = CX.examples(res, CX.seed_prefixes(spark), CF.DEFAULTS.prefix_examples)
     return ex.select("prefix", F.array_join("ejemplos", ", ").alias("ejemplos"))
 
 
