@@ -64,13 +64,24 @@ def _only(c: Column, chars: str) -> Column:
     return F.translate(c, chars, "") == ""
 
 
-def folio_key(c) -> Column:
-    """Keep letters, digits, '-' and '_'; nothing left -> ERROR_FORMATO_INVALIDO (G1)."""
+def folio_chars(c) -> Column:
+    """Keep letters, digits, '-' and '_' (G1)."""
     c = col_(c)
-    kept = F.when(_only(c, _ASCII_WORD + "-"), c).otherwise(F.regexp_replace(c, f"[^{WORD}-]", ""))
+    return F.when(_only(c, _ASCII_WORD + "-"), c).otherwise(F.regexp_replace(c, f"[^{WORD}-]", ""))
+
+
+def or_bad_format(kept) -> Column:
+    """Nothing left of a folio -> ERROR_FORMATO_INVALIDO (G1)."""
+    kept = col_(kept)
     return F.when(kept == "", F.lit(C.ERROR_BAD_FORMAT)).otherwise(kept)
 
 
+def folio_key(c) -> Column:
+    """``or_bad_format(folio_chars(c))``; where every row passes, make ``folio_chars`` a column of its own,
+    or it is evaluated twice."""
+    return or_bad_format(folio_chars(c))
+
+
 def folder_name(c) -> Column:
     """Category folder (G10): drop chars outside word/space/'-', strip, spaces -> '_'."""
     c = col_(c)
@@ -89,14 +100,21 @@ def main_category(c) -> Column:
 
 
 def category_list(c) -> Column:
-    """Split on ',', strip, drop empties; none -> ['No_identificado'] (G9). Repeats kept."""
+    """Split on ',', strip, drop empties; none -> ['No_identificado'] (G9). Repeats kept.
+
+    Without functions on arrays, which Spark interprets row by row: outer commas
+    and white space are trimmed, what lies between two names becomes one comma.
+    """
     c = col_(c)
-    parts = F.filter(F.transform(F.split(c, ","), lambda x: strip_ws(x)), lambda x: x != "")
-    several = F.when(F.size(parts) == 0, F.array(F.lit(C.NOT_IDENTIFIED_FOLDER))).otherwise(parts)
-    # without a comma there is one name: no arrays to build, strip and filter
-    # nor anything to strip where the first and the last character are printable ASCII
+    # nothing to strip where the first and the last character are printable ASCII
     last = F.substring(c, -1, 1)
     bare = (c >= "!") & (c < "\x7f") & (last >= "!") & (last < "\x7f")
+    inner = F.when(bare & ~c.startswith(",") & (last != ","), c).otherwise(F.btrim(c, F.lit(WS_CHARS + ",")))
+    # a pattern that begins with a comma is looked for fast: the other one only where white space is before a comma
+    between = F.when(inner.rlike(f",(?<=[{WS}],)"), F.regexp_replace(inner, f"[{WS}]*,[{WS},]*", ",")) \
+        .otherwise(F.regexp_replace(inner, f",[{WS},]*", ","))
+    several = F.when(inner == "", F.array(F.lit(C.NOT_IDENTIFIED_FOLDER))).otherwise(F.split(between, ","))
+    # without a comma there is one name: nothing to split
     one = F.when(bare, c).when(strip_ws(c) == "", F.lit(C.NOT_IDENTIFIED_FOLDER)).otherwise(strip_ws(c))
     return F.when(~c.contains(","), F.array(one)).otherwise(several)
 

@@ -31,7 +31,8 @@ def with_single_page(items: DataFrame, page_col: str = "pagina") -> DataFrame:
 
 
 def with_folio_key(items: DataFrame) -> DataFrame:
-    return items.withColumn("folio_key", S.folio_key("folio"))
+    return items.withColumn("_kept", S.folio_chars("folio")) \
+        .withColumn("folio_key", S.or_bad_format("_kept")).drop("_kept")
 
 
 def reduce_items(items: DataFrame, scope: str = "lot", count_as: str | None = None) -> DataFrame:
@@ -46,9 +47,10 @@ def reduce_items(items: DataFrame, scope: str = "lot", count_as: str | None = No
     Plan: one sort by the group keys and ``seq``, one window per group whose
     first row is the document. Most groups are one item, so an aggregate would
     combine nothing map-side, but sort and serialize each group twice. Windows
-    over what no one reads are pruned with it. The ordered distinct page union
-    is built inside the group's array (a group is bounded by one lot, so the
-    in-array dedup stays small).
+    over what no one reads are pruned with it (reasons and pages are collected
+    apart, so that either goes alone). The ordered distinct page union is built
+    inside the group's array (a group is bounded by one lot, so the in-array
+    dedup stays small).
     """
     df = with_folio_key(items)
     if scope != "lot":
@@ -66,26 +68,27 @@ def reduce_items(items: DataFrame, scope: str = "lot", count_as: str | None = No
         F.min(F.when(known_client("cliente"), F.struct("seq", "cliente"))).over(group).alias("first_client"),
         F.max("confianza").over(group).alias("confianza"),
         F.count(F.lit(1)).over(group).alias("_n"),
-        F.collect_list(F.struct("seq", "justificacion", "paginas")).over(group).alias("rows"),
+        F.collect_list(F.struct("seq", "justificacion")).over(group).alias("_reasons"),
+        F.collect_list(F.struct("seq", "paginas")).over(group).alias("_pages"),
     ).filter("_at = 1")
-    rows, single = F.col("rows"), F.size("rows") == 1
 
-    def ordered(field):
-        pairs = F.transform(rows, lambda x: F.struct(x["seq"].alias("seq"), x[field].alias(field)))
-        return F.transform(F.array_sort(pairs), lambda x: x[field])
+    def ordered(rows, field):
+        return F.transform(F.array_sort(rows), lambda x: x[field])
 
     # most groups are one item: nothing to sort, to compare or to join there
-    reason = F.coalesce(rows[0]["justificacion"], F.lit(""))
+    reasons, pages = F.col("_reasons"), F.col("_pages")
+    reason = F.coalesce(reasons[0]["justificacion"], F.lit(""))
     return g.select(
         *GROUP_KEYS, "seq", "folio",
         F.coalesce(F.col("first_client.cliente"), F.lit(C.NOT_DETECTED)).alias("cliente"),
         "confianza",
-        F.when(single, reason).otherwise(
-            F.array_join(F.array_distinct(ordered("justificacion")), " | ")).alias("justificacion"),
+        F.when(F.size(reasons) == 1, reason).otherwise(
+            F.array_join(F.array_distinct(ordered(reasons, "justificacion")), " | ")).alias("justificacion"),
         *firsts[1:],
-        F.when(single, rows[0]["paginas"]).otherwise(F.flatten(ordered("paginas"))).alias("_all_pages"),
+        F.when(F.size(pages) == 1, pages[0]["paginas"]).otherwise(F.flatten(ordered(pages, "paginas"))).alias("_all_pages"),
         *([F.col("_n").alias(count_as)] if count_as else []),
-    ).withColumn("paginas", F.when(F.size("_all_pages") == 1, F.filter("_all_pages", lambda p: p["path"].isNotNull()))
+    ).withColumn("paginas", F.when((F.size("_all_pages") == 1) & F.col("_all_pages")[0]["path"].isNotNull(),
+                                   F.col("_all_pages"))
                  .otherwise(first_by_path("_all_pages"))).drop("_all_pages") \
         .withColumn("paginas_final", F.size("paginas"))
 
@@ -101,7 +104,11 @@ def multiplex(groups: DataFrame) -> DataFrame:
     """One event per category named in the raw category (split on ',').
 
     The names are a column of their own before the explode: the explode's own
-    argument would be interpreted row by row, this one is compiled.
+    argument would be interpreted row by row, this one is compiled. The outer
+    explode, since for an inner one Spark infers a filter on the names, which it
+    pushes down to the scan of the items: they would be made twice, there for
+    each item. A group without a raw category (NULL) has no event.
     """
     named = groups.withColumn("_names", S.category_list("categoria"))
-    return named.select(*[F.col(c) for c in groups.columns], F.posexplode("_names").alias("cat_idx", "cat"))
+    return named.select(*[F.col(c) for c in groups.columns], F.posexplode_outer("_names").alias("cat_idx", "cat")) \
+        .filter(F.col("cat").isNotNull())

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
-from ..session import materialize
+from ..session import materialize, spread
 from .scans import BLK, last_per_key, lot_blocks, running_sum
 
 K = ["folio_key", "cat"]
@@ -110,8 +110,9 @@ def resolve_versions(events: DataFrame, registry: DataFrame | None = None,
         origins.select(*KO, "first", "birth", "rv", "rs", "mv", "version"), KO)
     # the window before the join: one shuffle and one sort of the events serve both
     w = Window.partitionBy(*KOB).orderBy("lot_id", "seq", "cat_idx")
-    ev = events.select("*", F.max("confianza").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("prev"),
-                       (F.row_number().over(w) == 1).alias("_first_in_block"))
+    ev = spread(events, *KOB).select(
+        "*", F.max("confianza").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("prev"),
+        (F.row_number().over(w) == 1).alias("_first_in_block"))
     ev = ev.join(blocks, KOB).withColumn("prev", F.greatest("carry", "prev"))
     at_first = (F.col("lot_id") == F.col("first.lot_id")) & F.col("_first_in_block")
     born = F.col("rv").isNull() & at_first

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..operators.reduce import reduce_items, with_single_page
+from ..session import spread
 
 
 def groups_from_view(items: DataFrame) -> DataFrame:
@@ -17,7 +18,7 @@ def groups_from_view(items: DataFrame) -> DataFrame:
     already, and not planned where no one reads it.
     """
     batch = Window.partitionBy("lot_id", "origen")
-    groups = reduce_items(with_single_page(items).repartition("lot_id", "origen"), count_as="_items")
+    groups = reduce_items(with_single_page(spread(items, "lot_id", "origen")), count_as="_items")
     tipo = F.when(F.lower("origen").endswith(".pdf"), F.lit(C.ORIGIN_TYPE_PDF)).otherwise(F.lit(C.ORIGIN_TYPE_IMAGES))
     return groups.withColumns({"tipo_origen": tipo, "paginas_original": F.sum("_items").over(batch).cast("int")}) \
         .drop("_items")
