@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import strings as S
 from ..functions.predicates import valid_rotation
+from ..session import spread
 
 
 def page_name(file_name, page_no, n_pages) -> F.Column:
@@ -140,21 +141,52 @@ def full_items(batches: DataFrame, batch_pages: DataFrame, documents: DataFrame,
     cols, doc_idx, categoria, cliente, confianza, justificacion. The others as
     in ``map_documents``. ``seq`` numbers the items of a lot by origin, batch,
     document and folio, orphans behind their batch's documents; a lot is bounded.
+
+    Plan: each input is shuffled once, by the batch (bounded: one PDF or 15 images),
+    and what is made of them once, by the lot. One left join of the pages tells both
+    the documents' pages and the orphans, which go on as documents of one page and no
+    fields. What all orphans share is filled in behind the shuffle.
     """
-    items, orphans = map_documents(batch_pages, doc_pages, doc_folios, batch_cols)
-    none = F.lit(None).cast("string")
-    regular = items.join(documents, [*batch_cols, "doc_idx"]).select(
-        *batch_cols, F.col("doc_idx").cast("bigint").alias("doc_idx"), F.col("folio_idx").cast("bigint").alias("folio_idx"),
-        "folio", "categoria", "cliente", "confianza", "justificacion", "paginas", "paginas_original",
-        "is_orphan", none.alias("orphan_name"))
-    loose = orphans.select(
-        *batch_cols, F.lit(2 ** 62).alias("doc_idx"), F.col("page_no").cast("bigint").alias("folio_idx"),
-        "folio", "categoria", "cliente", "confianza", "justificacion", "paginas", "paginas_original",
-        "is_orphan", "orphan_name")
+    def by_batch(df, *columns):
+        return spread(df.select(*batch_cols, *columns).dropna(subset=batch_cols), *batch_cols)
+
+    batch = Window.partitionBy(*batch_cols).orderBy("file_name")
+    pages = by_batch(batch_pages, "page_no", "file_name").select(
+        "*", F.count(F.lit(1)).over(batch.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        .cast("int").alias("paginas_original"), F.row_number().over(batch).alias("_nth"))
+    told = by_batch(doc_pages, "doc_idx", "pos", S.clean_name("file_name").alias("file_name"), F.lit(True).alias("_told"))
+    pages = pages.join(told, [*batch_cols, "file_name"], "left") \
+        .withColumn("_loose", F.when(F.col("_told").isNull(), F.col("_nth")))
+    doc = Window.partitionBy(*batch_cols, "doc_idx", "_loose").orderBy("pos", "page_no", "file_name")
+    docs = pages.select(
+        *batch_cols, "doc_idx", "_loose", "page_no", "file_name", "paginas_original", F.row_number().over(doc).alias("_at"),
+        F.collect_list(F.struct(F.col("file_name").alias("path"), F.lit(0).alias("rotation")))
+        .over(doc.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("paginas")).filter("_at = 1")
+    key = [*batch_cols, "doc_idx"]
+    folios = by_batch(doc_folios, "doc_idx", "folio_idx", "folio", F.lit(True).alias("_folio"))
+    fields = by_batch(documents, "doc_idx", "categoria", "cliente", "confianza", "justificacion", F.lit(True).alias("_fields"))
+    loose = F.col("_loose").isNotNull()
+    items = docs.join(folios, key, "left").join(fields, key, "left").filter(loose | (F.col("_folio") & F.col("_fields")))
+
+    # a document number that no document has, behind them all
+    items = items.select(
+        *batch_cols, F.when(loose, F.lit(2 ** 62)).otherwise(F.col("doc_idx").cast("bigint")).alias("doc_idx"),
+        F.when(loose, F.col("page_no").cast("bigint")).otherwise(F.col("folio_idx").cast("bigint")).alias("folio_idx"),
+        "folio", "categoria", "cliente", "confianza", "justificacion", "paginas", "paginas_original", loose.alias("is_orphan"))
+    of_batch = [c for c in ("lot_id", "origen", "tipo_origen") if c not in batch_cols]
+    items = spread(items.join(by_batch(batches, *of_batch), batch_cols), "lot_id")
     lot = Window.partitionBy("lot_id").orderBy("origen", *batch_cols, "doc_idx", "folio_idx")
-    told = [c for c in ("lot_id", "origen", "tipo_origen") if c not in batch_cols]
-    return (regular.unionByName(loose).join(batches.select(*batch_cols, *told), batch_cols)
-            .withColumn("seq", F.row_number().over(lot).cast("bigint")).drop("doc_idx", "folio_idx"))
+    items = items.withColumn("seq", F.row_number().over(lot).cast("bigint"))
+
+    def filled(name, value):
+        return F.when(F.col("is_orphan"), value).otherwise(F.col(name)).alias(name)
+
+    orphan_name = F.concat(F.lit(C.ORPHAN_PREFIX), S.stem(F.col("paginas")[0]["path"]))
+    return items.select(
+        *batch_cols, filled("folio", F.lit(C.ERROR_ILLEGIBLE)), filled("categoria", F.lit(C.ORPHAN_CATEGORY_ITEM)),
+        filled("cliente", F.lit(C.NOT_DETECTED)), filled("confianza", F.lit(0)),
+        filled("justificacion", F.lit(C.ORPHAN_REASON)), "paginas", "paginas_original", "is_orphan",
+        F.when(F.col("is_orphan"), orphan_name).alias("orphan_name"), *of_batch, "seq")
 
 
 def fallback_documents(batches: DataFrame, documents: DataFrame, batch_cols: list[str]) -> DataFrame:

@@ -35,7 +35,8 @@ def with_folio_key(items: DataFrame) -> DataFrame:
         .withColumn("folio_key", S.or_bad_format("_kept")).drop("_kept")
 
 
-def reduce_items(items: DataFrame, scope: str = "lot", count_as: str | None = None) -> DataFrame:
+def reduce_items(items: DataFrame, scope: str = "lot", count_as: str | None = None,
+                 apart: list[str] | None = None) -> DataFrame:
     """Group non-orphan items and fold each group into one document.
 
     Input columns: lot_id, seq, folio, categoria, cliente, confianza,
@@ -43,6 +44,8 @@ def reduce_items(items: DataFrame, scope: str = "lot", count_as: str | None = No
     caller does not add them to the groups, tipo_origen and paginas_original. ``scope="global"`` merges a
     folio across lots (lot_id is then reported as the first lot of the group).
     ``count_as`` names a further column for the number of items of the group.
+    ``apart``: a boolean column, and further ones that the groups get with it. An item that it
+    holds for (an orphan) is in no group: told by its ``seq``, it stays a row of its own, its reason as it is.
 
     Plan: one sort by the group keys and ``seq``, one window per group whose
     first row is the document. Most groups are one item, so an aggregate would
@@ -60,7 +63,9 @@ def reduce_items(items: DataFrame, scope: str = "lot", count_as: str | None = No
         first_lot = df.groupBy(*keys).agg(F.min("lot_id").alias("_first_lot"))
         df = df.join(first_lot, keys).withColumn("lot_id", F.col("_first_lot")).drop("_first_lot")
     firsts = [c for c in ("folio", "tipo_origen", "paginas_original") if c in df.columns]
-    order = Window.partitionBy(*SORT_KEYS).orderBy("seq", *firsts)
+    firsts += apart or []
+    own = [F.when(F.col(apart[0]), F.col("seq"))] if apart else []
+    order = Window.partitionBy(*SORT_KEYS, *own).orderBy("seq", *firsts)
     group = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     g = df.select(
         *GROUP_KEYS, *firsts, F.row_number().over(order).alias("_at"),
@@ -78,6 +83,8 @@ def reduce_items(items: DataFrame, scope: str = "lot", count_as: str | None = No
     # most groups are one item: nothing to sort, to compare or to join there
     reasons, pages = F.col("_reasons"), F.col("_pages")
     reason = F.coalesce(reasons[0]["justificacion"], F.lit(""))
+    if apart:
+        reason = F.when(F.col(apart[0]), reasons[0]["justificacion"]).otherwise(reason)
     return g.select(
         *GROUP_KEYS, "seq", "folio",
         F.coalesce(F.col("first_client.cliente"), F.lit(C.NOT_DETECTED)).alias("cliente"),

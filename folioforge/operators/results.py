@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import strings as S
 from ..functions.predicates import status_of, unsafe_category
-from .reduce import multiplex
-from .versions import resolve_versions
+from ..session import materialize
+from .reduce import multiplex, reduce_items
+from .versions import resolve_versions, resolve_written
 
 RESULT_COLUMNS = ["lot_id", "seq", "cat_idx", "folio", "folio_key", "version", "categoria", "cliente",
                   "archivo_original", "tipo_original", "paginas_original", "paginas_final",
@@ -51,10 +52,37 @@ def assemble_results(groups: DataFrame, registry: DataFrame | None = None,
     (never its page list), since they are written and shuffled as they are.
     """
     columns = columns or RESULT_COLUMNS
-    ev = multiplex(groups.select(*VERSION_NEEDS, *[RESULT_NEEDS[c] for c in columns if c in RESULT_NEEDS]))
-    if "ruta" not in columns:   # only the tag of an error row needs the raw category
-        ev = ev.drop("categoria")
-    v = resolve_versions(ev, registry)
+    return _result_rows(resolve_versions(_events(groups, columns), registry), orphans, columns)
+
+
+def results_of_items(items: DataFrame, registry: DataFrame | None = None,
+                     columns: list[str] | None = None) -> DataFrame:
+    """``assemble_results`` of items and orphan items (``is_orphan``, ``orphan_name``) that are one table.
+
+    The items are made and reduced once: orphans go along as rows of their own
+    (``reduce_items``) and are written with the events. Two filters of the items would
+    make them twice, with all their shuffles.
+    """
+    columns = columns or RESULT_COLUMNS
+    apart = ["is_orphan", "orphan_name"]
+    groups = reduce_items(items.withColumn("is_orphan", F.coalesce("is_orphan", F.lit(False))), apart=apart)
+    # one row of an orphan, whatever its category
+    raw = F.when(F.col("is_orphan"), F.lit(C.ORPHAN_CATEGORY_ITEM)).otherwise(F.col("categoria"))
+    ev = materialize(_events(groups.withColumn("categoria", raw), columns, [*apart, "justificacion"]), "events",
+                     part_of_keys=True)   # a batch or a lot is bounded
+    orphans = ev.filter("is_orphan").select("lot_id", "seq", "origen", "orphan_name", "justificacion")
+    unwanted = apart if "justificacion" in columns else [*apart, "justificacion"]
+    return _result_rows(resolve_written(ev.filter("not is_orphan").drop(*unwanted), registry), orphans, columns)
+
+
+def _events(groups: DataFrame, columns: list[str], more: list[str] = []) -> DataFrame:
+    """One event per (group, category), with what ``columns`` are made of, and ``more``."""
+    needs = dict.fromkeys([*VERSION_NEEDS, *[RESULT_NEEDS[c] for c in columns if c in RESULT_NEEDS], *more])
+    ev = multiplex(groups.select(*needs))
+    return ev if "ruta" in columns else ev.drop("categoria")   # only the tag of an error row needs the raw category
+
+
+def _result_rows(v: DataFrame, orphans: DataFrame | None, columns: list[str]) -> DataFrame:
     bad = unsafe_category("cat")
 
     def pick(err, ok):

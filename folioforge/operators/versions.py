@@ -22,8 +22,13 @@ Here the fold is restated as aggregates and windows:
   new origins of the key: inside the birth lot, plus the births of earlier
   lots (a running sum over one row per (key, cat, lot), by blocks of lots).
 
-The events are read twice, their keys for one row per block and whole for the
-result, and shuffled whole once, by (key, cat, origin, block).
+Blocks are for keys that hold many events. Where a key has no more of them than
+a small share of a task (``hot_buckets``), as nearly all keys have, the fold is
+windows over the key's own events instead (``by_keys``): they are shuffled whole
+once, by (key, cat), and nothing else is. By blocks the events are read twice,
+their keys for one row per block and whole for the result, and shuffled whole
+once, by (key, cat, origin, block); rows as many as the origins are shuffled some
+ten times more. Both ways give the same rows.
 """
 
 from __future__ import annotations
@@ -79,16 +84,102 @@ def resolve_versions(events: DataFrame, registry: DataFrame | None = None,
     ``registry``: folio_key, cat, origen, version, score (or None = empty).
     Adds ``version`` (int) and ``accion``.
 
-    Events are read twice and the block rows by several branches, so both are
-    materialized once (parquet under ``spark.checkpoint.dir``) unless
-    ``materialize_events`` is False. Give only the payload columns that are
-    wanted: the others would be written and shuffled for nothing.
+    Events are read several times, so they are materialized once (parquet under
+    ``spark.checkpoint.dir``) unless ``materialize_events`` is False: then all keys
+    go by blocks, in one plan. Give only the payload columns that are wanted: the
+    others would be written and shuffled for nothing.
+    """
+    if not materialize_events:
+        return by_blocks(events, registry, write_blocks=False)
+    return resolve_written(materialize(events, "events"), registry)
+
+
+def resolve_written(events: DataFrame, registry: DataFrame | None = None) -> DataFrame:
+    """``resolve_versions`` of events that are written already."""
+    n, hot = hot_buckets(events, registry)
+    if not hot:
+        return by_keys(events, registry)
+    of_hot = key_bucket(n).isin(*hot)
+    cold, warm = ((events.filter(x), registry and registry.filter(x)) for x in (~of_hot, of_hot))
+    return by_keys(*cold).unionByName(by_blocks(*warm))
+
+
+#: buckets of keys that are counted, for each shuffle partition
+BUCKETS = 16
+#: events of a bucket that are few for one task, however few there are in all
+FEW_EVENTS = 10_000
+
+
+def key_bucket(n: int) -> F.Column:
+    return F.pmod(F.xxhash64(*K), F.lit(n))
+
+
+def hot_buckets(events: DataFrame, registry: DataFrame | None = None) -> tuple[int, list[int]]:
+    """How many buckets keys fall into, and those of them with so many events and stored
+    origins that a key in them may take more than a quarter of an even task (a row per
+    bucket is counted, not one per key)."""
+    parts = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = BUCKETS * parts
+    keys = events.select(key_bucket(n).alias("b"))
+    if registry is not None:
+        keys = keys.unionAll(registry.select(key_bucket(n).alias("b")))
+    counts = keys.groupBy("b").agg(F.count(F.lit(1)).alias("n")).collect()
+    limit = max(FEW_EVENTS, sum(r.n for r in counts) // (4 * parts))
+    return n, [r.b for r in counts if r.n > limit]
+
+
+def by_keys(events: DataFrame, registry: DataFrame | None) -> DataFrame:
+    """The fold as windows over the events of each (key, cat), shuffled by it once, with
+    what is stored of the key as further rows.
+
+    Births are ranked by the first (lot, seq) of their origins; those without a seq
+    come first in their lot, in the order of their origins, as in ``birth_ranks``.
+    Events without a lot or an origin give no row; they count as events before the
+    first lot, or of an origin of their own, as by blocks.
+    """
+    stored = "struct<version:int,score:int>"
+    ev = events.dropna(subset=K).select("*", F.lit(None).cast(stored).alias("_stored"), F.lit(True).alias("_new"))
+    if registry is not None:
+        ev = ev.unionByName(registry.dropna(subset=K).select(
+            *KO, F.struct("version", F.coalesce("score", F.lit(0)).alias("score")).cast(stored).alias("_stored"),
+            F.lit(False).alias("_new")), allowMissingColumns=True)
+    order = Window.partitionBy(*KO, "_new").orderBy("lot_id", "seq", "cat_idx")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ev = spread(ev, *K).select(
+        "*", F.max("confianza").over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("prev"),
+        (F.row_number().over(order) == F.count(F.when(F.isnull("lot_id"), 1)).over(whole) + 1).alias("_at_first"),
+        F.min(F.when(F.isnotnull("lot_id"), F.struct("lot_id", F.isnull("seq"), "seq"))).over(whole).alias("_first"))
+    # the lowest version that the origin is stored under, and the greatest of the key
+    ev = ev.withColumn("_origin", F.when(
+        F.isnotnull("origen"), F.min("_stored").over(Window.partitionBy(*KO)))).select(
+        "*", F.col("_origin.version").alias("rv"), F.col("_origin.score").alias("rs"),
+        F.coalesce(F.max("_stored.version").over(Window.partitionBy(*K)), F.lit(0)).alias("mv")).filter("_new")
+    births = Window.partitionBy(*K, F.isnull("rv")).orderBy("_first.lot_id", "_first.seq", "origen")
+    ev = ev.withColumn("birth", F.dense_rank().over(births)).dropna(subset=["origen", "lot_id"])
+    return ev.withColumn("version", F.coalesce("rv", F.col("mv") + F.col("birth")).cast("int")) \
+        .withColumn("accion", action(F.col("rv").isNull() & F.col("_at_first"))) \
+        .select(*events.columns, "version", "accion")
+
+
+def action(born: F.Column) -> F.Column:
+    """What becomes of an event by what is known of its origin: rs, prev, mv, birth."""
+    best = F.greatest(F.coalesce("rs", F.lit(-1)), F.coalesce("prev", F.lit(-1)))
+    # nothing stored for the key (mv = 0): its first-born origin is the key's first event
+    return (F.when(born & (F.col("mv") == 0) & (F.col("birth") == 1), F.lit(C.ACTION_NEW))
+            .when(born, F.lit(C.ACTION_VERSION))
+            .when(F.col("confianza") >= best, F.lit(C.ACTION_OVERWRITE))
+            .otherwise(F.lit(C.ACTION_DISCARD)))
+
+
+def by_blocks(events: DataFrame, registry: DataFrame | None, write_blocks: bool = True) -> DataFrame:
+    """The fold by blocks of lots: no key, however hot, has all its events in one task.
+
+    The block rows are read by several branches, so they are materialized unless
+    ``write_blocks`` is False.
     """
-    if materialize_events:
-        events = materialize(events, "events")
     events = lot_blocks(events, "lot_id", LOT_BLOCK)
     blocks = block_rows(events)
-    if materialize_events:
+    if write_blocks:
         blocks = materialize(blocks, "blocks")
     # one row per (key, cat, origin): its first (lot, seq)
     origins = blocks.groupBy(*KO).agg(F.min("first_lot").alias("lot_id"), F.min("first_at").alias("at")).select(
@@ -116,13 +207,7 @@ def resolve_versions(events: DataFrame, registry: DataFrame | None = None,
     ev = ev.join(blocks, KOB).withColumn("prev", F.greatest("carry", "prev"))
     at_first = (F.col("lot_id") == F.col("first.lot_id")) & F.col("_first_in_block")
     born = F.col("rv").isNull() & at_first
-    best = F.greatest(F.coalesce("rs", F.lit(-1)), F.coalesce("prev", F.lit(-1)))
-    # nothing stored for the key (mv = 0): its first-born origin is the key's first event
-    accion = (F.when(born & (F.col("mv") == 0) & (F.col("birth") == 1), F.lit(C.ACTION_NEW))
-              .when(born, F.lit(C.ACTION_VERSION))
-              .when(F.col("confianza") >= best, F.lit(C.ACTION_OVERWRITE))
-              .otherwise(F.lit(C.ACTION_DISCARD)))
-    return ev.withColumn("accion", accion).drop("first", "birth", "rv", "rs", "mv", "carry", "prev",
+    return ev.withColumn("accion", action(born)).drop("first", "birth", "rv", "rs", "mv", "carry", "prev",
                                                 "_first_in_block", BLK)
 
 

@@ -13,15 +13,13 @@ from pyspark.sql import functions as F
 
 from .. import config as CF
 from ..operators import registry as R
-from ..operators.reduce import reduce_items
-from ..operators.results import VERSION_NEEDS, assemble_results, version_events
+from ..operators.results import VERSION_NEEDS, assemble_results, results_of_items, version_events
 from ..sources.raw_files import number_lots
 from ..operators import payloads as PL
 from . import oracle_payloads as OPL
 from . import oracle_sql as O
 from .audit import groups_from_view
 from ..session import materialize
-from .batch_run import split_orphans
 from .fixtures import fixture
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,8 +133,7 @@ def _full_items(spark, sf_dir):
 
 
 def _results_with_orphans(spark, sf_dir, *columns):
-    regular, orphans = split_orphans(_full_items(spark, sf_dir))
-    return assemble_results(reduce_items(regular), None, orphans, [*columns] or None)
+    return results_of_items(_full_items(spark, sf_dir), None, [*columns] or None)
 
 
 @register("items_full", OP.items_full_sql())
